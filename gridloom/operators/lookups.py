@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, ordinal, scan
 from gridloom.functions.scalars import seconds_between
+from gridloom.functions.text import substrings
 
 
 def clamped_rate(
@@ -207,18 +208,7 @@ def longest_word_match(items: DataFrame, tables: DataFrame, item="site", table="
         words, lambda w, i: F.struct(F.length(w).alias("n"), i.alias("i"), w.alias("w"))
     )
     keyed = items.select(item, F.array_max(ranked)["w"].alias("_word"))
-    name, size = F.col(table), F.length(table)
-    pieces = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(name, i, n)
-            ),
-        )
-    )
-    spelled = tables.filter(size > 0).select(
-        table, F.explode(F.array_distinct(pieces)).alias("_word")
-    )
+    spelled = tables.select(table, F.explode(substrings(table)).alias("_word"))
     hits = keyed.join(spelled, "_word").groupBy(item).agg(
         F.count_distinct(table).alias("_n"), F.min(table).alias("_hit")
     )
