@@ -138,15 +138,15 @@ site AS (
 
 @query(PRODUCTION_SQL + """
 SELECT site, ts, round(actual, 9) AS actual, round(possible, 9) AS possible, round(tcell, 9) AS tcell,
-       round(endci, 9) AS endci, round(meter / nullif(endci, 0), 9) AS perf_ratio, round(module_loss, 12) AS module_loss,
-       round(soiling_loss, 12) AS soiling_loss, round(curt, 9) AS curt_loss, flag, round(calc, 9) AS calc_kw, round(adj, 9) AS adj_factor
+       round(endci, 9) AS endci, round(meter / nullif(endci, 0), 9) AS perf_ratio, round(module_loss, 14) AS module_loss,
+       round(soiling_loss, 14) AS soiling_loss, round(curt, 9) AS curt_loss, flag, round(calc, 9) AS calc_kw, round(adj, 9) AS adj_factor
 FROM rows
 """)
 def report_rows(spark, sf):
     out = rounded(
         rows_of(spark, sf), 9, "actual", "possible", "tcell", "endci", "perf_ratio", "curt_loss", "adj_factor", "calc_kw"
     )
-    return rounded(out, 12, "module_loss", "soiling_loss").select(
+    return rounded(out, 14, "module_loss", "soiling_loss").select(
         "site", "ts", "actual", "possible", "tcell", "endci", "perf_ratio", "module_loss", "soiling_loss",
         "curt_loss", "flag", "calc_kw", "adj_factor",
     )
@@ -290,14 +290,25 @@ k AS (
 
 
 @query(MINUTES_SQL + """
-SELECT site, CAST(ts AS DATE) AS day, round(sum(kwh), 9) AS curtailed_kwh, round(count(*) FILTER (kwh > 0) / 60.0::DOUBLE, 9) AS curtailed_hours,
+SELECT site, CAST(ts AS DATE) AS day, round(sum(kwh), 7) AS curtailed_kwh, round(count(*) FILTER (kwh > 0) / 60.0::DOUBLE, 9) AS curtailed_hours,
        round(sum(kwh) * 0.0625::DOUBLE, 11) AS lost_revenue
-FROM c GROUP BY GROUPING SETS ((1, 2), (1))
-""".replace("GROUPING SETS ((1, 2), (1))", "GROUPING SETS ((site, CAST(ts AS DATE)), (site))"))
+FROM c GROUP BY 1, 2
+""")
 def setpoint_curtailment_daily(spark, sf):
     rows = ct.setpoint_intervals(minutes(spark, sf), F.lit(CAPACITY))
-    out = ct.daily_summary(rows, ["site"])
-    return rounded(rounded(rounded(out, 9, "curtailed_kwh"), 9, "curtailed_hours"), 11, "lost_revenue")
+    out = ct.daily_summary(rows, ["site"]).filter("day IS NOT NULL")
+    return rounded(rounded(rounded(out, 7, "curtailed_kwh"), 9, "curtailed_hours"), 11, "lost_revenue")
+
+
+@query(MINUTES_SQL + """
+SELECT site, round(sum(kwh), 5) AS curtailed_kwh, round(count(*) FILTER (kwh > 0) / 60.0::DOUBLE, 9) AS curtailed_hours,
+       round(sum(kwh) * 0.0625::DOUBLE, 4) AS lost_revenue
+FROM c GROUP BY 1
+""")
+def setpoint_curtailment_totals(spark, sf):
+    rows = ct.setpoint_intervals(minutes(spark, sf), F.lit(CAPACITY))
+    out = ct.daily_summary(rows, ["site"]).filter("day IS NULL").drop("day")
+    return rounded(rounded(rounded(out, 5, "curtailed_kwh"), 9, "curtailed_hours"), 4, "lost_revenue")
 
 
 @query(MINUTES_SQL + """

@@ -138,3 +138,9 @@ def letters_part(c: Column | str) -> Column:
 
 def digits_part(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), "[^0-9]", "").try_cast("bigint")
+
+
+def short_year_date(text: Column | str, fmt: str) -> Column:
+    """Date with a two-digit year: 69 to 99 are nineteen hundreds, the rest two thousands."""
+    day = F.to_date(F.try_to_timestamp(_col(text), F.lit(fmt)))
+    return F.when(F.year(day) > 2068, F.add_months(day, -1200)).otherwise(day)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.scalars import short_year_date
 from gridloom.operators.lookups import claim_days
 
 
@@ -14,11 +15,12 @@ def parse_outage_dates(log: DataFrame, columns: list[str]) -> DataFrame:
     Unreadable rows are dropped when a column has fewer than three of them; more raise
     an error when the plan runs.
     """
-    formats = {10: "MM/dd/yyyy", 8: "MM/dd/yy"}
     for c in columns:
         text = F.trim(F.col(c))
+        size = F.length(text)
         parsed = F.coalesce(
-            *[F.when(F.length(text) == n, F.try_to_timestamp(text, F.lit(f))) for n, f in formats.items()],
+            F.when(size == 10, F.try_to_timestamp(text, F.lit("MM/dd/yyyy"))),
+            F.when(size == 8, short_year_date(text, "MM/dd/yy").cast("timestamp")),
             F.try_to_timestamp(text),
         ).cast("timestamp_ntz")
         log = log.withColumn(f"_{c}", parsed)
