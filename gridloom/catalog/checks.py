@@ -9,6 +9,7 @@ from gridloom.catalog.registry import query
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import ATTRIBUTES_SQL, READINGS_SQL, attribute_readings, readings
 from gridloom.core.ordered import series
+from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import floor_time
 from gridloom.operators import naming as nm
 from gridloom.operators import quality as qc
@@ -249,6 +250,11 @@ def weather_rows(spark, sf):
     )
 
 
+def met_tables(spark, sf):
+    """Sensor and reference weather tables, stored as they would be landed."""
+    return cut_lineage(met_rows(spark, sf)), cut_lineage(weather_rows(spark, sf))
+
+
 MET_SQL = f"""
 WITH {READINGS_SQL},
 met AS (
@@ -304,13 +310,13 @@ final AS (
 
 
 @query(MET_SQL + """
-SELECT 'plant' AS site, ts, sensor_type, round(average, 6) AS average, all_bad, round(profile, 6) AS profile,
-       round(processed, 6) AS processed, average IS DISTINCT FROM processed AS filled
+SELECT 'plant' AS site, ts, sensor_type, round(average, 9) AS average, all_bad, round(profile, 9) AS profile,
+       round(processed, 9) AS processed, average IS DISTINCT FROM processed AS filled
 FROM final
 """)
 def profile_backfill(spark, sf):
-    out = bf.backfill(met_rows(spark, sf), weather_rows(spark, sf), ["site"], max_gap=0.6)
-    return rounded(out, 6, "average", "profile", "processed")
+    out = bf.backfill(*met_tables(spark, sf), ["site"], max_gap=0.6)
+    return rounded(out, 9, "average", "profile", "processed")
 
 
 @query(MET_SQL + """
@@ -322,7 +328,7 @@ UNION ALL SELECT 'plant', sensor_type, 'backfilled_data', count(*) FROM final
   WHERE average IS DISTINCT FROM processed GROUP BY sensor_type
 """)
 def backfill_change_log(spark, sf):
-    return bf.change_log(met_rows(spark, sf), weather_rows(spark, sf), ["site"], max_gap=0.6)
+    return bf.change_log(*met_tables(spark, sf), ["site"], max_gap=0.6)
 
 
 @query(MET_SQL + """
@@ -333,5 +339,5 @@ FROM met s JOIN mean USING (ts) JOIN prof ON m = month(s.ts) AND h = hour(s.ts)
 LEFT JOIN weather w ON w.ts = date_trunc('hour', s.ts) WHERE s.sensor_type = 'poa'
 """)
 def poa_comparison(spark, sf):
-    out = bf.poa_comparison(met_rows(spark, sf), weather_rows(spark, sf), ["site"])
+    out = bf.poa_comparison(*met_tables(spark, sf), ["site"])
     return rounded(out, 6, "mean", "profile", "poa_global")

@@ -9,9 +9,8 @@ from gridloom.catalog.reports import (
     PRODUCTION_SQL,
     inverter_hours,
     production,
+    report_of,
     site_hours,
-    site_totals_of,
-    totals_of,
 )
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import table
@@ -207,7 +206,7 @@ SELECT site, month, round(insolation, 10) AS poa_insolation, round(possible, 10)
 FROM site
 """)
 def kpis_from_report(spark, sf):
-    out = kp.kpis_from_summary(rp.summary_rows(site_totals_of(spark, sf)), KEYS)
+    out = kp.kpis_from_summary(rp.summary_rows(report_of(spark, sf)["sites"]), KEYS)
     names = ["poa_insolation", "possible_generation", "inverter_generation", "meter_generation", "dc_health_loss", "downtime_loss",
              "curtailment_non_compensable"]
     return rounded(out, 10, *names).select(*KEYS, *names)
@@ -217,7 +216,7 @@ def kpis_from_report(spark, sf):
     f"round(greatest({c}, 0), 10) AS {c}" for c in ("energetic_loss", "dc_health", "downtime", "curtailment", "actual", "possible")) + " FROM totals")
 def inverter_summary(spark, sf):
     names = ["energetic_loss", "dc_health", "downtime", "curtailment", "actual", "possible"]
-    return rounded(rp.inverter_summary(totals_of(spark, sf)).drop("availability"), 10, *names)
+    return rounded(rp.inverter_summary(report_of(spark, sf)["inverters"]).drop("availability"), 10, *names)
 
 
 @query(PRODUCTION_SQL + """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.catalog.registry import query
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import READINGS_SQL, readings, table
+from gridloom.core.session import cut_lineage
 from gridloom.operators.timeaxis import (
     instant_to_local,
     local_to_instant,
@@ -33,9 +34,10 @@ def grid(spark, sf, body, header):
     files = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("file")).distinct()
     names = [cell(F.lit(2), i, F.lit(n)) for i, n in enumerate(header)]
     extra = [cell(F.lit(1), 0, F.lit("Meter report")), cell(F.lit(10_000_000), 0, F.lit("Total"))]
-    return body.select("file", "row_no", "col_no", "text").unionByName(
+    cells = body.select("file", "row_no", "col_no", "text").unionByName(
         files.select("file", F.inline(F.array(*names, *extra)))
     )
+    return cut_lineage(cells)  # the landed grid, which a layout reads several times
 
 
 def lines(spark, sf):

@@ -61,12 +61,19 @@ def meta(spark, sf):
     )
 
 
-def rows_of(spark, sf):
-    return rp.report_rows(site_hours(spark, sf), inverter_hours(spark, sf), meta(spark, sf))
+def overrides(spark, sf):
+    """External curtailment totals of one site."""
+    return (
+        table(spark, sf, "orders")
+        .filter("o_orderstatus = 'F'")
+        .groupBy(floor_time("month", "o_orderdate").alias("month"))
+        .agg((F.sum("o_totalprice") / 1e6).alias("curtailment_override"))
+        .select(F.lit("A").alias("site"), "month", "curtailment_override", F.lit(None).cast("double").alias("meter_override"))
+    )
 
 
-def totals_of(spark, sf):
-    return rp.inverter_totals(rows_of(spark, sf), inverter_hours(spark, sf))
+def report_of(spark, sf):
+    return rp.monthly_report(site_hours(spark, sf), inverter_hours(spark, sf), meta(spark, sf), overrides(spark, sf))
 
 
 PRODUCTION_SQL = """
@@ -144,7 +151,7 @@ FROM rows
 """)
 def report_rows(spark, sf):
     out = rounded(
-        rows_of(spark, sf), 9, "actual", "possible", "tcell", "endci", "perf_ratio", "curt_loss", "adj_factor", "calc_kw"
+        rp.report_rows(site_hours(spark, sf), inverter_hours(spark, sf), meta(spark, sf)), 9, "actual", "possible", "tcell", "endci", "perf_ratio", "curt_loss", "adj_factor", "calc_kw"
     )
     return rounded(out, 14, "module_loss", "soiling_loss").select(
         "site", "ts", "actual", "possible", "tcell", "endci", "perf_ratio", "module_loss", "soiling_loss",
@@ -157,18 +164,7 @@ TOTALS = ["ratio_raw", "ratio", "downtime", "curtailment", "actual", "possible",
 
 @query(PRODUCTION_SQL + "SELECT site, month, inv, " + ", ".join(f"round({c}, 9) AS {c}" for c in TOTALS) + " FROM totals")
 def inverter_totals(spark, sf):
-    return rounded(totals_of(spark, sf), 9, *TOTALS)
-
-
-def site_totals_of(spark, sf):
-    claims = (
-        table(spark, sf, "orders")
-        .filter("o_orderstatus = 'F'")
-        .groupBy(floor_time("month", "o_orderdate").alias("month"))
-        .agg((F.sum("o_totalprice") / 1e6).alias("curtailment_override"))
-        .select(F.lit("A").alias("site"), "month", "curtailment_override", F.lit(None).cast("double").alias("meter_override"))
-    )
-    return rp.site_totals(rows_of(spark, sf), totals_of(spark, sf), claims)
+    return rounded(report_of(spark, sf)["inverters"], 9, *TOTALS)
 
 
 SITE = ["energetic_loss", "dc_health", "downtime", "curtailment", "actual", "possible", "insolation", "meter",
@@ -182,7 +178,7 @@ SITE = ["energetic_loss", "dc_health", "downtime", "curtailment", "actual", "pos
        round(1 - actual / nullif(actual + curtailment, 0), 9) AS curtailment_pct
 FROM site""")
 def site_totals(spark, sf):
-    out = rounded(site_totals_of(spark, sf), 9, *SITE)
+    out = rounded(report_of(spark, sf)["sites"], 9, *SITE)
     return rounded(out, 9, "energetic_pct", "dc_health_pct", "availability", "curtailment_pct")
 
 
@@ -198,7 +194,7 @@ SELECT site, month, u.metric, round(u.value, 9) AS value FROM wide, unnest([
   {'metric': 'Insolation', 'value': insolation}]) AS t(u)
 """)
 def report_summary_rows(spark, sf):
-    return rounded(rp.summary_rows(site_totals_of(spark, sf)), 9, "value")
+    return rounded(rp.summary_rows(report_of(spark, sf)["sites"]), 9, "value")
 
 
 @query(PRODUCTION_SQL + """,
@@ -214,8 +210,8 @@ SELECT h.site, h.month, n_inv, ruihn, perf_ratio, sihd, round(meter, 9) AS net,
 FROM h JOIN sih USING (site, month) JOIN s USING (site, month)
 """)
 def unit_hours(spark, sf):
-    totals = site_totals_of(spark, sf)
-    out = cp.unit_hours(rows_of(spark, sf), inverter_hours(spark, sf), totals)
+    report = report_of(spark, sf)
+    out = cp.unit_hours(report["rows"], report["inverter_hours"], report["sites"])
     return rounded(out, 9, "net", "gross")
 
 

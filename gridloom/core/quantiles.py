@@ -13,60 +13,61 @@ SPLITTERS = 64
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
-    """Linearly interpolated quantiles (``percentile`` semantics), one row per group.
+    """Linearly interpolated quantiles (``percentile`` semantics) with the extremes.
 
-    Equal values are first merged into counts.  Approximate splitters cut each group into
-    value buckets, the bucket counts tell which buckets hold the wanted ranks, and only
-    those buckets are ordered.  A group is therefore never sorted or hashed as a whole.
+    One row per group with the quantiles, ``lowest``, ``highest`` and ``n_values``.
+    Approximate splitters cut each group into value buckets, bucket counts tell which
+    buckets hold the wanted ranks, and only the rows of those buckets are shuffled,
+    merged by value and ordered.  A group is never sorted or hashed as a whole.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    counts = rows.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     cuts = F.array(*[F.lit(i / SPLITTERS) for i in range(1, SPLITTERS)])
     sketch = rows.groupBy(*keys).agg(
         F.percentile_approx(value, cuts, 10_000).alias("_cuts"),
-        F.count("*").alias("_total"),
+        F.min(value).alias("lowest"),
+        F.max(value).alias("highest"),
+        F.count("*").alias("n_values"),
     )
-    bucketed = counts.join(sketch, keys).withColumn(
-        "_bucket",
-        F.aggregate(
-            "_cuts", F.lit(0), lambda acc, c: acc + F.when(c < F.col(value), 1).otherwise(0)
+    below_value = F.filter("_cuts", lambda c: c < F.col(value))
+    bucketed = rows.join(sketch, keys).select(*keys, value, F.size(below_value).alias("_bucket"))
+    per_group = Window.partitionBy(*keys).orderBy("_bucket")
+    sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_size"))
+    sizes = sizes.join(sketch.drop("_cuts"), keys).withColumn(
+        "_below",
+        F.coalesce(
+            F.sum("_size").over(per_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ),
     )
-    per_bucket = Window.partitionBy(*keys).orderBy("_bucket")
-    sizes = (
-        bucketed.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_size"), F.first("_total").alias("_total"))
-        .withColumn(
-            "_below",
-            F.coalesce(
-                F.sum("_size").over(per_bucket.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-    )
     # zero-based lower and upper rank for every wanted quantile
-    ranks = {name: q * (F.col("_total") - 1) for name, q in quantiles.items()}
+    ranks = {name: q * (F.col("n_values") - 1) for name, q in quantiles.items()}
     wanted = F.lit(False)
     for rank in ranks.values():
         wanted = wanted | (
             (F.ceil(rank) >= F.col("_below"))
             & (F.floor(rank) < F.col("_below") + F.col("_size"))
         )
-    candidates = bucketed.drop("_total").join(
-        sizes.filter(wanted).select(*keys, "_bucket", "_below", "_total"), [*keys, "_bucket"]
+    targets = sizes.filter(wanted).drop("_size")
+    merged = (
+        bucketed.join(targets.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi")
+        .groupBy(*keys, "_bucket", value)
+        .agg(F.count("*").alias("_n"))
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
-    ends = F.col("_below") + F.sum("_n").over(
-        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (
+        merged.withColumn(
+            "_upto", F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        )
+        .join(targets, [*keys, "_bucket"])
+        .withColumn("_end", F.col("_below") + F.col("_upto"))
+        .withColumn("_start", F.col("_end") - F.col("_n"))
     )
-    placed = candidates.withColumn("_end", ends).withColumn("_start", F.col("_end") - F.col("_n"))
 
     def at(rank):
         hit = (F.col("_start") <= rank) & (rank < F.col("_end"))
         return F.max(F.when(hit, F.col(value)))
 
-    aggs = []
+    aggs = [F.max(c).alias(c) for c in ("lowest", "highest", "n_values")]
     for name, rank in ranks.items():
         aggs += [
             at(F.floor(rank)).alias(f"_lo_{name}"),
@@ -74,12 +75,9 @@ def exact_quantiles(
             F.max(rank - F.floor(rank)).alias(f"_w_{name}"),
         ]
     found = placed.groupBy(*keys).agg(*aggs)
-    return found.select(
-        *keys,
-        *[
-            (
-                F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")
-            ).alias(n)
-            for n in quantiles
-        ],
-    )
+
+    def between(n: str):
+        low, high = F.col(f"_lo_{n}"), F.col(f"_hi_{n}")
+        return (low + (high - low) * F.col(f"_w_{n}")).alias(n)
+
+    return found.select(*keys, *[between(n) for n in quantiles], "lowest", "highest", "n_values")

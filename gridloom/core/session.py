@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,21 +27,26 @@ def build_session(app_name: str = "gridloom", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when the session has
-    neither that setting nor a folder already set (local tests) is a folder chosen
-    here.
+    Only a local session without that setting (tests) gets a temporary folder.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-    elif context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+        folder = tempfile.mkdtemp(prefix="gridloom-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store ``df`` as a table in the shared folder and return a scan of it.
+
+    For results that later steps read several times.  The copy survives lost executors,
+    and each reader scans only the columns it needs.
+    """
+    path = f"{shared_folder(df.sparkSession)}/gridloom/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

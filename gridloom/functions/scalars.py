@@ -107,18 +107,6 @@ def horner(x: Column, coefficients: list[float]) -> Column:
     return out
 
 
-def interpolate_between(x: Column, xs: list[float], ys: list[Column]) -> Column:
-    """Piecewise linear interpolation, the end pieces extended outwards."""
-    def line(i: int) -> Column:
-        slope = (ys[i + 1] - ys[i]) / F.lit(xs[i + 1] - xs[i])
-        return ys[i] + (x - F.lit(xs[i])) * slope
-
-    out = line(len(xs) - 2)
-    for i in range(len(xs) - 3, -1, -1):
-        out = F.when(x <= F.lit(xs[i + 1]), line(i)).otherwise(out)
-    return out
-
-
 def label_key(c: Column | str) -> Column:
     """KPI label to column key: unit dropped, separators to underscores."""
     c = F.split(F.lower(_col(c)), r" \(")[0]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.core.ordered import Series, islands, rolling, runs, scan
+from gridloom.core.ordered import BLOCK, Series, rolling, runs, scan
 from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import clip, round_half_even, seconds_between
 from gridloom.operators.naming import with_qc_type
@@ -116,26 +116,40 @@ def null_outliers(df: DataFrame, by: Series, value="value", block_rows=8192) ->
 
 
 def mark_flat(
-    df: DataFrame, by: Series, value="value", ts="ts", block_rows=8192, materialize=None
+    df: DataFrame, by: Series, value="value", block_rows=8192, materialize=cut_lineage
 ) -> DataFrame:
     """Number the islands between rows whose curvature is not flat.
 
-    Adds ``d1``, ``flat`` (row meets the flat-line condition) and ``island``.
+    Adds ``d1``, ``flat`` (row meets the flat-line condition) and ``island``.  Breaks are
+    counted inside the rolling blocks; after storing that result only the block totals
+    have to be carried on, so the rows are not shuffled again.
     """
 
     def build(rows, w):
         rows = rows.withColumn("d1", F.lead(value).over(w) - F.col(value))
         rows = rows.withColumn("_d2", F.lead("d1").over(w) - F.col("d1"))
         curve = round_half_even(centred(F.col("_d2"), w, 7, 7), 4)
-        return rows.withColumn("_curve", curve).drop("_d2")
+        rows = rows.withColumn("_curve", curve).drop("_d2")
+        own_break = (F.col("_home") == F.col(BLOCK)) & (F.abs("_curve") > 0)
+        flat = (F.col("_curve") == 0) & (~F.col("is_inv") | (F.col(value) > 1))
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return (
+            rows.withColumn("_break", F.when(own_break, 1).otherwise(0))
+            .withColumn("_passed", F.sum("_break").over(upto))
+            .withColumn("flat", F.coalesce(flat, F.lit(False)))
+            .drop("_curve", "_ordinal")
+        )
 
-    rows = rolling(with_qc_type(df), by, 7, 9, build, block_rows)
-    if materialize is not None:
-        rows = materialize(rows)
-    flat = (F.col("_curve") == 0) & (~F.col("is_inv") | (F.col(value) > 1))
-    rows = rows.withColumn("flat", F.coalesce(flat, F.lit(False)))
-    track = Series(by.keys, ("_ordinal",), "_block")
-    return islands(rows, track, F.abs("_curve") > 0).drop("_curve", "_ordinal", "_block")
+    rows = materialize(rolling(with_qc_type(df), by, 7, 9, build, block_rows))
+    keys = list(by.keys)
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys, BLOCK).agg(F.sum("_break").alias("_sum"))
+    carried = totals.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
+    return (
+        rows.join(carried, [*keys, BLOCK], "left")
+        .withColumn("island", F.col("_passed") + F.col("_carry"))
+        .drop("_break", "_passed", "_carry", BLOCK)
+    )
 
 
 def flat_runs(
@@ -243,8 +257,8 @@ def auto_qc(
     kept = df.join(gone, list(by.keys), "left_anti").join(
         bad.select(*site_keys, attribute), [*site_keys, attribute], "left_anti"
     )
-    clean = materialize(null_outliers(kept, by, value, block_rows))
-    marked = materialize(mark_flat(clean, by, value, ts, block_rows))
+    clean = null_outliers(materialize(kept), by, value, block_rows)
+    marked = mark_flat(materialize(clean), by, value, block_rows, materialize)
     verdicts = flat_runs(marked, by.keys, value, ts, attribute, run_rows)
     out = zero_negative(zero_night(null_flat_runs(marked, verdicts, by.keys, value, ts), value), value)
     return out.withColumn(

@@ -175,14 +175,13 @@ def share_outside(
 
 def spike_ratio(df: DataFrame, keys: Sequence[str], value="value") -> DataFrame:
     """How far the maximum stands above the 95th percentile; 0 where that is not positive."""
-    p95 = exact_quantiles(df, keys, value, {"p95": 0.95})
-    extremes = df.groupBy(*keys).agg(F.min(value).alias("lowest"), F.max(value).alias("highest"))
+    p95 = exact_quantiles(df, keys, value, {"p95": 0.95}).drop("n_values")
     ratio = F.when(F.col("p95") > 0, (F.col("highest") - F.col("p95")) / F.col("p95")).otherwise(0.0)
-    return extremes.join(p95, list(keys), "left").withColumn("ratio", ratio)
+    return p95.withColumn("ratio", ratio)
 
 
 def iqr_bounds(df: DataFrame, keys: Sequence[str], multiplier=1.5, value="value") -> DataFrame:
-    q = exact_quantiles(df, keys, value, {"q1": 0.25, "q3": 0.75})
+    q = exact_quantiles(df, keys, value, {"q1": 0.25, "q3": 0.75}).select(*keys, "q1", "q3")
     reach = F.lit(multiplier) * (F.col("q3") - F.col("q1"))
     return q.withColumn("lower", F.col("q1") - reach).withColumn("upper", F.col("q3") + reach)
 

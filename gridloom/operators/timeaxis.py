@@ -237,16 +237,6 @@ def instant_to_local(instant: Column | str, tz: Column | str) -> Column:
     return local.cast("timestamp_ntz")
 
 
-def is_skipped(ts_local: str, tz: str) -> Column:
-    """True for a wall clock the spring change leaves out."""
-    return instant_to_local(local_to_instant(ts_local, tz), tz) != F.col(ts_local)
-
-
-def is_repeated(ts_local: str, tz: str) -> Column:
-    """True for a wall clock that the autumn change passes twice."""
-    return instant_to_local(add_time(local_to_instant(ts_local, tz), 1, "hour"), tz) == F.col(ts_local)
-
-
 def repair_meter_hours(
     df: DataFrame, keys: Sequence[str], tz: str, row: str, value: str = "mwh", ts: str = "ts_local"
 ) -> DataFrame:
@@ -264,10 +254,11 @@ def repair_meter_hours(
             F.max_by(value, row).alias("_v2"),
             F.count("*").alias("_n"),
         )
-        .withColumn("_skipped", is_skipped(ts, tz))
-        .withColumn("_repeated", is_repeated(ts, tz))
+        .withColumn("_instant", local_to_instant(ts, tz))
+        .withColumn("_skipped", instant_to_local("_instant", tz) != F.col(ts))
+        .withColumn("_repeated", instant_to_local(add_time("_instant", 1, "hour"), tz) == F.col(ts))
     )
-    instant = local_to_instant(ts, tz)
+    instant = F.col("_instant")
     passes = F.array_compact(
         F.array(
             F.struct(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import clip, floor_time
 from gridloom.operators.naming import met_type
 from gridloom.operators.quality import clear_days, negative_check, sensor_scores
@@ -56,6 +57,7 @@ def backfill(
     n_clear: int = 5,
     max_gap: float = 0.1,
     from_profile: bool = False,
+    materialize=cut_lineage,
 ) -> DataFrame:
     """One gap-free weather value per site, time stamp and sensor type.
 
@@ -71,8 +73,10 @@ def backfill(
     removed = scores.filter("bad").select(*keys, "attribute")
     kept = sensors.join(removed, [*keys, "attribute"], "left_anti")
     cleaned = negative_check(kept)
-    averaged = cleaned.groupBy(*keys, "ts", "sensor_type").agg(
-        F.avg("cleaned").alias("average"), F.min("bad").alias("all_bad")
+    averaged = materialize(
+        cleaned.groupBy(*keys, "ts", "sensor_type").agg(
+            F.avg("cleaned").alias("average"), F.min("bad").alias("all_bad")
+        )
     )
     present = averaged.select(*keys, "sensor_type").distinct()
     # types without a sensor get one row per time stamp of the site, filled further down
@@ -106,11 +110,14 @@ def backfill(
     )
 
 
-def change_log(readings: DataFrame, weather: DataFrame, site_keys: Sequence[str], n_clear=5, max_gap=0.1):
+def change_log(
+    readings: DataFrame, weather: DataFrame, site_keys: Sequence[str], n_clear=5, max_gap=0.1,
+    materialize=cut_lineage,
+) -> DataFrame:
     """Audit rows: removed sensors, negative and out-of-limit counts, filled rows."""
     keys = list(site_keys)
     sensors = typed_sensors(readings)
-    scores = irradiance_scores(sensors, weather, keys, n_clear, max_gap).filter("bad")
+    scores = materialize(irradiance_scores(sensors, weather, keys, n_clear, max_gap).filter("bad"))
     removed = scores.select(
         *keys, F.col("attribute").alias("item"), F.lit("removed_columns").alias("rule"), F.lit(1).cast("bigint").alias("n")
     )

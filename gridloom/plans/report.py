@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import floor_time, sum0
 from gridloom.operators.summaries import insolation
 from gridloom.plans.curtailment import curtailed_power
@@ -255,3 +256,27 @@ def possible_vs_actual(
         F.col("possible_kw").isNotNull(), F.least(F.col("possible_kw"), F.col("_cap"))
     )
     return merged.join(caps, list(keys), "left").withColumn("possible_kw", capped).drop("_cap")
+
+
+def monthly_report(
+    site_hours: DataFrame,
+    inverter_hours: DataFrame,
+    meta: DataFrame,
+    overrides: DataFrame | None = None,
+    materialize=cut_lineage,
+) -> dict[str, DataFrame]:
+    """Rows, inverter totals and site totals of all sites and months.
+
+    The hourly inputs and the row formulas are stored once, as every later table reads
+    them again; raw interval data is therefore scanned a single time.
+    """
+    site_hours, inverter_hours = materialize(site_hours), materialize(inverter_hours)
+    rows = materialize(report_rows(site_hours, inverter_hours, meta))
+    totals = materialize(inverter_totals(rows, inverter_hours))
+    return {
+        "site_hours": site_hours,
+        "inverter_hours": inverter_hours,
+        "rows": rows,
+        "inverters": totals,
+        "sites": site_totals(rows, totals, overrides),
+    }
