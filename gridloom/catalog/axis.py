@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.catalog.registry import query
-from gridloom.catalog.views import READINGS_SQL, readings, table
+from gridloom.catalog.views import READINGS_SQL, readings, site_series, table
 from gridloom.core.ordered import series
 from gridloom.functions.scalars import add_time, bucket_start, floor_time
 from gridloom.operators import timeaxis as ta
 from gridloom.operators.events import lost_power, offline_events as find_offline_events
 
-BY_SITE = series(["site"], ["ts", "event_id"], "day")
-
 HOURLY_SQL = f"""
 WITH {READINGS_SQL},
 hourly AS (
@@ -152,7 +150,7 @@ SELECT site, count(*) AS n_rows, min(step) AS min_step_s, max(step) AS max_step_
 FROM steps GROUP BY 1
 """)
 def interval_check(spark, sf):
-    return ta.interval_check(readings(spark, sf), BY_SITE)
+    return ta.interval_check(*site_series(spark, sf))
 
 
 @query(f"""
@@ -164,7 +162,7 @@ SELECT grid.site, label, r.value, r.event_id
 FROM grid ASOF JOIN readings r ON grid.site = r.site AND grid.label >= r.ts
 """)
 def ffill_hourly(spark, sf):
-    return ta.upsample_ffill(readings(spark, sf), BY_SITE, ["value", "event_id"], 3600)
+    return ta.upsample_ffill(*site_series(spark, sf), ["value", "event_id"], 3600)
 
 
 @query(f"""
@@ -180,7 +178,7 @@ SELECT g.site, label,
 FROM grid g ASOF JOIN seg ON g.site = seg.site AND g.label >= seg.ts
 """)
 def interp_hourly(spark, sf):
-    out = ta.upsample_linear(readings(spark, sf), BY_SITE, ["value"], 3600)
+    out = ta.upsample_linear(*site_series(spark, sf), ["value"], 3600)
     return out.withColumn("value", F.round("value", 6))
 
 

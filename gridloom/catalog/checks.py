@@ -4,21 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.catalog.axis import BY_SITE
 from gridloom.catalog.registry import query
 from gridloom.catalog.values import rounded
-from gridloom.catalog.views import ATTRIBUTES_SQL, READINGS_SQL, attribute_readings, readings
-from gridloom.core.ordered import series
+from gridloom.catalog.views import (
+    ATTRIBUTES_SQL,
+    READINGS_SQL,
+    attribute_readings,
+    by_site,
+    readings,
+)
+from gridloom.core.ordered import fit_series
 from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import floor_time
 from gridloom.operators import naming as nm
 from gridloom.operators import quality as qc
 from gridloom.plans import backfill as bf
 
-BY_SENSOR = series(["site", "attribute"], ["ts", "event_id"], "day")
+SENSOR = ["site", "attribute"]
 RUN_ROWS = {"default": 20, "TEMP": 40, "METER": 40, "PAD": 50, "WIND": 60}
 
 
+def by_sensor(rows):
+    return fit_series(rows, SENSOR, ["ts", "event_id"])
+
+
 def is_day():
     return F.hour("ts").between(6, 17)
 
@@ -48,7 +57,7 @@ SELECT attribute, ts, event_id, CASE WHEN NOT outlier THEN round(value, 4) END A
 """)
 def null_outliers(spark, sf):
     rows = attribute_readings(spark, sf).withColumn("value", F.col("value") * 10)
-    out = qc.null_outliers(rows, BY_SENSOR)
+    out = qc.null_outliers(rows, by_sensor(rows))
     return rounded(out, 4, "value").select("attribute", "ts", "event_id", "value", "outlier")
 
 
@@ -92,8 +101,8 @@ FROM verdicts
 """)
 def flatline_runs(spark, sf):
     rows = attribute_readings(spark, sf).withColumn("value", COARSE).withColumn("is_day", is_day())
-    marked = qc.mark_flat(rows, BY_SENSOR)
-    out = qc.flat_runs(marked, BY_SENSOR.keys, run_rows=RUN_ROWS)
+    marked = qc.mark_flat(rows, by_sensor(rows))
+    out = qc.flat_runs(marked, SENSOR, run_rows=RUN_ROWS)
     return rounded(rounded(out, 9, "night_share"), 6, "mean").select(
         "attribute", "n_rows", "run_start", "run_end", "night_share", "mean", "keep"
     )
@@ -158,8 +167,8 @@ FROM out4 GROUP BY 1
 """)
 def autoqc_summary(spark, sf):
     offset = F.when(F.col("attribute").startswith("GHI"), 6.0).otherwise(0.0)
-    rows = attribute_readings(spark, sf).withColumn("value", COARSE - offset)
-    cleaned = qc.auto_qc(rows.withColumn("is_day", is_day()), BY_SENSOR, ["site"], run_rows=RUN_ROWS)
+    rows = attribute_readings(spark, sf).withColumn("value", COARSE - offset).withColumn("is_day", is_day())
+    cleaned = qc.auto_qc(rows, by_sensor(rows), ["site"], run_rows=RUN_ROWS)
     return qc.qc_summary(cleaned, ["attribute"])
 
 
@@ -179,7 +188,7 @@ def changed_ranges(spark, sf):
     raw = readings(spark, sf)
     limited = F.when(F.col("value") > 80, 80.0).otherwise(F.col("value"))
     clean = raw.withColumn("value", F.when(F.col("value") <= 150, limited))
-    return qc.changed_ranges(raw, clean, BY_SITE)
+    return qc.changed_ranges(raw, clean, by_site(raw))
 
 
 @query(f"""

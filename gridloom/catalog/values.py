@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.catalog.axis import BY_SITE
 from gridloom.catalog.registry import query
-from gridloom.catalog.views import READINGS_SQL, readings, table
-from gridloom.core.ordered import series
+from gridloom.catalog.views import READINGS_SQL, readings, site_series, table
+from gridloom.core.ordered import fit_series
 from gridloom.functions.scalars import add_time, clip
 from gridloom.operators import events as ev
 from gridloom.operators import lookups as lk
@@ -44,7 +43,7 @@ SELECT site, bucket, round(sum(value * dt) / 3.6e9, 6) AS total, round(sum(value
 FROM edge GROUP BY 1, 2
 """)
 def time_weighted_step(spark, sf):
-    out = sm.interval_summary(readings(spark, sf), BY_SITE, 3600, "time_weighted_discrete")
+    out = sm.interval_summary(*site_series(spark, sf), 3600, "time_weighted_discrete")
     return rounded(out, 6, "total", "average", "range", "percent_good")
 
 
@@ -57,7 +56,7 @@ SELECT site, bucket, round(sum((ls + le) / 2 * dt) / 3.6e9, 6) AS total,
 FROM edge GROUP BY 1, 2
 """)
 def time_weighted_continuous(spark, sf):
-    out = sm.interval_summary(readings(spark, sf), BY_SITE, 3600, "time_weighted_continuous")
+    out = sm.interval_summary(*site_series(spark, sf), 3600, "time_weighted_continuous")
     return rounded(out, 6, "total", "average", "minimum", "maximum", "range", "percent_good")
 
 
@@ -69,7 +68,7 @@ SELECT site, date_trunc('hour', ts) AS bucket, round(sum(value), 4) AS total, ro
 FROM readings GROUP BY 1, 2
 """)
 def event_weighted_hourly(spark, sf):
-    out = sm.interval_summary(readings(spark, sf), BY_SITE, 3600, "event_weighted")
+    out = sm.interval_summary(*site_series(spark, sf), 3600, "event_weighted")
     return rounded(rounded(out, 9, "average"), 4, "total").withColumn("range", F.round("range", 6))
 
 
@@ -80,8 +79,9 @@ def event_weighted_hourly(spark, sf):
 SELECT site, asset, bucket, round(max(value) - min(value), 6) AS range FROM edge GROUP BY 1, 2, 3
 """)
 def tracker_daily_range(spark, sf):
-    by = series(["site", "asset"], ["ts", "event_id"], "month")
-    out = sm.interval_summary(readings(spark, sf), by, 86400, "time_weighted_discrete")
+    rows = readings(spark, sf)
+    by = fit_series(rows, ["site", "asset"], ["ts", "event_id"])
+    out = sm.interval_summary(rows, by, 86400, "time_weighted_discrete")
     return rounded(out, 6, "range").select("site", "asset", "bucket", "range")
 
 
@@ -180,10 +180,7 @@ FROM readings r JOIN q USING (site)
 WHERE r.value < q1 - 1.5 * (q3 - q1) OR r.value > q3 + 1.5 * (q3 - q1)
 """)
 def iqr_outliers(spark, sf):
-    rows = readings(spark, sf)
-    out = rows.join(sm.iqr_bounds(rows, ["site"]), "site").filter(
-        (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
-    )
+    out = sm.iqr_outliers(readings(spark, sf), ["site"])
     return rounded(out, 6, "lower", "upper").select("event_id", "site", "ts", "value", "lower", "upper")
 
 
@@ -195,7 +192,7 @@ z AS (
 SELECT event_id, site, ts, value, round(zscore, 6) AS zscore FROM z WHERE abs(zscore) > 3
 """)
 def rolling_z_outliers(spark, sf):
-    out = qc.rolling_zscore(readings(spark, sf), BY_SITE, qc.ZSCORE_ROWS[1])
+    out = qc.rolling_zscore(*site_series(spark, sf), qc.ZSCORE_ROWS[1])
     return rounded(out.filter(F.abs("zscore") > 3), 6, "zscore").select(
         "event_id", "site", "ts", "value", "zscore"
     )
@@ -211,7 +208,7 @@ j AS (
 SELECT event_id, site, ts, round(jump, 6) AS jump FROM j WHERE jump > 100
 """)
 def centred_rolling_outliers(spark, sf):
-    out = qc.jump_score(readings(spark, sf), BY_SITE).filter(F.col("jump") > 100)
+    out = qc.jump_score(*site_series(spark, sf)).filter(F.col("jump") > 100)
     return rounded(out, 6, "jump").select("event_id", "site", "ts", "jump")
 
 
@@ -361,7 +358,7 @@ FROM m ASOF LEFT JOIN t ON m.asset = t.asset AND m.ts >= t.ts
 """)
 def asof_target(spark, sf):
     rows = readings(spark, sf).select("site", "asset", "ts", "event_id", "value")
-    by = series(["asset"], ["ts", "event_id"], "day")
+    by = fit_series(rows, ["asset"], ["ts", "event_id"])
     measured = rows.filter("site != 'signup'").drop("site")
     target = rows.filter("site = 'signup'").drop("site")
     return lk.asof_value(measured, target, by, "value", "target", "event_id")
@@ -386,7 +383,7 @@ FROM n WHERE hit GROUP BY asset, island
 """)
 def excursion_events(spark, sf):
     rows = readings(spark, sf).select("site", "asset", "ts", "event_id", "value")
-    by = series(["asset"], ["ts", "event_id"], "day")
+    by = fit_series(rows, ["asset"], ["ts", "event_id"])
     measured = rows.filter("site != 'signup'").drop("site")
     target = rows.filter("site = 'signup'").drop("site")
     out = ev.voltage_excursions(measured, target, by, "event_id", band=40.0)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.core.ordered import Series, fit_series
 from gridloom.functions.scalars import nan_to_null
 
 # Telemetry attribute each event type stands for.
@@ -39,6 +40,16 @@ def readings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def by_site(rows: DataFrame) -> Series:
+    """The rows of a site in time order, in chunks of checked size."""
+    return fit_series(rows, ["site"], ["ts", "event_id"])
+
+
+def site_series(spark: SparkSession, sf: str) -> tuple[DataFrame, Series]:
+    rows = readings(spark, sf)
+    return rows, by_site(rows)
+
+
 def attribute_readings(spark: SparkSession, sf: str) -> DataFrame:
     """site, attribute, ts, event_id, value with attribute names of the sensor classes."""
     mapping = F.create_map(*[F.lit(x) for kv in ATTRIBUTES.items() for x in kv])

@@ -34,7 +34,7 @@ class Series:
     order: tuple[str, ...]
     chunk: str | int = "day"
 
-    _UNITS = ("year", "quarter", "month", "week", "day", "hour", "minute", "second")
+    _UNITS = ("year", "quarter", "month", "week", "day", "hour", "minute", "second", "millisecond")
 
     def chunk_column(self) -> Column:
         first = F.col(self.order[0])
@@ -51,6 +51,27 @@ class Series:
         return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
 
+# Chunk units from coarse to fine, for :func:`fit_series`.
+FIT_UNITS = ("day", "hour", "minute", "second", "millisecond")
+
+
+def fit_series(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_chunk: int = 2_000_000
+) -> Series:
+    """Series whose chunks are checked to stay below ``rows_per_chunk`` rows.
+
+    Counts the rows per series and chunk (aggregated map-side) and takes the coarsest unit
+    that fits, so dense or hot series are cut finer.  Rows of one and the same time stamp
+    cannot be cut further.
+    """
+    for unit in FIT_UNITS:
+        per_chunk = df.groupBy(*keys, F.date_trunc(unit, order[0]).alias(CHUNK)).agg(F.count("*").alias("n"))
+        largest = per_chunk.agg(F.max("n")).first()[0] or 0
+        if largest <= rows_per_chunk:
+            break
+    return Series(tuple(keys), tuple(order), unit)
+
+
 def series(keys: Sequence[str], order: Sequence[str], chunk: str | int = "day") -> Series:
     return Series(tuple(keys), tuple(order), chunk)
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.core.session import sized
+
 SPLITTERS = 64
 
 
@@ -18,16 +20,19 @@ def exact_quantiles(
     One row per group with the quantiles, ``lowest``, ``highest`` and ``n_values``.
     Approximate splitters cut each group into value buckets, bucket counts tell which
     buckets hold the wanted ranks, and only the rows of those buckets are shuffled,
-    merged by value and ordered.  A group is never sorted or hashed as a whole.
+    merged by value and ordered.  A group is never sorted or hashed as a whole.  The
+    splitters are stored first, so that every pass uses the same ones.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
     cuts = F.array(*[F.lit(i / SPLITTERS) for i in range(1, SPLITTERS)])
-    sketch = rows.groupBy(*keys).agg(
-        F.percentile_approx(value, cuts, 10_000).alias("_cuts"),
-        F.min(value).alias("lowest"),
-        F.max(value).alias("highest"),
-        F.count("*").alias("n_values"),
+    sketch = sized(
+        rows.groupBy(*keys).agg(
+            F.percentile_approx(value, cuts, 10_000).alias("_cuts"),
+            F.min(value).alias("lowest"),
+            F.max(value).alias("highest"),
+            F.count("*").alias("n_values"),
+        )
     )
     below_value = F.filter("_cuts", lambda c: c < F.col(value))
     bucketed = rows.join(sketch, keys).select(*keys, value, F.size(below_value).alias("_bucket"))
@@ -47,7 +52,7 @@ def exact_quantiles(
             (F.ceil(rank) >= F.col("_below"))
             & (F.floor(rank) < F.col("_below") + F.col("_size"))
         )
-    targets = sizes.filter(wanted).drop("_size")
+    targets = sized(sizes.filter(wanted).drop("_size"))
     merged = (
         bucketed.join(targets.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi")
         .groupBy(*keys, "_bucket", value)

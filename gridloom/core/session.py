@@ -50,3 +50,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/gridloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Store a summary table so that the planner knows its true size before a join.
+
+    Joined to a large table it is broadcast if it is below the broadcast threshold and
+    shuffled otherwise.  Without the stored size an aggregate counts as large as its
+    input, and the large table would be shuffled on a possibly hot key.
+    """
+    return cut_lineage(df)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, runs
+from gridloom.core.session import sized
 from gridloom.functions.scalars import add_time, seconds_between, sum0
 from gridloom.operators.lookups import asof_value
 
@@ -62,7 +63,7 @@ def rescale_by_max(
     df: DataFrame, keys: Sequence[str], value: str, limit: float, factor: float, above: bool = True
 ) -> DataFrame:
     """Multiply a series by ``factor`` when its maximum is above (or below) ``limit``."""
-    peak = df.groupBy(*keys).agg(F.max(value).alias("_peak"))
+    peak = sized(df.groupBy(*keys).agg(F.max(value).alias("_peak")))
     hit = F.col("_peak") > limit if above else F.col("_peak") < limit
     out = df.join(peak, list(keys))
     return out.withColumn(

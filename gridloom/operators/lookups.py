@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, ordinal, scan
+from gridloom.core.session import sized
 from gridloom.functions.scalars import seconds_between
 from gridloom.functions.text import substrings
 
@@ -16,6 +17,7 @@ def clamped_rate(
     wanted: DataFrame, rates: DataFrame, site="site", month="month", rate="rate", default=0.0
 ) -> DataFrame:
     """Rate of a site and month; months after the last one use the last, unknown sites the default."""
+    rates = sized(rates)
     last = rates.agg(F.max(month).alias("_last")).scalar()
     priced = rates.select(site, F.col(month).alias("_month"), F.col(rate).alias("_rate"))
     out = wanted.withColumn("_month", F.least(F.col(month), last)).join(priced, [site, "_month"], "left")
@@ -53,7 +55,7 @@ def overlap_clip(
     ``windows`` has one row per group with ``range_start`` and ``range_end``.  Events at
     least as long as the whole range once clipped are dropped.
     """
-    out = events.join(windows, list(on)).filter(
+    out = events.join(sized(windows), list(on)).filter(
         (F.col(start) < F.col("range_end")) & (F.col(end) > F.col("range_start"))
     )
     out = (
@@ -101,7 +103,7 @@ def presence(wanted: DataFrame, stored: DataFrame, on: Sequence[str]) -> DataFra
 
 def latest_wins(df: DataFrame, item: Sequence[str], rank: Sequence[str], source: str) -> DataFrame:
     """Rows of each item from the latest source that holds it."""
-    best = df.groupBy(*item).agg(F.max_by(source, F.struct(*rank, source)).alias(source))
+    best = sized(df.groupBy(*item).agg(F.max_by(source, F.struct(*rank, source)).alias(source)))
     return df.join(best, [*item, source], "left_semi")
 
 
@@ -188,7 +190,7 @@ def compare_meters(
 
 def even_chunks(df: DataFrame, by: Series, n_chunks: int, name: str = "chunk") -> DataFrame:
     """Cut each group's ordered items into ``n_chunks`` equally sized consecutive chunks."""
-    sizes = df.groupBy(*by.keys).agg(F.count("*").alias("_all"))
+    sizes = sized(df.groupBy(*by.keys).agg(F.count("*").alias("_all")))
     placed = ordinal(df, by).join(sizes, list(by.keys))
     width = F.ceil(F.col("_all") / F.lit(n_chunks))
     return placed.withColumn(name, F.floor((F.col("_ordinal") - 1) / width) + 1).drop("_ordinal", "_all")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import BLOCK, Series, rolling, runs, scan
-from gridloom.core.session import cut_lineage
+from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import clip, round_half_even, seconds_between
 from gridloom.operators.naming import with_qc_type
 from gridloom.operators.summaries import r2_score, share_outside, spike_ratio
@@ -35,7 +35,7 @@ SENSOR_LIMITS = {
 
 def drop_empty(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
     """Leave out series without any value."""
-    full = df.groupBy(*keys).agg(F.count(value).alias("_n")).filter("_n > 0")
+    full = sized(df.groupBy(*keys).agg(F.count(value).alias("_n")).filter("_n > 0"))
     return df.join(full, list(keys), "left_semi")
 
 
@@ -100,7 +100,7 @@ def null_outliers(df: DataFrame, by: Series, value="value", block_rows=8192) ->
     left alone.
     """
     scored = with_qc_type(jump_score(df, by, value, block_rows))
-    ratios = spike_ratio(df, by.keys, value).select(*by.keys, "ratio")
+    ratios = sized(spike_ratio(df, by.keys, value).select(*by.keys, "ratio"))
     low, high = TEMP_RANGE
     rule = (
         F.when(F.col("is_wind"), F.abs(value) > WIND_LIMIT)
@@ -144,7 +144,9 @@ def mark_flat(
     keys = list(by.keys)
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*keys, BLOCK).agg(F.sum("_break").alias("_sum"))
-    carried = totals.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
+    carried = sized(
+        totals.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
+    )
     return (
         rows.join(carried, [*keys, BLOCK], "left")
         .withColumn("island", F.col("_passed") + F.col("_carry"))
@@ -207,7 +209,7 @@ def flat_runs(
 
 def null_flat_runs(marked: DataFrame, verdicts: DataFrame, keys, value="value", ts="ts"):
     """Null every row between the first and last row of the removed runs."""
-    spans = verdicts.filter("removed").select(*keys, "island", "run_start", "run_end")
+    spans = sized(verdicts.filter("removed").select(*keys, "island", "run_start", "run_end"))
     out = marked.join(spans, [*keys, "island"], "left")
     hit = F.coalesce(F.col(ts).between(F.col("run_start"), F.col("run_end")), F.lit(False))
     return (
@@ -254,6 +256,7 @@ def auto_qc(
     )
     temps = with_qc_type(df, attribute).filter("is_temp")
     bad = bad_temperature_sensors(temps, site_keys, attribute, value).filter("removed")
+    gone, bad = sized(gone), sized(bad)
     kept = df.join(gone, list(by.keys), "left_anti").join(
         bad.select(*site_keys, attribute), [*site_keys, attribute], "left_anti"
     )
@@ -339,7 +342,8 @@ def sensor_scores(
     ``1 - max_gap``; ``delta_pct`` is the distance from the mean score of the site.
     """
     keys = list(site_keys)
-    on_days = sensors.withColumn("date", F.to_date(ts)).join(days.select(*keys, "date"), [*keys, "date"], "left_semi")
+    chosen = sized(days.select(*keys, "date"))
+    on_days = sensors.withColumn("date", F.to_date(ts)).join(chosen, [*keys, "date"], "left_semi")
     paired = on_days.join(reference.select(*keys, ts, ref), [*keys, ts], "left")
     scored = paired.groupBy(*keys, sensor).agg(r2_score(ref, value).alias("_r2"))
     out = sensors.select(*keys, sensor).distinct().join(scored, [*keys, sensor], "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, scan
 from gridloom.core.quantiles import exact_quantiles
+from gridloom.core.session import sized
 from gridloom.functions.scalars import (
     add_time,
     bucket_start,
@@ -24,10 +25,10 @@ BASES = ("event_weighted", "time_weighted", "time_weighted_discrete", "time_weig
 def with_group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Attach group aggregates to every row by aggregate and join.
 
-    Unlike a window over the group this pre-aggregates before the shuffle, and the join
-    back is one adaptive execution can broadcast or split when a group is large.
+    Unlike a window over the group this pre-aggregates before the shuffle, and the
+    aggregates are broadcast to the rows when their stored size allows it.
     """
-    return df.join(df.groupBy(*keys).agg(*aggs), list(keys))
+    return df.join(sized(df.groupBy(*keys).agg(*aggs)), list(keys))
 
 
 def segments(df: DataFrame, by: Series, bucket_seconds: int, value="value", ts="ts") -> DataFrame:
@@ -186,6 +187,14 @@ def iqr_bounds(df: DataFrame, keys: Sequence[str], multiplier=1.5, value="value"
     return q.withColumn("lower", F.col("q1") - reach).withColumn("upper", F.col("q3") + reach)
 
 
+def iqr_outliers(df: DataFrame, keys: Sequence[str], multiplier=1.5, value="value") -> DataFrame:
+    """Rows outside the interquartile bounds of their group, with the bounds."""
+    bounds = sized(iqr_bounds(df, keys, multiplier, value).select(*keys, "lower", "upper"))
+    return df.join(bounds, list(keys)).filter(
+        (F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper"))
+    )
+
+
 def r2_score(truth: str, predicted: str) -> Column:
     """Coefficient of determination of ``predicted`` against ``truth`` as an aggregate.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, scan
+from gridloom.core.session import sized
 from gridloom.functions.scalars import add_time, bucket_start, floor_time, seconds_between
 
 STEP_BLOCK = 4096
@@ -389,7 +390,7 @@ def daylight_table(sites: DataFrame, dates: DataFrame, keys: Sequence[str]) -> D
 
 def flag_daylight(df: DataFrame, daylight: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
     """Add ``is_day``: the reading lies in its day's daylight, both ends included."""
-    lit = daylight.select(*keys, F.col("date").alias("_date"), "dawn", "dusk")
+    lit = sized(daylight.select(*keys, F.col("date").alias("_date"), "dawn", "dusk"))
     out = df.withColumn("_date", F.to_date(ts)).join(lit, [*keys, "_date"], "left")
     is_day = F.coalesce(F.col(ts).between(F.col("dawn"), F.col("dusk")), F.lit(False))
     return out.withColumn("is_day", is_day).drop("_date", "dawn", "dusk")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.core.session import cut_lineage
+from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import clip, floor_time
 from gridloom.operators.naming import met_type
 from gridloom.operators.quality import clear_days, negative_check, sensor_scores
@@ -70,7 +70,7 @@ def backfill(
     keys = list(site_keys)
     sensors = typed_sensors(readings)
     scores = irradiance_scores(sensors, weather, keys, n_clear, max_gap)
-    removed = scores.filter("bad").select(*keys, "attribute")
+    removed = sized(scores.filter("bad").select(*keys, "attribute"))
     kept = sensors.join(removed, [*keys, "attribute"], "left_anti")
     cleaned = negative_check(kept)
     averaged = materialize(

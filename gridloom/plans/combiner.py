@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, ordinal
+from gridloom.core.session import sized
 from gridloom.functions.scalars import clip
 from gridloom.functions.text import substrings
+from gridloom.operators.summaries import with_group
 
 # Thresholds (amps, shares) and probe hours of the daily checks.
 THRESHOLDS = {
@@ -38,9 +40,9 @@ SYMBOLS = {
 
 def dc_weights(design: DataFrame, keys: Sequence[str] = ("site", "inv")) -> DataFrame:
     """Combiner size relative to its inverter's mean, and that divided by the count."""
-    group = design.groupBy(*keys).agg(F.avg("kwdc").alias("_mean"), F.count("*").alias("_n"))
+    group = (F.avg("kwdc").alias("_mean"), F.count("*").alias("_n"))
     return (
-        design.join(group, list(keys))
+        with_group(design, keys, *group)
         .withColumn("dc_weight", F.try_divide(F.col("kwdc"), F.col("_mean")))
         .withColumn("dc_weight_adj", F.col("dc_weight") / F.col("_n"))
         .drop("_mean", "_n")
@@ -90,7 +92,7 @@ def combiner_rows(
     possible_kw.  ``weights`` comes from :func:`dc_weights`.
     """
     rows = combiners.withColumn("amps", clip("amps", 0.0)).join(
-        weights.select("site", "inv", "cmb", "dc_weight_adj"), ["site", "inv", "cmb"]
+        sized(weights.select("site", "inv", "cmb", "dc_weight_adj")), ["site", "inv", "cmb"]
     )
     rows = rows.join(inverters, ["site", "inv", "ts"])
     if curtailment is None:

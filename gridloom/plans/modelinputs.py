@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.core.session import sized
 from gridloom.functions.scalars import floor_time
+from gridloom.operators.summaries import with_group
 
 # Open-rack glass/polymer module temperature parameters.
 TEMPERATURE_A = -3.56
@@ -38,11 +40,10 @@ def model_weather(met: DataFrame, losses: DataFrame) -> DataFrame:
     ``met``: site, ts, poa, temp_air, wind_speed, module_temp.  Sites whose module
     temperature is missing in more than half of the rows use the temperature model.
     """
-    usable = met.groupBy("site").agg(
-        (F.avg(F.col("module_temp").isNull().cast("double")) <= 0.5).alias("_measured")
-    )
+    measured = (F.avg(F.col("module_temp").isNull().cast("double")) <= 0.5).alias("_measured")
     modelled = F.col("poa") * F.exp(TEMPERATURE_A + TEMPERATURE_B * F.col("wind_speed")) + F.col("temp_air")
-    out = met.join(usable, "site").join(losses.select("site", "array_factor", "dc_factor"), "site")
+    factors = sized(losses.select("site", "array_factor", "dc_factor"))
+    out = with_group(met, ["site"], measured).join(factors, "site")
     return (
         out.withColumn("effective_irradiance", F.col("poa") * F.col("array_factor") * F.col("dc_factor"))
         .withColumn("module_temp", F.when(F.col("_measured"), F.col("module_temp")).otherwise(modelled))

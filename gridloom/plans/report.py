@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.core.session import cut_lineage
+from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import floor_time, sum0
-from gridloom.operators.summaries import insolation
+from gridloom.operators.summaries import insolation, with_group
 from gridloom.plans.curtailment import curtailed_power
 
 # Meter deviation limit, irradiance threshold, line-loss shares.
@@ -61,20 +61,20 @@ def report_rows(site_hours: DataFrame, inverter_hours: DataFrame, meta: DataFram
         sum0("model_kw").alias("model_sum"),
         F.count_if(F.col("kw") == 0).alias("n_zero"),
     )
-    counts = inverter_hours.groupBy("site", floor_time("month", "ts").alias("month")).agg(
-        F.count_distinct("inv").alias("n_inv")
+    counts = sized(
+        inverter_hours.groupBy("site", floor_time("month", "ts").alias("month")).agg(
+            F.count_distinct("inv").alias("n_inv")
+        )
     )
     rows = (
         site_hours.join(sums, ["site", "ts"])
-        .join(meta, "site")
+        .join(sized(meta), "site")
         .withColumn("month", floor_time("month", "ts"))
         .withColumn("possible", F.least(F.col("model_sum") / 1000, F.col("mwac")))
         .withColumn("tcell", F.col("module_temp") + F.col("poa") / 1000 * 3)
     )
-    typical = rows.groupBy("site", "month").agg(
-        F.try_divide(F.sum(F.col("poa") * F.col("tcell")), F.sum("poa")).alias("tcell_avg")
-    )
-    rows = rows.join(typical, ["site", "month"]).join(counts, ["site", "month"])
+    typical = F.try_divide(F.sum(F.col("poa") * F.col("tcell")), F.sum("poa")).alias("tcell_avg")
+    rows = with_group(rows, ["site", "month"], typical).join(counts, ["site", "month"])
     meter, actual, possible = F.col("meter_mwh"), F.col("actual"), F.col("possible")
     endci = (
         F.col("mwdc") * F.col("poa") / 1000 * (1 - F.col("tcoeff") * (F.col("tcell_avg") - F.col("tcell")))
@@ -130,7 +130,7 @@ def production_ratios(inverter_rows: DataFrame) -> DataFrame:
 def inverter_totals(rows: DataFrame, inverter_hours: DataFrame) -> DataFrame:
     """Monthly energy balance of every inverter (MWh)."""
     inv = _inverter_rows(rows, inverter_hours)
-    inv = inv.join(production_ratios(inv), ["site", "month", "inv"])
+    inv = inv.join(sized(production_ratios(inv)), ["site", "month", "inv"])
     sunny, curtailed = F.col("poa") >= MIN_POA, F.col("curt_loss") > 0
     flag = F.col("flag")
     gap = F.col("ratio") * F.col("poa") - F.col("kw")
