@@ -396,7 +396,7 @@ SELECT event_id, site, asset, round(CASE WHEN max(value) OVER (PARTITION BY site
 FROM readings
 """)
 def rescale_by_max(spark, sf):
-    out = ev.rescale_by_max(readings(spark, sf), ["site", "asset"], "value", 200, 0.1)
+    out = ev.rescale_by_max(readings(spark, sf), ["site", "asset"], "value", 200, lambda v: v / 10)
     return rounded(out, 6, "value").select("event_id", "site", "asset", "value")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,14 +60,15 @@ def offline_events(df: DataFrame, by: Series, threshold: Column | int, ts: str =
 
 
 def rescale_by_max(
-    df: DataFrame, keys: Sequence[str], value: str, limit: float, factor: float, above: bool = True
+    df: DataFrame, keys: Sequence[str], value: str, limit: float,
+    change: Callable[[Column], Column], above: bool = True,
 ) -> DataFrame:
-    """Multiply a series by ``factor`` when its maximum is above (or below) ``limit``."""
+    """Apply ``change`` to a series whose maximum is above (or below) ``limit``."""
     peak = sized(df.groupBy(*keys).agg(F.max(value).alias("_peak")))
     hit = F.col("_peak") > limit if above else F.col("_peak") < limit
     out = df.join(peak, list(keys))
     return out.withColumn(
-        value, F.when(F.coalesce(hit, F.lit(False)), F.col(value) * factor).otherwise(F.col(value))
+        value, F.when(F.coalesce(hit, F.lit(False)), change(F.col(value))).otherwise(F.col(value))
     ).drop("_peak")
 
 
@@ -76,8 +77,8 @@ def voltage_excursions(
     value="value", ts="ts",
 ) -> DataFrame:
     """Runs in which the measured voltage leaves the band around the latest target."""
-    m = rescale_by_max(measured, by.keys, value, 1e3, 0.1)
-    t = rescale_by_max(target, by.keys, value, 1e3, 0.1)
+    m = rescale_by_max(measured, by.keys, value, 1e3, lambda v: v / 10)
+    t = rescale_by_max(target, by.keys, value, 1e3, lambda v: v / 10)
     joined = asof_value(m, t, by, value, "target", tie).withColumn(
         "delta", F.col(value) - F.col("target")
     )
