@@ -33,7 +33,10 @@ def is_day():
 
 
 # coarse sensor resolution gives spikes as well as long flat stretches
-COARSE = F.floor(F.col("value") / 200) * 2000.0
+def coarse():
+    return F.floor(F.col("value") / 200) * 2000.0
+
+
 COARSE_SQL = "floor(value / 200) * 2000.0"
 
 
@@ -100,7 +103,7 @@ SELECT attribute, n_rows, run_start, run_end, round(pn, 9) AS night_share, round
 FROM verdicts
 """)
 def flatline_runs(spark, sf):
-    rows = attribute_readings(spark, sf).withColumn("value", COARSE).withColumn("is_day", is_day())
+    rows = attribute_readings(spark, sf).withColumn("value", coarse()).withColumn("is_day", is_day())
     marked = qc.mark_flat(rows, by_sensor(rows))
     out = qc.flat_runs(marked, SENSOR, run_rows=RUN_ROWS)
     return rounded(rounded(out, 9, "night_share"), 6, "mean").select(
@@ -167,7 +170,7 @@ FROM out4 GROUP BY 1
 """)
 def autoqc_summary(spark, sf):
     offset = F.when(F.col("attribute").startswith("GHI"), 6.0).otherwise(0.0)
-    rows = attribute_readings(spark, sf).withColumn("value", COARSE - offset).withColumn("is_day", is_day())
+    rows = attribute_readings(spark, sf).withColumn("value", coarse() - offset).withColumn("is_day", is_day())
     cleaned = qc.auto_qc(rows, by_sensor(rows), ["site"], run_rows=RUN_ROWS)
     return qc.qc_summary(cleaned, ["attribute"])
 

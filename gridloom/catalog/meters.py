@@ -19,7 +19,8 @@ from gridloom.sources import meters as mt
 
 # Lines are grouped into files by return flag; a file has a title row, a header row and
 # one row per day or interval.
-DAY_ROW = F.datediff("l_shipdate", F.lit("1995-01-01").cast("date")) + 3
+def day_row():
+    return F.datediff("l_shipdate", F.lit("1995-01-01").cast("date")) + 3
 
 
 def cell(row, col, text):
@@ -48,10 +49,10 @@ def lines(spark, sf):
 
 def wide_grid(spark, sf):
     rows = lines(spark, sf)
-    energy = rows.groupBy("file", DAY_ROW.alias("row_no"), F.col("hour").alias("col_no")).agg(
+    energy = rows.groupBy("file", day_row().alias("row_no"), F.col("hour").alias("col_no")).agg(
         F.sum("l_quantity").cast("string").alias("text")
     )
-    days = rows.select("file", DAY_ROW.alias("row_no"), F.lit(0).alias("col_no"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("text")).distinct()
+    days = rows.select("file", day_row().alias("row_no"), F.lit(0).alias("col_no"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("text")).distinct()
     return grid(spark, sf, energy.unionByName(days), ["Day", *[f"HE {h:02d} (MWh)" for h in range(1, 25)]])
 
 
@@ -86,7 +87,7 @@ SELECT file, day::TIMESTAMP + CAST(substr(label, 1, 2) AS INTEGER) * INTERVAL 1
 """)
 def interval_ending_shift(spark, sf):
     quarter = (F.col("l_orderkey") % 96).cast("int")
-    rows = lines(spark, sf).groupBy("file", "l_shipdate", quarter.alias("q"), (DAY_ROW * 100 + quarter).alias("row_no")).agg(
+    rows = lines(spark, sf).groupBy("file", "l_shipdate", quarter.alias("q"), (day_row() * 100 + quarter).alias("row_no")).agg(
         F.sum("l_quantity").alias("mwh")
     )
     end = F.col("q") + 1
@@ -109,7 +110,7 @@ def interval_ending_shift(spark, sf):
 SELECT l_returnflag AS file, l_shipdate + (l_orderkey % 24) * INTERVAL 1 HOUR AS ts_local, round(sum(l_quantity) * 0.001::DOUBLE, 6) AS mwh FROM lineitem GROUP BY 1, 2
 """)
 def long_packed_hours(spark, sf):
-    rows = lines(spark, sf).groupBy("file", "l_shipdate", "hour", (DAY_ROW * 100 + F.col("hour")).alias("row_no")).agg(
+    rows = lines(spark, sf).groupBy("file", "l_shipdate", "hour", (day_row() * 100 + F.col("hour")).alias("row_no")).agg(
         F.sum("l_quantity").alias("kw")
     )
     packed = F.regexp_replace(F.date_format("l_shipdate", "MMddyy"), "^0", "")
@@ -133,7 +134,7 @@ WITH h AS (
 SELECT file, ts_local, coalesce(lag(mwh) OVER (PARTITION BY file ORDER BY ts_local), 0) AS mwh FROM h
 """)
 def shifted_schedule(spark, sf):
-    rows = lines(spark, sf).groupBy("file", "l_shipdate", "hour", (DAY_ROW * 100 + F.col("hour")).alias("row_no")).agg(
+    rows = lines(spark, sf).groupBy("file", "l_shipdate", "hour", (day_row() * 100 + F.col("hour")).alias("row_no")).agg(
         F.sum("l_quantity").alias("mwh")
     )
     cells = F.inline(
