@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.catalog.registry import query
 from gridloom.catalog.views import READINGS_SQL, readings, site_series, table
 from gridloom.core.ordered import series
+from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import add_time, bucket_start, floor_time
 from gridloom.operators import timeaxis as ta
 from gridloom.operators.events import lost_power, offline_events as find_offline_events
@@ -72,7 +73,8 @@ def offline_events(spark, sf):
     ).withColumnRenamed("bucket", "ts")
     state = ta.reindex(hourly_axis(spark, sf), hours, ["site", "ts"]).join(fleet, "site")
     state = state.withColumn("online", F.coalesce("online", F.lit(0)))
-    power = lost_power(state, ["site", "ts"], "n_assets", "online", solar=False)
+    # hourly rows are few; finding the runs reads them twice
+    power = cut_lineage(lost_power(state, ["site", "ts"], "n_assets", "online", solar=False))
     by = series(["site"], ["ts"], "month")
     return find_offline_events(power, by, 0.98 * F.col("n_assets")).withColumn(
         "n_offline", F.round("n_offline", 6)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from gridloom.core.session import sized
 
 SPLITTERS = 64
+# Rank error below one thousandth keeps the buckets near their even size and the sketches small.
+SKETCH_ACCURACY = 1000
 
 
 def exact_quantiles(
@@ -28,7 +30,7 @@ def exact_quantiles(
     cuts = F.array(*[F.lit(i / SPLITTERS) for i in range(1, SPLITTERS)])
     sketch = sized(
         rows.groupBy(*keys).agg(
-            F.percentile_approx(value, cuts, 10_000).alias("_cuts"),
+            F.percentile_approx(value, cuts, SKETCH_ACCURACY).alias("_cuts"),
             F.min(value).alias("lowest"),
             F.max(value).alias("highest"),
             F.count("*").alias("n_values"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, runs
-from gridloom.core.session import sized
+from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import add_time, seconds_between, sum0
 from gridloom.operators.lookups import asof_value
 
@@ -74,14 +74,19 @@ def rescale_by_max(
 
 def voltage_excursions(
     measured: DataFrame, target: DataFrame, by: Series, tie: str, band: float = 4.0,
-    value="value", ts="ts",
+    value="value", ts="ts", materialize=cut_lineage,
 ) -> DataFrame:
-    """Runs in which the measured voltage leaves the band around the latest target."""
+    """Runs in which the measured voltage leaves the band around the latest target.
+
+    The paired values are stored, as finding the runs reads them twice.
+    """
     m = rescale_by_max(measured, by.keys, value, 1e3, lambda v: v / 10)
     t = rescale_by_max(target, by.keys, value, 1e3, lambda v: v / 10)
-    joined = asof_value(m, t, by, value, "target", tie).withColumn(
+    paired = asof_value(m, t, by, value, "target", tie).withColumn(
         "delta", F.col(value) - F.col("target")
     )
+    order = [c for c in by.order if c not in by.keys]
+    joined = materialize(paired.select(*by.keys, *order, "target", "delta"))
     position = F.struct(*by.order)
     found = runs(
         joined, by, F.abs("delta") > band,

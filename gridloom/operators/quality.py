@@ -47,7 +47,7 @@ def bad_temperature_sensors(
     ``df`` holds the temperature readings only.  A site's single sensor is never dropped.
     """
     low, high = TEMP_RANGE
-    shares = share_outside(df, [*site_keys, sensor], low, high, value).withColumn(
+    shares = sized(share_outside(df, [*site_keys, sensor], low, high, value)).withColumn(
         "_bad", F.col("share_outside") > BAD_SENSOR_SHARE
     )
     site = shares.groupBy(*site_keys).agg(
@@ -248,15 +248,13 @@ def auto_qc(
     changed row, except for negatives.  The intermediate results that later steps read
     more than once are checkpointed.
     """
-    power = with_qc_type(df.select(*site_keys, attribute).distinct(), attribute)
-    inv_sites = power.filter("is_inv").select(*site_keys).distinct().withColumn("_inv", F.lit(True))
-    empty = df.groupBy(*by.keys).agg((F.count(value) == 0).alias("_empty"))
-    gone = (
-        empty.filter("_empty").join(inv_sites, list(site_keys), "left_anti").select(*by.keys)
-    )
+    ids = [*by.keys, *[c for c in (*site_keys, attribute) if c not in by.keys]]
+    found = sized(df.groupBy(*ids).agg((F.count(value) == 0).alias("_empty")))
+    inv_sites = with_qc_type(found, attribute).filter("is_inv").select(*site_keys).distinct()
+    gone = found.filter("_empty").join(inv_sites, list(site_keys), "left_anti").select(*by.keys)
     temps = with_qc_type(df, attribute).filter("is_temp")
     bad = bad_temperature_sensors(temps, site_keys, attribute, value).filter("removed")
-    gone, bad = sized(gone), sized(bad)
+    bad = sized(bad)
     kept = df.join(gone, list(by.keys), "left_anti").join(
         bad.select(*site_keys, attribute), [*site_keys, attribute], "left_anti"
     )
@@ -359,7 +357,7 @@ def sensor_scores(
 
 def changed_ranges(
     raw: DataFrame, clean: DataFrame, by: Series, value="value", ts="ts",
-    step_seconds: int | None = None, min_modified: int = 0,
+    step_seconds: int | None = None, min_modified: int = 0, materialize=cut_lineage,
 ) -> DataFrame:
     """Ranges in which two versions of a series differ after rounding to four digits.
 
@@ -367,13 +365,19 @@ def changed_ranges(
     REMOVED-MODIFIED otherwise; MODIFIED ranges below ``min_modified`` rows are left out.
     Without ``step_seconds`` a range is an unbroken stretch of differing rows.  With it, a
     range goes on while the differing rows follow each other by exactly that step, and the
-    row after a pause only opens the next range without being counted.
+    row after a pause only opens the next range without being counted.  The joined
+    versions are stored, as finding the ranges reads them twice.
     """
     keys = list(by.keys)
     a = raw.select(*keys, *by.order, F.round(value, 4).alias("_a"))
     b = clean.select(*keys, *by.order, F.round(value, 4).alias("_b"))
     both = a.join(b, [*keys, *by.order], "full")
-    both = both.withColumn("_diff", ~F.col("_a").eqNullSafe(F.col("_b")))
+    both = materialize(
+        both.select(
+            *keys, *by.order, (~F.col("_a").eqNullSafe(F.col("_b"))).alias("_diff"),
+            F.col("_b").isNull().alias("_gone"),
+        )
+    )
     if step_seconds is None:
         condition, is_break = F.col("_diff"), ~F.col("_diff")
     else:
@@ -383,7 +387,7 @@ def changed_ranges(
             F.coalesce(seconds_between("_prev", ts), seconds_between(ts, "_next")),
         )
         condition, is_break = F.col("_gap") == step_seconds, F.col("_gap") > step_seconds
-    gone = F.col("_b").isNull()
+    gone = F.col("_gone")
     change = (
         F.when(F.every(gone), "REMOVED").when(F.some(gone), "REMOVED-MODIFIED").otherwise("MODIFIED")
     )

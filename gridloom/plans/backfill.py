@@ -88,7 +88,7 @@ def backfill(
         .withColumn("average", F.lit(None).cast("double"))
         .withColumn("all_bad", F.lit(1))
     )
-    profile = month_hour_profile(averaged, [*keys, "sensor_type"], "average")
+    profile = sized(month_hour_profile(averaged, [*keys, "sensor_type"], "average"))
     rows = (
         averaged.unionByName(absent)
         .withColumn("month", F.month("ts"))
@@ -143,7 +143,7 @@ def poa_comparison(readings: DataFrame, weather: DataFrame, site_keys: Sequence[
     keys = list(site_keys)
     poa = typed_sensors(readings).filter("sensor_type = 'poa'")
     mean = poa.groupBy(*keys, "ts").agg(F.avg("value").alias("mean"))
-    profile = month_hour_profile(mean, keys, "mean")
+    profile = sized(month_hour_profile(mean, keys, "mean"))
     out = (
         poa.select(*keys, "attribute", "ts", "value")
         .join(mean, [*keys, "ts"])

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, ordinal
+from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import (
     add_time,
     floor_time,
@@ -182,7 +183,7 @@ def quarter_labels(records: DataFrame, layout: Layout, keys: Sequence[str] = ("f
         F.trim(F.element_at("fields", F.lit(layout.hour))).alias("label"),
         (to_number(_field(layout.value)) * layout.scale).alias("mwh"),
     )
-    begun = beginning_labels(rows, Series(tuple(keys), ("row_no",), 10_000), "label")
+    begun = beginning_labels(cut_lineage(rows), Series(tuple(keys), ("row_no",), 10_000), "label")
     hour = F.split("label", ":")[0].try_cast("int")
     stamped = begun.withColumn("ts_local", add_time(F.col("day").cast("timestamp_ntz"), hour, "hour"))
     return stamped.groupBy(*keys, "ts_local").agg(
@@ -199,6 +200,8 @@ def long_hours(records: DataFrame, layout: Layout, keys: Sequence[str] = ("file"
         *keys, "row_no", "day", "hour", (to_number(_field(layout.value)) * layout.scale).alias("mwh")
     )
     rows = rows.filter(F.col("day").isNotNull() & F.col("hour").between(1, 24))
+    if layout.shift or layout.relabel:
+        rows = cut_lineage(rows)  # the ordered steps below read the rows twice
     if layout.shift:
         rows = shift_rows(rows, Series(tuple(keys), ("row_no",), 10_000), "mwh")
     stamped = rows.withColumn("ts_local", hour_ending_to_ts("day", "hour"))
