@@ -10,7 +10,9 @@ from gridloom.core.ordered import series
 from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import add_time, bucket_start, floor_time
 from gridloom.operators import timeaxis as ta
-from gridloom.operators.events import lost_power, offline_events as find_offline_events
+from gridloom.operators.events import lost_power
+from gridloom.operators.events import offline_events as find_offline_events
+from gridloom.sources.intervals import in_period
 
 HOURLY_SQL = f"""
 WITH {READINGS_SQL},
@@ -332,3 +334,12 @@ def daylight_times(spark, sf):
         .distinct()
     )
     return ta.daylight_table(sites, dates, ["site"])
+
+
+@query(f"""
+WITH {READINGS_SQL}
+SELECT event_id, site, ts, value FROM readings WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20'
+""")
+def period_filter(spark, sf):
+    rows = in_period(readings(spark, sf), "2024-01-10", "2024-01-20")
+    return rows.select("event_id", "site", "ts", "value")

@@ -242,3 +242,12 @@ def report_interval_table(spark, sf):
     minutes = rows.select("site", "inv", "ts", (F.col("l_quantity") * 10).alias("kw"))
     model = rows.select("site", "inv", "ts", (F.col("l_extendedprice") / 150).alias("kw"))
     return rounded(rp.hourly_inverters(minutes, model, site_hours(spark, sf)), 9, "kw", "model_kw")
+
+
+@query("""
+SELECT l_returnflag || l_linestatus AS site, date_trunc('month', l_shipdate)::TIMESTAMP AS month,
+       round(sum(l_quantity / 100 + CASE WHEN l_tax > 0.02 THEN l_quantity / 50 ELSE 0 END), 6) AS mwh
+FROM lineitem WHERE month(l_shipdate) IN (12, 1, 2) GROUP BY 1, 2
+""")
+def snow_loss_totals(spark, sf):
+    return rounded(snow(spark, sf), 6, "mwh")

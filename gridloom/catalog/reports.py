@@ -480,19 +480,45 @@ def dc_weights(spark, sf):
 
 
 @query(COMBINER_SQL + """
+SELECT site, inv, cmb, flag, count(*) AS n_days, round(sum(loss_mwh), 8) AS loss_mwh FROM flags GROUP BY 1, 2, 3, 4
+""")
+def combiner_losses(spark, sf):
+    return rounded(cb.loss_by_flag(flags_of(spark, sf)), 8, "loss_mwh")
+
+
+MATRIX_SQL = COMBINER_SQL + """
 , l AS (SELECT inv, cmb, flag, sum(loss_mwh) AS loss FROM flags GROUP BY 1, 2, 3),
 rank AS (
   SELECT inv, cmb, arg_max((flag, loss), list_position(['offline', 'underperform', 'comms', 'calibration', 'curtailment', 'tracker_east', 'tracker_west', 'tracker_center'], flag)) AS f
   FROM l GROUP BY 1, 2),
 cell AS (
-  SELECT design.inv, design.cmb, CASE WHEN f IS NULL THEN '' ELSE
-    CASE f[1] WHEN 'offline' THEN 'OFF' WHEN 'underperform' THEN 'UND' WHEN 'comms' THEN 'COMMS' WHEN 'calibration' THEN 'CAL' WHEN 'curtailment' THEN 'CURT' ELSE 'TRK' END
-    || ' ' || printf('%.4f', f[2]) END AS t
+  SELECT design.inv, design.cmb,
+    CASE WHEN f IS NULL THEN '' ELSE CASE f[1] WHEN 'offline' THEN 'OFF' WHEN 'underperform' THEN 'UND' WHEN 'comms' THEN 'COMMS'
+      WHEN 'calibration' THEN 'CAL' WHEN 'curtailment' THEN 'CURT' ELSE 'TRK' END END AS category,
+    CASE WHEN f IS NULL THEN '' ELSE printf('%.4f', f[2]) END AS loss
   FROM design LEFT JOIN rank USING (inv, cmb))
-SELECT 'plant' AS site, inv, """ + ", ".join(f"coalesce(max(t) FILTER (cmb = '{i}'), '-/-') AS \"{i}\"" for i in range(5)) + " FROM cell GROUP BY inv")
-def loss_matrix(spark, sf):
+"""
+
+
+def _matrix_sql(show: str) -> str:
+    columns = ", ".join(f"coalesce(max({show}) FILTER (cmb = '{i}'), '-/-') AS \"{i}\"" for i in range(5))
+    return f"{MATRIX_SQL} SELECT 'plant' AS site, inv, {columns} FROM cell GROUP BY inv"
+
+
+def _matrix(spark, sf, show):
     design = combiner_tables(spark, sf)[3]
-    return cb.loss_matrix(cb.loss_by_flag(flags_of(spark, sf)), design, [str(i) for i in range(5)])
+    losses = cb.loss_by_flag(flags_of(spark, sf))
+    return cb.loss_matrix(losses, design, [str(i) for i in range(5)], show=show)
+
+
+@query(_matrix_sql("loss"))
+def loss_matrix(spark, sf):
+    return _matrix(spark, sf, "loss")
+
+
+@query(_matrix_sql("category"))
+def category_matrix(spark, sf):
+    return _matrix(spark, sf, "category")
 
 
 @query("""

@@ -195,9 +195,10 @@ def loss_by_flag(flags: DataFrame, keys: Sequence[str] = ("site", "inv", "cmb"))
 
 
 def loss_matrix(
-    losses: DataFrame, hierarchy: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("site", "inv")
+    losses: DataFrame, hierarchy: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("site", "inv"),
+    show: str = "loss",
 ) -> DataFrame:
-    """Inverter rows by combiner columns, each cell ``symbol loss``.
+    """Inverter rows by combiner columns, the cells holding the ``loss`` (MWh) or the ``category``.
 
     ``hierarchy`` lists the existing combiners; a column an inverter does not have shows
     ``-/-``, a combiner without finding is empty.  Of several flags of one combiner the
@@ -209,10 +210,11 @@ def loss_matrix(
         F.max_by(F.struct("flag", "loss_mwh"), order).alias("_f")
     )
     filled = hierarchy.select(*keys, "cmb").distinct().join(cell, [*keys, "cmb"], "left")
-    text = F.when(
-        F.col("_f").isNotNull(),
-        F.concat_ws(" ", symbols[F.col("_f.flag")], F.format_number("_f.loss_mwh", 4)),
-    ).otherwise("")
+    if show == "category":
+        shown = symbols[F.col("_f.flag")]
+    else:
+        shown = F.format_string("%.4f", F.col("_f.loss_mwh"))
+    text = F.when(F.col("_f").isNotNull(), shown).otherwise("")
     wide = (
         filled.withColumn("_text", text)
         .groupBy(*keys)

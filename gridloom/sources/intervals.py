@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.core.ordered import series
 from gridloom.functions.scalars import to_number
@@ -49,6 +50,18 @@ def read_wide_csv(spark: SparkSession, path: str | list[str], tz: Column | None
     )
 
 
+def numeric_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Only the numeric columns of a wide table, besides the ones to ``keep``."""
+    numeric = (T.NumericType,)
+    return df.select(*[f.name for f in df.schema.fields if f.name in keep or isinstance(f.dataType, numeric)])
+
+
+def in_period(df: DataFrame, start: str, end: str, ts: str = "ts") -> DataFrame:
+    """Rows of the half-open range ``[start, end)``; the bounds reach the scan."""
+    lower, upper = (F.lit(t).cast("timestamp_ntz") for t in (start, end))
+    return df.filter((F.col(ts) >= lower) & (F.col(ts) < upper))
+
+
 def common_attributes(rows: DataFrame, file="file") -> DataFrame:
     """Rows of the attributes every file has."""
     n_files = rows.agg(F.count_distinct(file)).scalar()

@@ -150,3 +150,9 @@ def test_landing_takes_only_new_files(spark, tmp_path):
 def test_stored_copies_lie_in_the_shared_folder(spark):
     df = cut_lineage(spark.range(5).withColumn("x", F.lit(None).cast("string")))
     assert df.count() == 5 and df.inputFiles()[0].removeprefix("file://").startswith(shared_folder(spark))
+
+
+def test_numeric_columns_and_period(spark):
+    df = spark.createDataFrame([(ts(f"2024-01-0{d}T00:00:00"), "x", 1.0, d) for d in (1, 2, 3)], "ts timestamp_ntz, name string, v double, n int")
+    assert iv.numeric_columns(df, keep=["ts"]).columns == ["ts", "v", "n"]
+    assert rows(iv.in_period(df, "2024-01-01", "2024-01-03"), "n") == [(1,), (2,)]
