@@ -4,87 +4,110 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.core.session import sized
 
-SPLITTERS = 64
-# Rank error below one thousandth keeps the buckets near their even size and the sketches small.
-SKETCH_ACCURACY = 1000
+GRID = 256
+SKETCH_ACCURACY = 2000
+ROWS_TO_ORDER = 1_000_000
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
+    rows_to_order: int = ROWS_TO_ORDER,
 ) -> DataFrame:
     """Linearly interpolated quantiles (``percentile`` semantics) with the extremes.
 
-    One row per group with the quantiles, ``lowest``, ``highest`` and ``n_values``.
-    Approximate splitters cut each group into value buckets, bucket counts tell which
-    buckets hold the wanted ranks, and only the rows of those buckets are shuffled,
-    merged by value and ordered.  A group is never sorted or hashed as a whole.  The
-    splitters are stored first, so that every pass uses the same ones.
+    One row per group with the quantiles, ``lowest``, ``highest`` and ``n_values``.  For
+    every group and quantile a value range known to hold the wanted ranks is narrowed, by
+    approximate quantiles inside the range and exact counts below it, until it has at most
+    ``rows_to_order`` rows.  Only the rows of that range are merged by value and ordered,
+    so a group is never sorted or hashed as a whole, however large it is.
     """
     keys = list(keys)
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    cuts = F.array(*[F.lit(i / SPLITTERS) for i in range(1, SPLITTERS)])
-    sketch = sized(
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    extremes = sized(
         rows.groupBy(*keys).agg(
-            F.percentile_approx(value, cuts, SKETCH_ACCURACY).alias("_cuts"),
-            F.min(value).alias("lowest"),
-            F.max(value).alias("highest"),
-            F.count("*").alias("n_values"),
+            F.min("_v").alias("lowest"), F.max("_v").alias("highest"), F.count("*").alias("n_values")
         )
     )
-    below_value = F.filter("_cuts", lambda c: c < F.col(value))
-    bucketed = rows.join(sketch, keys).select(*keys, value, F.size(below_value).alias("_bucket"))
-    per_group = Window.partitionBy(*keys).orderBy("_bucket")
-    sizes = bucketed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_size"))
-    sizes = sizes.join(sketch.drop("_cuts"), keys).withColumn(
-        "_below",
-        F.coalesce(
-            F.sum("_size").over(per_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
+    wanted = F.array(
+        *[F.struct(F.lit(n).alias("_q"), F.lit(float(q)).alias("_p")) for n, q in quantiles.items()]
     )
-    # zero-based lower and upper rank for every wanted quantile
-    ranks = {name: q * (F.col("n_values") - 1) for name, q in quantiles.items()}
-    wanted = F.lit(False)
-    for rank in ranks.values():
-        wanted = wanted | (
-            (F.ceil(rank) >= F.col("_below"))
-            & (F.floor(rank) < F.col("_below") + F.col("_size"))
-        )
-    targets = sized(sizes.filter(wanted).drop("_size"))
-    merged = (
-        bucketed.join(targets.select(*keys, "_bucket"), [*keys, "_bucket"], "left_semi")
-        .groupBy(*keys, "_bucket", value)
-        .agg(F.count("*").alias("_n"))
+    # zero-based rank of the quantile; the range starts as the whole group
+    ranges = extremes.select("*", F.inline(wanted)).select(
+        *keys, "_q",
+        (F.col("_p") * (F.col("n_values") - 1)).alias("_rank"),
+        F.col("lowest").alias("_lo"), F.col("highest").alias("_hi"),
+        F.lit(0).cast("bigint").alias("_below"), F.col("n_values").alias("_inside"),
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
+    widest = _widest(ranges)
+    while widest > rows_to_order:
+        ranges = _narrow(rows, ranges, keys)
+        before, widest = widest, _widest(ranges)
+        if widest >= before:
+            break  # only repeated values are left, which merge into few rows
+    merged = _within(rows, ranges, keys).groupBy(*keys, "_q", "_v").agg(F.count("*").alias("_n"))
+    ordered = Window.partitionBy(*keys, "_q").orderBy("_v")
     placed = (
-        merged.withColumn(
-            "_upto", F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        )
-        .join(targets, [*keys, "_bucket"])
+        merged.withColumn("_upto", F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+        .join(ranges.select(*keys, "_q", "_rank", "_below"), [*keys, "_q"])
         .withColumn("_end", F.col("_below") + F.col("_upto"))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
 
-    def at(rank):
-        hit = (F.col("_start") <= rank) & (rank < F.col("_end"))
-        return F.max(F.when(hit, F.col(value)))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v")))
+
+    rank = F.col("_rank")
+    low, high = at(F.floor(rank)), at(F.ceil(rank))
+    found = placed.groupBy(*keys, "_q").agg(
+        (low + (high - low) * F.max(rank - F.floor(rank))).alias("_value")
+    )
+    wide = found.groupBy(*keys).pivot("_q", list(quantiles)).agg(F.first("_value"))
+    return wide.join(extremes, keys)
+
+
+def _widest(ranges: DataFrame) -> int:
+    """Most rows in a range that still holds different values."""
+    return ranges.agg(F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_inside")))).first()[0] or 0
+
 
-    aggs = [F.max(c).alias(c) for c in ("lowest", "highest", "n_values")]
-    for name, rank in ranks.items():
-        aggs += [
-            at(F.floor(rank)).alias(f"_lo_{name}"),
-            at(F.ceil(rank)).alias(f"_hi_{name}"),
-            F.max(rank - F.floor(rank)).alias(f"_w_{name}"),
-        ]
-    found = placed.groupBy(*keys).agg(*aggs)
+def _within(rows: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    hits = rows.join(ranges, list(keys))
+    return hits.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
 
-    def between(n: str):
-        low, high = F.col(f"_lo_{n}"), F.col(f"_hi_{n}")
-        return (low + (high - low) * F.col(f"_w_{n}")).alias(n)
 
-    return found.select(*keys, *[between(n) for n in quantiles], "lowest", "highest", "n_values")
+def _narrow(rows: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One round: new bounds from a sketch of the range, accepted after an exact count."""
+    steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    ids = [*keys, "_q"]
+    sketch = _within(rows, ranges, keys).groupBy(*ids).agg(
+        F.percentile_approx("_v", steps, SKETCH_ACCURACY).alias("_grid")
+    )
+    # one grid cell of margin on both sides covers the error of the sketch
+    cell = F.floor((F.col("_rank") - F.col("_below")) / F.col("_inside") * GRID).cast("int")
+    proposed = sized(
+        ranges.join(sketch, ids)
+        .withColumn("_new_lo", F.coalesce(F.get("_grid", F.greatest(cell - 1, F.lit(0))), "_lo"))
+        .withColumn("_new_hi", F.coalesce(F.get("_grid", F.least(cell + 2, F.lit(GRID))), "_hi"))
+        .drop("_grid")
+    )
+    inside = (F.col("_v") >= F.col("_new_lo")) & (F.col("_v") <= F.col("_new_hi"))
+    counts = _within(rows, proposed, keys).groupBy(*ids).agg(
+        F.count_if(F.col("_v") < F.col("_new_lo")).alias("_less"), F.count_if(inside).alias("_kept")
+    )
+    start = F.col("_below") + F.col("_less")
+    holds = (F.floor("_rank") >= start) & (F.ceil("_rank") < start + F.col("_kept"))
+
+    def pick(new: Column, old: str) -> Column:
+        return F.when(holds, new).otherwise(F.col(old)).alias(old)
+
+    return sized(
+        proposed.join(counts, ids).select(
+            *ids, "_rank", pick(F.col("_new_lo"), "_lo"), pick(F.col("_new_hi"), "_hi"),
+            pick(start, "_below"), pick(F.col("_kept"), "_inside"),
+        )
+    )

@@ -7,15 +7,15 @@ from gridloom.core.quantiles import exact_quantiles
 from tests.helpers import rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_the_exact_percentile(spark, seed):
+@pytest.mark.parametrize("seed,rows_to_order", [(1, 1_000_000), (2, 200), (3, 1)])
+def test_equals_the_exact_percentile(spark, seed, rows_to_order):
     rng = random.Random(seed)
     data = [("hot", rng.choice([7.0, rng.expovariate(0.01)])) for _ in range(3000)]
     data += [("same", 4.0)] * 50 + [("one", -2.5)] + [("two", 1.0), ("two", 2.0)] + [("gap", None), ("gap", 3.0)]
     data += [("neg", -rng.random()) for _ in range(200)]
     df = spark.createDataFrame(data, "k string, v double")
     qs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    got = exact_quantiles(df, ["k"], "v", qs)
+    got = exact_quantiles(df, ["k"], "v", qs, rows_to_order)
     want = df.groupBy("k").agg(
         *[F.expr(f"percentile(v, {q}D)").alias(n) for n, q in qs.items()], F.min("v").alias("lowest"),
         F.max("v").alias("highest"), F.count("v").alias("n_values"),
