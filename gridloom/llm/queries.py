@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
+from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
 from gridloom.llm.repetition import score_repetition
 from gridloom.llm.tokencount import count_tokens
 
@@ -32,3 +34,20 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op5_repetition(spark: SparkSession, sf: str) -> DataFrame:
     return score_repetition(documents(spark, sf))
+
+
+def byte_pairs(capacity: int, end_id: int, width: int = 4) -> PackSettings:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken")
+    return PackSettings(*paths, capacity=capacity, end_id=end_id, width=width)
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(documents(spark, sf), byte_pairs(1024, 2))
+
+
+@query
+def op6_packed_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Digest of the packed matrix: the checksum of each row of ids beside its segment lists."""
+    packed = packed_matrix(documents(spark, sf), byte_pairs(2048, 50256, width=2))
+    return packed.withColumn("ids_crc32", F.crc32("input_ids")).drop("input_ids")
