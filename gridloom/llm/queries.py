@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
 from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
+from gridloom.llm.pii import find_pii
 from gridloom.llm.repetition import score_repetition
 from gridloom.llm.tokencount import count_tokens
 
@@ -51,3 +52,8 @@ def op6_packed_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Digest of the packed matrix: the checksum of each row of ids beside its segment lists."""
     packed = packed_matrix(documents(spark, sf), byte_pairs(2048, 50256, width=2))
     return packed.withColumn("ids_crc32", F.crc32("input_ids")).drop("input_ids")
+
+
+@query
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return find_pii(documents(spark, sf))
