@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
+from gridloom.llm.decontam import match_benchmark
 from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
 from gridloom.llm.pii import find_pii
 from gridloom.llm.repetition import score_repetition
@@ -57,3 +58,45 @@ def op6_packed_matrix(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return find_pii(documents(spark, sf))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = match_benchmark(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hit").cast("long").alias("n_hit"),
+        F.size("exact").cast("long").alias("n_items"),
+        F.sha2(F.array_join("exact", ","), 256).alias("items_sha256"),
+        (F.size("hit") > 0).alias("contaminated"),
+    )
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op9_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+k AS (SELECT item_id, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM k, LATERAL unnest(range(1, len(w) - k + 2)) t(i)
+),
+dw AS (
+  SELECT doc_id, i, n.k, array_to_string(w[i:i + n.k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n.k FROM d, (SELECT DISTINCT k FROM bw) n) n, LATERAL unnest(range(1, len(w) - n.k + 2)) t(i)
+),
+hits AS (SELECT doc_id, i, dw.k, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.g = bw.g),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+  sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
