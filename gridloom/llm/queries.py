@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
 from gridloom.llm.decontam import match_benchmark
+from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
 from gridloom.llm.pii import find_pii
 from gridloom.llm.repetition import score_repetition
@@ -73,6 +74,11 @@ def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
