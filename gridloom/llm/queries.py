@@ -14,6 +14,7 @@ from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
 from gridloom.llm.pii import find_pii
 from gridloom.llm.repetition import score_repetition
 from gridloom.llm.tokencount import count_tokens
+from gridloom.llm.toxicity import ToxicitySettings, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,6 +80,13 @@ def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(documents(spark, sf))
 
 
+@query
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    return score_toxicity(documents(spark, sf), labels, ToxicitySettings(*paths))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
