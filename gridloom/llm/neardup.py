@@ -34,7 +34,7 @@ class NearDupSettings:
     rounds: int = 2
     #: node ids that may be broadcast to pick texts; beyond it the join shuffles
     broadcast_ids: int = 1_000_000
-    #: partners of one node that a verifying task reads together
+    #: texts that a verifying task compares with one other, or among each other
     block: int = 512
 
 
@@ -136,6 +136,12 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 SKETCH = "doc_id long, row_key long, text_key long, n_shingles long, set_a long, set_b long, registers binary"
 
 
+def _least_estimate(used: np.ndarray, settings: NearDupSettings) -> np.ndarray:
+    """What a link's estimate over so many registers may come down to by chance."""
+    least = settings.percent / 100
+    return least - settings.slack * np.sqrt(least * (1 - least) / np.maximum(used, 1))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """Set size, set key and registers of every row of (doc_id, text, row_key, text_key)."""
 
@@ -173,15 +179,14 @@ def estimated(pairs: DataFrame, nodes: DataFrame, settings: NearDupSettings) ->
     side = lambda x: nodes.select(
         F.col("node").alias(x), F.col("registers").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}")
     )
-    least = settings.percent / 100
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ra, rb = _registers(b.column("ra")), _registers(b.column("rb"))
             na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
             got = estimate(ra, rb, na, nb)
-            used = np.maximum(((ra > 0) | (rb > 0)).sum(axis=1), 1)
-            ok = got >= least - settings.slack * np.sqrt(least * (1 - least) / used)
+            used = ((ra > 0) | (rb > 0)).sum(axis=1)
+            ok = got >= _least_estimate(used, settings)
             ok &= 100 * np.minimum(na, nb) >= settings.percent * np.maximum(na, nb)
             yield pa.RecordBatch.from_arrays(
                 [b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok)), pa.array(got[ok])], names=["a", "b", "est"]
@@ -242,13 +247,87 @@ def node_texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, settings: N
     return cut_lineage(rows.mapInArrow(run, "node long, text string"))
 
 
+def links_across(labelled: DataFrame, texts: DataFrame, settings: NearDupSettings) -> DataFrame:
+    """Links between components in buckets that have more than one (key, node, c).
+
+    The texts of such a bucket meet in one task, or in one task for each two blocks of a
+    large bucket.  There, pairs of different components are compared by their sketches in
+    the first band they share, and then by their sets, best estimates first; a link found
+    merges two components, so what is confirmed grows with the nodes and not with the pairs.
+    """
+    block, bands, percent = settings.block, settings.bands, settings.percent
+    size = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
+    open_ = size.where("low <> high").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    rows = labelled.join(open_, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = cut_lineage(rows.select("key", "node", "c", "own", "blocks", other))
+    part = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
+    rows = rows.select("key", part.alias("part"), (F.col("own") == F.col("other")).alias("same"), "own", "node", "c")
+    rows = rows.join(texts, "node").select("key", "part", "same", "own", "node", "c", "text")
+    rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "node")
+
+    def compare(key, alike, own, node, c, keys, registers, sizes, sets) -> Iterator[tuple[int, int]]:
+        """Links in one group, at most one for each two components that it brings together."""
+        band = int(np.argmax(keys[0] == key))
+        c = c.copy()
+        for i in range(len(node) - 1):
+            rest = np.arange(i + 1, len(node))
+            rest = rest[(c[rest] != c[i]) & (alike | (own[rest] != own[i]))]
+            rest = rest[100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])]
+            rest = rest[np.argmax(keys[rest] == keys[i], axis=1) == band]
+            if not len(rest):
+                continue
+            got = estimate(registers[rest], np.broadcast_to(registers[i], (len(rest), BUCKETS)), sizes[rest], sizes[i])
+            used = ((registers[rest] > 0) | (registers[i] > 0)).sum(axis=1)
+            ok = got >= _least_estimate(used, settings)
+            for j in rest[ok][np.argsort(-got[ok], kind="stable")].tolist():
+                if c[j] != c[i]:
+                    shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
+                        yield int(node[i]), int(node[j])
+                        c[c == c[j]] = c[i]
+
+    def groups(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        at = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)], axis=1)
+        first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(axis=1)]) if len(at) else []
+        keys, registers, sizes, sets = [], [], [], []
+        for part in chunks(b):
+            s = Shingles(part.column(6))
+            registers.append(s.registers())
+            keys.append(band_keys(registers[-1], bands))
+            sizes.append(s.counts())
+            sets += s.sets()
+        if len(at):
+            keys, registers, sizes = np.concatenate(keys), np.concatenate(registers), np.concatenate(sizes)
+            own, node, c = (b.column(k).to_numpy() for k in (3, 4, 5))
+            for s, e in zip(first, [*first[1:], len(at)], strict=True):
+                # a group of one block compares within it, one of two blocks between them
+                alike = own[s] == own[s:e].max() == own[s:e].min()
+                found += compare(at[s, 0], alike, own[s:e], node[s:e], c[s:e], keys[s:e], registers[s:e], sizes[s:e], sets[s:e])
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            b = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            at = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64)], axis=1)
+            last = np.flatnonzero((at != at[-1]).any(axis=1)) if len(at) else []
+            cut = int(last[-1]) + 1 if len(last) else 0
+            yield groups(b.slice(0, cut))
+            held = b.slice(cut)
+        if held is not None:
+            yield groups(held)
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def link_nodes(docs: DataFrame, nodes: DataFrame, settings: NearDupSettings) -> DataFrame:
     """``node, component`` of nodes with a link (node is a class of equal sets).
 
-    Buckets of a band are never expanded into pairs of one component.  In each round a node
-    is compared with the best of its buckets' pivots in other components; what is confirmed
-    merges.  At last all pairs across components are taken in the buckets that still have
-    more than one, so no link between components is missed.
+    In each round a node is compared with the best of its buckets' pivots in other
+    components; what is confirmed merges.  At last the buckets that still have more than one
+    component are searched whole, so no link between components is missed.
     """
     rows = band_rows(nodes, settings.bands)
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
@@ -275,16 +354,9 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, settings: NearDupSettings) ->
             close = estimated(pairs, nodes, settings)
             top = close.groupBy("b").agg(F.max(F.struct("est", "a")).alias("x"))
             pairs = cut_lineage(top.select(F.col("x.a").alias("a"), "b"))
+            found = cut_lineage(verified(pairs, texts, settings))
         else:
-            size = labelled.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-            size = size.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count(F.lit(1)).alias("cs"))
-            held = cut_lineage(labelled.join(size.where("cs > 1"), "key"))
-            strays = held.where("c <> main").select("key", F.col("node").alias("a"), F.col("c").alias("ca"))
-            others = held.select("key", F.col("node").alias("b"), F.col("c").alias("cb"), (F.col("c") == F.col("main")).alias("in_main"))
-            # two strays meet once, by their order
-            pairs = strays.join(others, "key").where("ca <> cb and (in_main or a < b)").select("a", "b").distinct()
-            pairs = cut_lineage(estimated(pairs, nodes, settings).select("a", "b"))
-        found = cut_lineage(verified(pairs, texts, settings))
+            found = cut_lineage(links_across(labelled, texts, settings))
         links = found if links is None else links.union(found)
         labels = components(links)
     return labels
