@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step handles at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 #: Rows of an Arrow batch, so that long texts do not add up to a huge batch.
 BATCH_ROWS = 1000
 
@@ -55,7 +55,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, and where each begins (one more than texts)."""
-    column = column.fill_null("")
+    column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -75,6 +75,21 @@ def chunks(batch: pa.RecordBatch, text: str = "text", most: int = CHUNK_BYTES) -
         first = last
 
 
+_tables: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2**64; those for ordinary chunks are kept."""
+    own = _tables.get(base)
+    if own is None or len(own) < n:
+        own = np.full(max(n, CHUNK_BYTES), base, np.uint64)
+        own[0] = 1
+        np.cumprod(own, out=own)
+        if n <= CHUNK_BYTES:
+            _tables[base] = own
+    return own[:n]
+
+
 class Words:
     """Words of a chunk of texts: byte ``start`` and ``end``, and the text (``doc``) of each."""
 
@@ -104,15 +119,11 @@ class Words:
         n = len(self.data)
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        powers = np.full(n + 1, _BASE, np.uint64)
-        powers[0] = 1
-        np.cumprod(powers, out=powers)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[_LOWER[self.data] if lower else self.data] * powers[:-1], out=sums[1:])
-        back = np.full(n + 1, _BASE_INV, np.uint64)
-        back[0] = 1
-        np.cumprod(back, out=back)
-        return mix((sums[self.end] - sums[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64))
+        np.multiply(_BYTE[_LOWER[self.data] if lower else self.data], _powers(_BASE, n), out=sums[1:])
+        np.cumsum(sums, out=sums)
+        back = _powers(_BASE_INV, n)[self.start]
+        return mix((sums[self.end] - sums[self.start]) * back + (self.end - self.start).astype(np.uint64))
 
     def windows(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of each run of ``size`` words within a text."""

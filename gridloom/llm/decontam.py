@@ -13,12 +13,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.core.session import cut_lineage
-from gridloom.llm.batches import ALNUM, Words, bounded_batches, chunks, id_and_text
+from gridloom.llm.batches import ALNUM, Words, bounded_batches, chunks, id_and_text, utf8
 
 WINDOW = 10
 #: Items matched at once; more are matched in blocks, so what is broadcast stays bounded.
@@ -27,7 +26,7 @@ BLOCK_ITEMS = 20_000
 #: Rarest terms of a window around which its other words are looked for.
 NEAR_ANCHORS = 3
 
-INDEX = "row_key long, doc_id long, n_words long, terms array<long>, sizes array<int>, positions array<int>"
+INDEX = "row_key long, doc_id long, n_words long, terms binary, sizes binary, positions binary"
 
 
 def item_terms(items: list[str | None]) -> list[np.ndarray]:
@@ -36,10 +35,23 @@ def item_terms(items: list[str | None]) -> list[np.ndarray]:
     return np.split(w.hashes(lower=True), w.first[1:-1]) if items else []
 
 
+def _packed(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Lists of 32-bit numbers, cut at ``at``, as binary values."""
+    data, ends = pa.py_buffer(values.astype("<i4").tobytes()), pa.py_buffer((4 * at).astype("<i4").tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, ends, data])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of binary lists end to end, and how many each list has."""
+    data, at = utf8(column)
+    return data.view("<i4").astype(np.int64) if len(data) else np.zeros(0, np.int64), np.diff(at) // 4
+
+
 def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """Postings of the terms in ``vocabulary`` (sorted hashes), one row per document.
 
-    ``terms`` are places in the vocabulary, ``sizes`` the number of each one's positions.
+    ``terms`` are places in the vocabulary, ``sizes`` the number of each one's positions; all
+    lists are little-endian 32-bit numbers.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
@@ -63,13 +75,11 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
                 at, term, doc = at[order], term[order], doc[order]
                 fresh = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])][: len(at)])
                 n = part.num_rows
-                list_at = np.searchsorted(doc[fresh], np.arange(n + 1)).astype(np.int32)
-                post_at = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-                sizes = np.diff(np.r_[fresh, len(at)]).astype(np.int32)
-                columns = [part.column(2), part.column(0), pa.array(w.counts())]
-                columns.append(pa.ListArray.from_arrays(pa.array(list_at), pa.array(term[fresh].astype(np.int64))))
-                columns.append(pa.ListArray.from_arrays(pa.array(list_at), pa.array(sizes)))
-                columns.append(pa.ListArray.from_arrays(pa.array(post_at), pa.array((at - w.first[doc]).astype(np.int32))))
+                list_at = np.searchsorted(doc[fresh], np.arange(n + 1))
+                post_at = np.searchsorted(doc, np.arange(n + 1))
+                sizes = np.diff(np.r_[fresh, len(at)])
+                columns = [part.column(2), part.column(0), pa.array(w.counts()), _packed(term[fresh], list_at)]
+                columns += [_packed(sizes, list_at), _packed(at - w.first[doc], post_at)]
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in INDEX.split(", ")])
 
     bounded_batches(spark)
@@ -190,10 +200,8 @@ def find_matches(index: DataFrame, phrases: Phrases, *, slop: int, near_terms: i
                 first, last = np.searchsorted(step, [value, value + 1])
                 b = whole.slice(first, last - first)
                 n_words, n = b.column("n_words").to_numpy(), b.num_rows
-                terms, sizes, positions = b.column("terms"), b.column("sizes"), b.column("positions")
-                per_doc = pc.list_value_length(positions).to_numpy(zero_copy_only=False)
-                term = np.repeat(terms.flatten().to_numpy(), sizes.flatten().to_numpy())
-                position = positions.flatten().to_numpy().astype(np.int64)
+                term = np.repeat(_unpacked(b.column("terms"))[0], _unpacked(b.column("sizes"))[0])
+                position, per_doc = _unpacked(b.column("positions"))
                 hit, exact, near = shared.value.match(n_words, np.repeat(np.arange(n), per_doc), term, position)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("row_key"), b.column("doc_id"), b.column("n_words")]
@@ -211,7 +219,7 @@ def term_frequencies(index: DataFrame, terms: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(terms, np.int64)
         for b in batches:
-            total += np.bincount(b.column(0).flatten().to_numpy(), minlength=terms)[:terms]
+            total += np.bincount(_unpacked(b.column(0))[0], minlength=terms)[:terms]
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
 
