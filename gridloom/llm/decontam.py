@@ -278,16 +278,14 @@ def match_benchmark(
     return done.withColumn("near", F.array_except("near", "exact"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, broadcast_texts: int = 1_000_000) -> DataFrame:
     """The rows of ``docs`` without any word inside a benchmark window, with all their columns.
 
-    Rows with a null id are judged by themselves: they meet their own result through a key
-    that stays with the stored rows.
+    A text alone decides, so what goes is matched by a 64-bit hash of the text; null or
+    repeated ids do no harm.
     """
-    key = "_row"
-    while key in docs.columns:
-        key += "_"
-    stored = cut_lineage(docs.withColumn(key, F.monotonically_increasing_id()))
-    found = match_benchmark(stored, benchmark, id_col=key)
-    clean = cut_lineage(found.where(F.size("hit") == 0).select(F.col("doc_id").alias(key)))
-    return stored.join(clean, key, "left_semi").select(docs.columns)
+    text_key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    found = match_benchmark(docs.select(text_key.alias("_key"), "text"), benchmark, id_col="_key")
+    dirty = cut_lineage(found.where(F.size("hit") > 0).select(F.col("doc_id").alias("_key")).distinct())
+    few = dirty.count() <= broadcast_texts
+    return docs.join(F.broadcast(dirty) if few else dirty, text_key == dirty["_key"], "left_anti")

@@ -11,8 +11,10 @@ from public_tokenizers import path as tokenizer_path
 from gridloom.llm.decontam import match_benchmark
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
+from gridloom.llm.passages import fuzzy_passages
 from gridloom.llm.pii import find_pii
 from gridloom.llm.repetition import score_repetition
+from gridloom.llm.sitequality import site_quality, sites_of
 from gridloom.llm.tokencount import count_tokens
 from gridloom.llm.toxicity import ToxicitySettings, score_toxicity
 
@@ -87,6 +89,17 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return score_toxicity(documents(spark, sf), labels, ToxicitySettings(*paths))
 
 
+@query
+def op8_site_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, pages, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "pages", "labels"))
+    return site_quality(docs, sites_of(docs, pages), labels.select("doc_id", "quality"))
+
+
+@query
+def op10_fuzzy_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return fuzzy_passages(documents(spark, sf))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
