@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.core.session import shared_folder
+from gridloom.llm.decontam import drop_contaminated
+from gridloom.llm.neardup import drop_near_duplicates
+from gridloom.llm.packing import PackSettings, pack_documents
+from gridloom.llm.pii import redact_pii
 from gridloom.llm.repetition import filter_repetition
 
 
@@ -15,10 +20,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return filter_repetition(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates, the one with the smallest id."""
+    return drop_near_duplicates(docs)
 
-#: Suffix arrays, sketches, tokenizers and packing are beyond SQL; tests hold the stages
-#: against brute force instead.
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace identifiers, plain and disguised, by their kind."""
+    return redact_pii(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place every document in sequences of 1024 tokens."""
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken")
+    return pack_documents(docs, PackSettings(*paths, capacity=1024, end_id=2))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
+
+#: Suffix arrays, sketches, tokenizers and packing are beyond SQL; the tests hold every stage
+#: and the whole run against brute force instead.
 ORACLE_SQL = None
 
 
