@@ -8,6 +8,7 @@ from gridloom.catalog.registry import query
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import READINGS_SQL, readings, table
 from gridloom.core.session import cut_lineage
+from gridloom.functions.scalars import add_time
 from gridloom.operators.timeaxis import (
     instant_to_local,
     local_to_instant,
@@ -283,3 +284,162 @@ def fixed_offset_localize(spark, sf):
     out = localize_fixed_offset(rows, ["site"], "tz").withColumn("local", instant_to_local("instant", "tz"))
     month = F.date_trunc("month", "local").cast("timestamp_ntz").alias("month")
     return out.groupBy("site", month, F.hour("local").alias("hour")).agg(F.sum("l_quantity").alias("mwh"))
+
+
+# Lines moved to the days on which the clocks change, so that every row of the table meets one.
+ROUTES = {
+    "A": ("wide_hours_mwh", "America/Chicago"),
+    "N": ("quarter_generation", "America/New_York"),
+    "R": ("long_trading_kw", "America/Denver"),
+}
+CHANGE_ZONE = "America/Chicago"
+
+
+def day_hours(day, tz):
+    midnight = F.col(day).cast("timestamp_ntz")
+    return F.timestamp_diff("HOUR", local_to_instant(midnight, tz), local_to_instant(add_time(midnight, 1, "day"), tz))
+
+
+def change_days(spark, sf):
+    """Days of 23 or 25 hours within the dates of the table, numbered."""
+    span = table(spark, sf, "lineitem").agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("z"))
+    days = span.select(F.explode(F.sequence(F.to_date("a"), F.to_date("z"))).alias("day"))
+    days = days.filter(day_hours("day", F.lit(CHANGE_ZONE)) != 24)
+    numbers = days.agg(F.array_sort(F.collect_list("day")).alias("d"))  # two a year
+    return numbers.select(F.size("d").alias("n_days"), F.posexplode("d").alias("i", "day"))
+
+
+def change_lines(spark, sf, zones):
+    """site, tz, i, day, hours (length of the day), k (spreads rows over it), mwh."""
+    days = change_days(spark, sf)
+    n_days = days.count()
+    zone = F.create_map(*[F.lit(x) for kv in zones.items() for x in kv])
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("site"), zone[F.col("l_returnflag")].alias("tz"), (F.col("l_orderkey") % n_days).cast("int").alias("i"),
+        F.floor(F.col("l_orderkey") / 7).alias("k"), F.col("l_quantity").alias("mwh"),
+    )
+    return rows.join(days.drop("n_days"), "i").withColumn("hours", day_hours("day", F.col("tz")))
+
+
+def change_sql(zones, per_hour=1, sign=1, error=False):
+    zone = " ".join(f"WHEN '{k}' THEN '{z}'" for k, z in zones.items())
+    return f"""
+WITH s AS (SELECT CAST(min(l_shipdate) AS DATE) AS a, CAST(max(l_shipdate) AS DATE) AS z FROM lineitem),
+e AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d FROM s),
+d AS (
+  SELECT d, row_number() OVER (ORDER BY d) - 1 AS i FROM e
+  WHERE date_diff('hour', timezone('{CHANGE_ZONE}', d::TIMESTAMP), timezone('{CHANGE_ZONE}', (d + 1)::TIMESTAMP)) <> 24),
+l AS (
+  SELECT l_returnflag AS site, CASE l_returnflag {zone} END AS tz, i, l_orderkey // 7 AS k, l_quantity AS v
+  FROM (SELECT *, l_orderkey % (SELECT count(*) FROM d) AS i FROM lineitem)),
+m AS (
+  SELECT site, tz, timezone(tz, d::TIMESTAMP) AS u0, date_diff('hour', timezone(tz, d::TIMESTAMP), timezone(tz, (d + 1)::TIMESTAMP)) AS n, k, v
+  FROM l JOIN d USING (i)),
+h AS (SELECT site, tz, u0 + (k % (n * {per_hour}) // {per_hour}) * INTERVAL 1 HOUR AS u, {sign} * sum(v) AS v FROM m GROUP BY 1, 2, 3),
+x AS (SELECT site, tz, min(u) AS a, max(u) AS z FROM h GROUP BY 1, 2),
+axis AS (SELECT site, tz, unnest(generate_series(a, z, INTERVAL 1 HOUR)) AS u FROM x),
+f AS (SELECT axis.site, timezone(axis.tz, axis.u) AS ts, coalesce(v, 0) AS v FROM axis LEFT JOIN h ON h.site = axis.site AND h.u = axis.u)
+SELECT site, date_trunc('month', ts)::TIMESTAMP AS month, count(*) AS n_hours, sum(v) AS mwh, count(*) FILTER (v = 0) AS n_zero
+  {", NULL::VARCHAR AS error" if error else ""}
+FROM f GROUP BY 1, 2
+"""
+
+
+def by_month(hours):
+    month = F.date_trunc("month", "ts_local").cast("timestamp_ntz").alias("month")
+    return hours.groupBy("site", month).agg(
+        F.count("*").alias("n_hours"), F.sum("mwh").alias("mwh"), F.count_if(F.col("mwh") == 0).alias("n_zero")
+    )
+
+
+def header_cells(sites, names):
+    return sites.select("file", F.inline(F.array(*[cell(F.lit(2), i, F.lit(n)) for i, n in enumerate(names)])))
+
+
+def wide_change_cells(lines_):
+    """Day rows with up to 25 hour columns; a day of 23 hours has none for hour 3."""
+    e = (F.col("k") % F.col("hours")).cast("int")
+    label = F.when((F.col("hours") == 23) & (e >= 2), e + 2).otherwise(e + 1)
+    energy = lines_.groupBy(F.col("site").alias("file"), (F.col("i") + 3).cast("bigint").alias("row_no"), label.alias("col_no")).agg(
+        F.sum("mwh").cast("string").alias("text")
+    )
+    days = lines_.select(
+        F.col("site").alias("file"), (F.col("i") + 3).cast("bigint").alias("row_no"), F.lit(0).alias("col_no"), F.date_format("day", "yyyy-MM-dd").alias("text")
+    ).distinct()
+    head = header_cells(days.select("file").distinct(), ["Day", *[f"HE {h:02d}" for h in range(1, 26)]])
+    return energy.unionByName(days).unionByName(head)
+
+
+def quarter_change_cells(lines_, value):
+    """All quarters of the days, by interval-ending clock labels."""
+    days = lines_.select("site", "tz", "i", "day", "hours").distinct()
+    axis = days.select("*", F.explode(F.sequence(F.lit(0), (F.col("hours") * 4 - 1).cast("int"))).alias("q"))
+    sums = lines_.groupBy("site", "i", (F.col("k") % (F.col("hours") * 4)).cast("int").alias("q")).agg(F.sum("mwh").alias("mwh"))
+    start = local_to_instant(F.col("day").cast("timestamp_ntz"), F.col("tz"))
+    end = F.date_format(instant_to_local(add_time(start, (F.col("q") + 1) * 15, "minute"), F.col("tz")), "HH:mm")
+    label = F.when(F.col("q") == F.col("hours") * 4 - 1, "24:00").otherwise(end)
+    row = F.col("i") * 200 + F.col("q") + 3
+    rows = axis.join(sums, ["site", "i", "q"], "left").select(
+        F.col("site").alias("file"),
+        F.inline(F.array(cell(row, 0, F.date_format("day", "yyyy-MM-dd")), cell(row, 1, label), cell(row, 2, F.col("mwh")))),
+    )
+    return rows.unionByName(header_cells(days.select(F.col("site").alias("file")).distinct(), ["Flowday", "Interval", value]))
+
+
+def long_change_cells(lines_):
+    """A row per hour of a day in order; the hour of a repeated label comes twice."""
+    e = (F.col("k") % F.col("hours")).cast("int").alias("e")
+    rows = lines_.groupBy("site", "i", "day", "hours", e).agg((F.sum("mwh") * 1000).alias("kw"))
+    label = F.when((F.col("hours") == 25) & (F.col("e") >= 2), F.col("e")).when((F.col("hours") == 23) & (F.col("e") >= 2), F.col("e") + 2)
+    label = label.otherwise(F.col("e") + 1)
+    row = F.col("i") * 200 + F.col("e") + 3
+    body = rows.select(
+        F.col("site").alias("file"),
+        F.inline(F.array(cell(row, 0, F.date_format("day", "yyyy-MM-dd")), cell(row, 1, label), cell(row, 2, F.col("kw")))),
+    )
+    return body.unionByName(header_cells(rows.select(F.col("site").alias("file")).distinct(), ["TradingDate", "TradingHour", "Meter_KW"]))
+
+
+def routing_of(spark, layouts):
+    return spark.createDataFrame([(s, s, x, z) for s, (x, z) in layouts.items()], "file string, site string, layout string, tz string")
+
+
+@query(change_sql(ZONES))
+def wide_25_hours(spark, sf):
+    lines_ = cut_lineage(change_lines(spark, sf, ZONES))
+    routing = routing_of(spark, {s: ("wide_hours_mwh", z) for s, z in ZONES.items()})
+    return by_month(mt.meter_router(cut_lineage(wide_change_cells(lines_)), routing))
+
+
+@query(change_sql(ZONES, per_hour=4, sign=-1))
+def quarter_25_hours(spark, sf):
+    lines_ = cut_lineage(change_lines(spark, sf, ZONES))
+    routing = routing_of(spark, {s: ("quarter_import", z) for s, z in ZONES.items()})
+    return by_month(mt.meter_router(cut_lineage(quarter_change_cells(lines_, "RTEI_QTY")), routing))
+
+
+MIXED = {s: z for s, (_, z) in ROUTES.items()}
+
+
+@query(f"""
+WITH w AS ({change_sql(MIXED)}), q AS ({change_sql(MIXED, per_hour=4)})
+SELECT *, NULL::VARCHAR AS error FROM w WHERE site <> 'N'
+UNION ALL SELECT *, NULL FROM q WHERE site = 'N'
+UNION ALL SELECT 'unread', NULL, 1, NULL, 0, 'no header row'
+""")
+def meter_router(spark, sf):
+    """Three sites with files of three layouts, and a file without a header row."""
+    lines_ = cut_lineage(change_lines(spark, sf, MIXED))
+    parts = [
+        wide_change_cells(lines_.filter("site = 'A'")),
+        quarter_change_cells(lines_.filter("site = 'N'"), "GEN_MWH_INT"),
+        long_change_cells(lines_.filter("site = 'R'")),
+    ]
+    cells = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    headless = cells.filter("file = 'A' AND row_no > 2").withColumn("file", F.lit("unread"))
+    routing = routing_of(spark, {**ROUTES, "unread": ROUTES["A"]})
+    hours = mt.meter_router(cut_lineage(cells.unionByName(headless)), routing)
+    month = F.date_trunc("month", "ts_local").cast("timestamp_ntz").alias("month")
+    return hours.groupBy("site", month, "error").agg(
+        F.count("*").alias("n_hours"), F.sum("mwh").alias("mwh"), F.count_if(F.col("mwh") == 0).alias("n_zero")
+    )

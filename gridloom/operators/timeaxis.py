@@ -239,15 +239,23 @@ def instant_to_local(instant: Column | str, tz: Column | str) -> Column:
 
 
 def repair_meter_hours(
-    df: DataFrame, keys: Sequence[str], tz: str, row: str, value: str = "mwh", ts: str = "ts_local"
+    df: DataFrame, keys: Sequence[str], tz: str, row: str, value: str = "mwh", ts: str = "ts_local",
+    instant: str | None = None,
 ) -> DataFrame:
     """Put hourly wall-clock meter rows on the true local hours.
 
     A repeated autumn hour keeps both its rows in file order, a single one fills the
     first pass.  A row at a skipped spring hour replaces the hour before it.  Hours
-    without a row get zero.  ``df`` must carry one time zone per key.
+    without a row get zero.  ``df`` must carry one time zone per key.  Rows whose
+    ``instant`` is known already (not null) keep it.
     """
     keys = list(keys)
+    known = None
+    if instant is not None:
+        known = df.filter(F.col(instant).isNotNull()).select(
+            *keys, tz, F.col(instant).alias("instant"), F.col(value).alias("v"), F.lit(False).alias("moved")
+        )
+        df = df.filter(F.col(instant).isNull())
     merged = (
         df.groupBy(*keys, tz, ts)
         .agg(
@@ -277,12 +285,10 @@ def repair_meter_hours(
             ),
         )
     )
-    placed = (
-        merged.select(*keys, tz, F.explode(passes).alias("_p"))
-        .select(*keys, tz, "_p.*")
-        .groupBy(*keys, tz, "instant")
-        .agg(F.max_by("v", F.col("moved").cast("int")).alias(value))
-    )
+    by_label = merged.select(*keys, tz, F.explode(passes).alias("_p")).select(*keys, tz, "_p.*")
+    if known is not None:
+        by_label = by_label.unionByName(known)
+    placed = by_label.groupBy(*keys, tz, "instant").agg(F.max_by("v", F.col("moved").cast("int")).alias(value))
     bounds = placed.groupBy(*keys, tz).agg(
         F.min("instant").alias("start"), add_time(F.max("instant"), 1, "hour").alias("end")
     )
