@@ -50,7 +50,7 @@ HEADLINES = (
     "interval_ending_shift",
     "settlement_pivot",
     "dst_repair",
-    "dayahead_score",
+    "meter_router",
     "pipeline_status",
 )
 

@@ -233,8 +233,8 @@ months AS (
   SELECT site, unnest(generate_series(date_trunc('month', a)::TIMESTAMP, z - INTERVAL 1 SECOND, INTERVAL 1 MONTH)) AS m
   FROM bounds),
 stored AS (
-  SELECT DISTINCT o_orderpriority AS site, year(o_orderdate) AS year, month(o_orderdate) AS month
-  FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000)
+  SELECT o_orderpriority AS site, year(o_orderdate) AS year, month(o_orderdate) AS month
+  FROM orders GROUP BY 1, 2, 3 HAVING count(*) % 2 = 0)
 SELECT m.site, year(m.m) AS year, month(m.m) AS month,
        CASE WHEN s.site IS NULL THEN 'fetch' ELSE 'stored' END AS source
 FROM months m LEFT JOIN stored s ON s.site = m.site AND s.year = year(m.m) AND s.month = month(m.m)
@@ -245,9 +245,8 @@ def coverage_split(spark, sf):
         F.min("o_orderdate").alias("start"), F.max("o_orderdate").alias("end")
     )
     wanted = ta.months_in_range(bounds).select("site", "year", "month")
-    stored = orders.filter("o_orderstatus = 'F' AND o_totalprice > 400000").select(
-        "site", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
-    )
+    months = orders.groupBy("site", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    stored = months.agg(F.count("*").alias("n")).filter("n % 2 = 0")
     return ta.coverage_split(wanted, stored, ["site", "year", "month"])
 
 
@@ -274,66 +273,67 @@ def hour_ending_round_trip(spark, sf):
 WITH {READINGS_SQL},
 a AS (SELECT DISTINCT date_trunc('hour', ts) AS ts, site FROM readings)
 SELECT ts, string_agg(site, ',' ORDER BY site) AS present_in
-FROM a GROUP BY ts HAVING count(*) < 5
+FROM a GROUP BY ts HAVING count(*) < (SELECT count(DISTINCT site) FROM a)
 """)
 def axis_mismatch(spark, sf):
-    rows = readings(spark, sf).withColumn("ts", floor_time("hour", "ts"))
-    sites = ["click", "error", "purchase", "signup", "view"]
-    frames = {s: rows.filter(F.col("site") == s) for s in sites}
-    out = ta.same_axis(frames, ["ts"])
-    return out.withColumn("present_in", F.array_join("present_in", ","))
+    rows = readings(spark, sf).select(floor_time("hour", "ts").alias("ts"), F.col("site").alias("frame"))
+    return ta.same_axis(rows, ["ts"]).withColumn("present_in", F.array_join("present_in", ","))
+
+
+# Sites west of Greenwich, whose dusk lies behind UTC midnight.
+DAY_ZONES = ("America/Chicago", "America/Los_Angeles", "America/New_York")
+
+
+def zone_of(site):
+    return F.get(F.array(*[F.lit(z) for z in DAY_ZONES]), F.length(site) % 3)
+
+
+def local_clock(tz):
+    return F.from_utc_timestamp(F.col("ts"), tz).cast("timestamp_ntz")
+
+
+def daylight_input(spark, sf):
+    """Dawn and dusk by local date; the middle of a month is missing, as on polar days."""
+    dates = readings(spark, sf).select("site", F.to_date(local_clock(zone_of("site"))).alias("date")).distinct()
+    midnight, day = F.col("date").cast("timestamp_ntz"), F.dayofmonth("date")
+    here = day != 15
+    return dates.select(
+        "site", "date", F.when(here, add_time(midnight, 6 * 3600 + day * 61)).alias("dawn"),
+        F.when(here, add_time(midnight, 19 * 3600 + day * 119)).alias("dusk"),
+    )
+
+
+DAYLIGHT_SQL = """
+z AS (SELECT *, CASE length(site) % 3 WHEN 0 THEN 'America/Chicago' WHEN 1 THEN 'America/Los_Angeles' ELSE 'America/New_York' END AS tz FROM readings),
+l AS (SELECT *, timezone(tz, timezone('UTC', ts)) AS lt FROM z),
+days AS (SELECT DISTINCT site, CAST(lt AS DATE) AS date FROM l),
+has AS (
+  SELECT site, date, date_trunc('minute', date::TIMESTAMP + (6 * 3600 + day(date) * 61 + 30)::INTEGER * INTERVAL 1 SECOND) AS dawn,
+         date_trunc('minute', date::TIMESTAMP + (19 * 3600 + day(date) * 119 + 30)::INTEGER * INTERVAL 1 SECOND) AS dusk
+  FROM days WHERE day(date) <> 15),
+lit AS (
+  SELECT days.site, days.date, coalesce(h.dawn, p.dawn + INTERVAL 1 DAY, n.dawn - INTERVAL 1 DAY) AS dawn,
+         coalesce(h.dusk, p.dusk + INTERVAL 1 DAY, n.dusk - INTERVAL 1 DAY) AS dusk
+  FROM days LEFT JOIN has h ON h.site = days.site AND h.date = days.date
+    LEFT JOIN has p ON p.site = days.site AND p.date = days.date - 1 LEFT JOIN has n ON n.site = days.site AND n.date = days.date + 1)
+"""
 
 
 @query(f"""
-WITH {READINGS_SQL}
-SELECT event_id, site, ts, value, hour(ts) BETWEEN 6 AND 17 OR (hour(ts) = 18 AND date_trunc('hour', ts) = ts) AS is_day
-FROM readings
+WITH {READINGS_SQL}, {DAYLIGHT_SQL}
+SELECT event_id, l.site, ts, value, coalesce(lt >= dawn AND lt < dusk, false) AS is_day FROM l LEFT JOIN lit ON lit.site = l.site AND lit.date = CAST(lt AS DATE)
 """)
 def daylight_flag(spark, sf):
-    rows = readings(spark, sf)
-    dates = rows.select("site", F.to_date("ts").alias("date")).distinct()
-    midnight = F.col("date").cast("timestamp_ntz")
-    lit = dates.withColumn("dawn", add_time(midnight, 6, "hour")).withColumn(
-        "dusk", add_time(midnight, 18, "hour")
-    )
-    return ta.flag_daylight(rows, lit, ["site"]).select("event_id", "site", "ts", "value", "is_day")
-
-
-SOLAR_SQL = """
-WITH days AS (
-  SELECT DISTINCT n_nationkey AS site, CAST(o_orderdate AS DATE) AS date
-  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
-p AS (
-  SELECT site, date, 2 * pi() / 365.0 * (dayofyear(date) - 1 + 0.5) AS g,
-         radians(site * 2.0) AS phi, site * 5.0 - 60.0 AS lon FROM days),
-q AS (
-  SELECT *, 229.18 * (0.000075 + 0.001868 * cos(g) - 0.032077 * sin(g) - 0.014615 * cos(2 * g) - 0.040849 * sin(2 * g)) AS eqtime,
-         0.006918 - 0.399912 * cos(g) + 0.070257 * sin(g) - 0.006758 * cos(2 * g) + 0.000907 * sin(2 * g)
-           - 0.002697 * cos(3 * g) + 0.00148 * sin(3 * g) AS decl FROM p),
-r AS (
-  SELECT *, degrees(acos(cos(radians(96.0)) / (cos(phi) * cos(decl)) - tan(phi) * tan(decl))) AS ha FROM q)
-SELECT site, date,
-       date::TIMESTAMP + CAST(floor(720 - 4 * (lon + ha) - eqtime) AS INTEGER) * INTERVAL 1 MINUTE AS dawn,
-       date::TIMESTAMP + CAST(ceil(720 - 4 * (lon - ha) - eqtime) AS INTEGER) * INTERVAL 1 MINUTE AS dusk
-FROM r
-"""
+    rows = readings(spark, sf).withColumn("tz", zone_of("site"))
+    given = cut_lineage(daylight_input(spark, sf))
+    lit = ta.complete_daylight(given, given, ["site"])
+    return ta.flag_daylight(rows, lit, ["site"], tz="tz").select("event_id", "site", "ts", "value", "is_day")
 
 
-@query(SOLAR_SQL)
+@query(f"WITH {READINGS_SQL}, {DAYLIGHT_SQL} SELECT site, date, dawn, dusk FROM lit")
 def daylight_times(spark, sf):
-    nation = table(spark, sf, "nation")
-    sites = nation.select(
-        F.col("n_nationkey").alias("site"),
-        (F.col("n_nationkey") * 2.0).alias("lat"),
-        (F.col("n_nationkey") * 5.0 - 60.0).alias("lon"),
-    )
-    dates = (
-        table(spark, sf, "orders")
-        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(F.col("c_nationkey").alias("site"), F.to_date("o_orderdate").alias("date"))
-        .distinct()
-    )
-    return ta.daylight_table(sites, dates, ["site"])
+    given = cut_lineage(daylight_input(spark, sf))
+    return ta.complete_daylight(given, given, ["site"])
 
 
 @query(f"""

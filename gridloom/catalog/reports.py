@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import functions as F
 
 from gridloom.catalog.registry import query
@@ -660,74 +658,6 @@ def forecast(spark, sf):
     ).withColumnRenamed("bucket", "ts")
 
 
-@cache
-def _unit_sql(unit: str, column: str, ref: float, heat: float) -> str:
-    def poly(cs, x):
-        return "(" + " + ".join(f"({c!r})::DOUBLE * {x} ** {i}" if i else f"({c!r})::DOUBLE" for i, c in enumerate(cs)) + ")"
-
-    def curve(t, h):
-        xs = da.HUMIDITY_GRID[unit]
-        ys = [poly(c, t) for c in da.OUTPUT_TEMPERATURE[unit]]
-        out = ""
-        for i in range(len(xs) - 1):
-            line = f"({ys[i]} + ({h} - {xs[i]}) * (({ys[i + 1]} - {ys[i]}) / {xs[i + 1] - xs[i]}))"
-            out += f"WHEN {h} <= {xs[i + 1]} OR {i} = {len(xs) - 2} THEN {line} "
-        return f"CASE {out} END"
-
-    a2 = f"{poly(da.OUTPUT_PRESSURE[unit], '14.225::DOUBLE')} / {poly(da.OUTPUT_PRESSURE[unit], '14.225::DOUBLE')}"
-    return f"round({ref}::DOUBLE * (({curve('6.0::DOUBLE', '68.0::DOUBLE')}) / ({curve('t', 'h')})) * ({a2}) - {heat} / 0.0091 / 1000, 7) AS {column}"
-
-
-def _plant_sql(mode: str, column: str) -> str:
-    def poly(cs, x):
-        return "(" + " + ".join(f"({c!r})::DOUBLE * {x} ** {i}" if i else f"({c!r})::DOUBLE" for i, c in enumerate(cs)) + ")"
-
-    ref, _, t0, h0 = da.PLANT_REFERENCE[mode]
-    curves = da.PLANT_OUTPUT[mode]
-
-    def curve(t, h):
-        ys = [poly(c, t) for c in curves]
-        value = ys[0] if len(ys) == 1 else (
-            f"CASE WHEN {h} < 68 THEN {ys[0]} + ({h} - 30) * (({ys[1]} - {ys[0]}) / 38.0::DOUBLE) "
-            f"ELSE {ys[1]} + ({h} - 68) * (({ys[2]} - {ys[1]}) / 22.0::DOUBLE) END"
-        )
-        return f"(CASE WHEN {t} < 0 THEN 1 ELSE {value} END)" if mode in da.FREEZE_CAP else f"({value})"
-
-    return f"{ref}::DOUBLE / ({curve(f'({t0}::DOUBLE)', f'({h0}::DOUBLE)')} / {curve('t', 'h')})"
-
-
-@query(f"""
-WITH {READINGS_SQL},
-f AS (
-  SELECT site, date_trunc('hour', ts) AS ts, avg(value) / 4 + 25 AS t, avg(k) AS h0
-  FROM readings WHERE value IS NOT NULL GROUP BY 1, 2),
-g AS (SELECT *, CASE WHEN h0 < 1 THEN h0 * 100 WHEN h0 > 100 THEN 100 ELSE h0 END AS h FROM f)
-SELECT site, ts, round(t, 7) AS temp_f, {_unit_sql("U1", "mw_sf_ec_off_u1", 345.0, 338.3 - 338.0)},
-  {_unit_sql("U1", "mw_bl_ec_off_u1", 345.0, 338.3)}, {_unit_sql("U2", "mw_bl_ec_off_u2", 375.0, 607.6)},
-  {_unit_sql("U1", "mw_min_u1", 200.0, 0.0)},
-  round({_plant_sql("fired_off", "")}, 7) AS mw_sf_ec_off_plant,
-  round(CASE WHEN t >= 60 THEN {_plant_sql("fired_on", "")} ELSE {_plant_sql("fired_off", "")} END, 7) AS mw_sf_ec_on_plant,
-  round({_plant_sql("base_off", "")}, 7) AS mw_bl_ec_off_plant,
-  round(CASE WHEN t >= 60 THEN {_plant_sql("base_on", "")} ELSE {_plant_sql("base_off", "")} END, 7) AS mw_bl_ec_on_plant,
-  round({_plant_sql("min", "")}, 7) AS mw_min_plant
-FROM g
-""")
-def dayahead_score(spark, sf):
-    scored = da.score(forecast(spark, sf))
-    names = {
-        "temp_f": "temp_f", "mw_sf_ec_off_U1": "mw_sf_ec_off_u1", "mw_bl_ec_off_U1": "mw_bl_ec_off_u1",
-        "mw_bl_ec_off_U2": "mw_bl_ec_off_u2", "mw_min_U1": "mw_min_u1",
-        **{c: c for c in ("mw_sf_ec_off_plant", "mw_sf_ec_on_plant", "mw_bl_ec_off_plant", "mw_bl_ec_on_plant", "mw_min_plant")},
-    }
-    return scored.select("site", "ts", *[F.round(c, 7).alias(n) for c, n in names.items()])
-
-
-@query()
-def dayahead_results(spark, sf):
-    peaks = da.daily_peaks(da.score(forecast(spark, sf)), ["site"])
-    return rounded(da.results(peaks, ["site"]), 4, "temp_f", "min_mw", "max_without_ducts", "max_with_ducts")
-
-
 @query(f"""
 WITH {READINGS_SQL},
 f AS (

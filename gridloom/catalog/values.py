@@ -345,8 +345,8 @@ SELECT parameter,
     for i in range(1, 26)
 ) + " FROM r GROUP BY 1")
 def param_value_counts_wide(spark, sf):
-    wide = sm.value_counts_wide(sm.value_counts(_parameters(spark, sf)), 25)
-    return rounded(wide, 9, *[f"share_{i}" for i in range(1, 26)])
+    wide = sm.value_counts_wide(sm.value_counts(_parameters(spark, sf)))
+    return rounded(wide, 9, *[c for c in wide.columns if c.startswith("share_")])
 
 
 @query(f"""
@@ -375,10 +375,11 @@ j AS (
 n AS (
   SELECT *, coalesce(abs(delta) > 40, false) AS hit,
          sum(CASE WHEN coalesce(abs(delta) > 40, false) THEN 0 ELSE 1 END)
-           OVER (PARTITION BY asset ORDER BY ts, event_id) AS island FROM j)
-SELECT asset, min(ts) AS start_time, arg_min(target, ts) AS start_setpoint, max(ts) AS end_time,
+           OVER (PARTITION BY asset ORDER BY ts, event_id) AS island,
+         greatest(coalesce(lead(ts) OVER (PARTITION BY asset ORDER BY ts, event_id) - INTERVAL 1 SECOND, ts), ts) AS until FROM j)
+SELECT asset, min(ts) AS start_time, arg_min(target, ts) AS start_setpoint, max(until) AS end_time,
        arg_max(target, ts) AS end_setpoint, round(max(delta), 6) AS max_delta, round(min(delta), 6) AS min_delta,
-       round((epoch_us(max(ts)) - epoch_us(min(ts))) / 6e7, 6) AS minutes
+       round((epoch_us(max(until)) - epoch_us(min(ts))) / 6e7, 6) AS minutes
 FROM n WHERE hit GROUP BY asset, island
 """)
 def excursion_events(spark, sf):

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.core.ordered import Series, runs
+from gridloom.core.ordered import Series, runs, scan
 from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import add_time, seconds_between, sum0
 from gridloom.operators.lookups import asof_value
@@ -78,7 +78,8 @@ def voltage_excursions(
 ) -> DataFrame:
     """Runs in which the measured voltage leaves the band around the latest target.
 
-    The paired values are stored, as finding the runs reads them twice.
+    A recorded value holds until one second before the next one of its series, so a run
+    ends there.  The paired values are stored, as finding the runs reads them twice.
     """
     m = rescale_by_max(measured, by.keys, value, 1e3, lambda v: v / 10)
     t = rescale_by_max(target, by.keys, value, 1e3, lambda v: v / 10)
@@ -86,14 +87,15 @@ def voltage_excursions(
         "delta", F.col(value) - F.col("target")
     )
     order = [c for c in by.order if c not in by.keys]
-    joined = materialize(paired.select(*by.keys, *order, "target", "delta"))
+    joined = materialize(scan(paired.select(*by.keys, *order, "target", "delta"), by, lead={"_next": ts}))
+    until = F.greatest(F.coalesce(add_time("_next", -1), F.col(ts)), F.col(ts))
     position = F.struct(*by.order)
     found = runs(
         joined, by, F.abs("delta") > band,
         [
             F.min(ts).alias("start_time"),
             F.min_by("target", position).alias("start_setpoint"),
-            F.max(ts).alias("end_time"),
+            F.max(until).alias("end_time"),
             F.max_by("target", position).alias("end_setpoint"),
             F.max("delta").alias("max_delta"),
             F.min("delta").alias("min_delta"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, scan
 from gridloom.core.quantiles import exact_quantiles
-from gridloom.core.session import sized
+from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import (
     add_time,
     bucket_start,
@@ -234,7 +234,10 @@ def missing_hours(df: DataFrame, keys: Sequence[str], value="value") -> DataFram
 
 
 def value_counts(df: DataFrame, parameter="parameter", value="value", holder="inverter"):
-    """Per parameter and value: count, share within the parameter, list of holders."""
+    """Per parameter and value: count, share within the parameter, list of holders.
+
+    The list names each holder once, however many rows it has.
+    """
     pairs = df.groupBy(parameter, value, holder).agg(F.count("*").alias("_n"))
     counted = pairs.groupBy(parameter, value).agg(
         F.sum("_n").alias("count"),
@@ -244,12 +247,15 @@ def value_counts(df: DataFrame, parameter="parameter", value="value", holder="in
     return counted.join(totals, parameter).withColumn("share", F.col("count") / F.col("_all")).drop("_all")
 
 
-def value_counts_wide(counts: DataFrame, width: int, parameter="parameter", value="value"):
+def value_counts_wide(counts: DataFrame, parameter="parameter", value="value"):
     """One row per parameter holding its ranked counts and shares.
 
-    As in the long table, rank 1 is the most frequent value.  ``width`` is the number of
-    ranks to lay out; it has to be at least the largest number of values.
+    As in the long table, rank 1 is the most frequent value.  There are as many ranks as the
+    parameter with most values needs, so nothing is left out; ``counts`` is stored, since it
+    is read twice.
     """
+    counts = cut_lineage(counts.drop("holders"))
+    width = counts.groupBy(parameter).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
     order = F.array_sort(
         F.collect_list(F.struct((-F.col("count")).alias("neg"), F.col(value), "count", "share"))
     )

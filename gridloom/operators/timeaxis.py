@@ -329,84 +329,48 @@ def standardize_local(
 # --- daylight ----------------------------------------------------------------------
 
 
-def solar_times(df: DataFrame, date: str, lat: str, lon: str, depression: float = 6.0) -> DataFrame:
-    """Civil dawn and dusk (UTC wall clock) from the published NOAA sunrise equations.
+def complete_daylight(dates: DataFrame, daylight: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Dawn and dusk, to the nearest minute, for every key and date of ``dates``.
 
-    Days on which the sun does not reach the depression angle stay null; see
-    :func:`daylight_table`.  Dawn is rounded down and dusk up to the minute.
+    ``daylight`` is an input table (keys, date, dawn, dusk) by local date and local clock.  A
+    date that it lacks, or whose times are null, borrows those of the day before, else of the
+    day after.
     """
-    day = F.dayofyear(date)
-    g = F.lit(2.0) * F.pi() / 365.0 * (day - 1 + F.lit(0.5))
-    eqtime = 229.18 * (
-        0.000075
-        + 0.001868 * F.cos(g)
-        - 0.032077 * F.sin(g)
-        - 0.014615 * F.cos(2 * g)
-        - 0.040849 * F.sin(2 * g)
-    )
-    decl = (
-        0.006918
-        - 0.399912 * F.cos(g)
-        + 0.070257 * F.sin(g)
-        - 0.006758 * F.cos(2 * g)
-        + 0.000907 * F.sin(2 * g)
-        - 0.002697 * F.cos(3 * g)
-        + 0.00148 * F.sin(3 * g)
-    )
-    phi = F.radians(F.col(lat))
-    cos_ha = F.cos(F.radians(F.lit(90.0 + depression))) / (F.cos(phi) * F.cos(decl)) - F.tan(
-        phi
-    ) * F.tan(decl)
-    ha = F.degrees(F.when(F.abs(cos_ha) <= 1, F.acos(cos_ha)))
-    dawn = 720 - 4 * (F.col(lon) + ha) - eqtime
-    dusk = 720 - 4 * (F.col(lon) - ha) - eqtime
-    midnight = F.col(date).cast("timestamp_ntz")
-    return df.withColumn("dawn", add_time(midnight, F.floor(dawn), "minute")).withColumn(
-        "dusk", add_time(midnight, F.ceil(dusk), "minute")
+    keys = list(keys)
+    nearest = {c: floor_time("minute", add_time(c, 30)) for c in ("dawn", "dusk")}
+    known = sized(daylight.filter("dawn IS NOT NULL AND dusk IS NOT NULL").select(*keys, "date", *[e.alias(c) for c, e in nearest.items()]))
+    out = dates.select(*keys, "date").join(known, [*keys, "date"], "left")
+    for step, tag in ((1, "prev"), (-1, "next")):
+        moved = known.select(
+            *keys, F.date_add("date", step).alias("date"),
+            *[add_time(c, step, "day").alias(f"{c}_{tag}") for c in ("dawn", "dusk")],
+        )
+        out = out.join(moved, [*keys, "date"], "left")
+    return out.select(
+        *keys, "date", F.coalesce("dawn", "dawn_prev", "dawn_next").alias("dawn"), F.coalesce("dusk", "dusk_prev", "dusk_next").alias("dusk")
     )
 
 
-def daylight_table(sites: DataFrame, dates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Dawn and dusk per key and date; a day without them borrows the day before.
+def flag_daylight(df: DataFrame, daylight: DataFrame, keys: Sequence[str], ts: str = "ts", tz: str | None = None) -> DataFrame:
+    """Add ``is_day``: the reading's local clock lies in its local date's daylight, dusk excluded.
 
-    ``dates`` lists the dates wanted per key, ``sites`` gives ``lat`` and ``lon``.
-    The very first day borrows the day after instead.
+    ``daylight`` is keyed by local date and has local clocks.  ``ts`` is a local clock too,
+    or, with ``tz`` (a column), a UTC clock that is moved to its site's zone first, so an
+    evening reading behind UTC midnight still belongs to its local day.
     """
-    keys = list(keys)
-    times = solar_times(dates.join(sites, keys), "date", "lat", "lon")
-
-    def moved(step: int, tag: str) -> DataFrame:
-        return times.select(
-            *keys,
-            F.date_add("date", step).alias("date"),
-            add_time("dawn", step, "day").alias(f"dawn_{tag}"),
-            add_time("dusk", step, "day").alias(f"dusk_{tag}"),
-        )
+    lit = sized(daylight.select(*keys, F.col("date").alias("_date"), "dawn", "dusk"))
+    local = F.col(ts) if tz is None else F.from_utc_timestamp(F.col(ts), F.col(tz)).cast("timestamp_ntz")
+    out = df.withColumn("_local", local).withColumn("_date", F.to_date("_local")).join(lit, [*keys, "_date"], "left")
+    inside = (F.col("_local") >= F.col("dawn")) & (F.col("_local") < F.col("dusk"))
+    return out.withColumn("is_day", F.coalesce(inside, F.lit(False))).drop("_date", "_local", "dawn", "dusk")
 
-    out = times.join(moved(1, "prev"), [*keys, "date"], "left").join(
-        moved(-1, "next"), [*keys, "date"], "left"
-    )
-    return out.select(
-        *keys,
-        "date",
-        F.coalesce("dawn", "dawn_prev", "dawn_next").alias("dawn"),
-        F.coalesce("dusk", "dusk_prev", "dusk_next").alias("dusk"),
-    )
 
+def same_axis(df: DataFrame, on: Sequence[str], frame: str = "frame") -> DataFrame:
+    """Rows present in some but not all frames of a long table; empty when all share one axis.
 
-def flag_daylight(df: DataFrame, daylight: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
-    """Add ``is_day``: the reading lies in its day's daylight, both ends included."""
-    lit = sized(daylight.select(*keys, F.col("date").alias("_date"), "dawn", "dusk"))
-    out = df.withColumn("_date", F.to_date(ts)).join(lit, [*keys, "_date"], "left")
-    is_day = F.coalesce(F.col(ts).between(F.col("dawn"), F.col("dusk")), F.lit(False))
-    return out.withColumn("is_day", is_day).drop("_date", "dawn", "dusk")
-
-
-def same_axis(frames: dict[str, DataFrame], on: Sequence[str]) -> DataFrame:
-    """Rows present in some but not all of ``frames``; empty when they share one axis."""
-    tagged = [df.select(*on).distinct().withColumn("frame", F.lit(n)) for n, df in frames.items()]
-    union = tagged[0]
-    for other in tagged[1:]:
-        union = union.unionByName(other)
-    names = F.array_sort(F.collect_set("frame"))
-    return union.groupBy(*on).agg(names.alias("present_in")).filter(F.size("present_in") < len(frames))
+    The frames are those that ``frame`` names, one pass over the data collects who has what.
+    """
+    pairs = df.select(*on, F.col(frame).alias("_frame")).distinct()
+    n_frames = pairs.agg(F.count_distinct("_frame")).scalar()
+    names = F.array_sort(F.collect_list("_frame"))
+    return pairs.groupBy(*on).agg(names.alias("present_in")).filter(F.size("present_in") < n_frames)

@@ -12,15 +12,16 @@ from gridloom.operators.lookups import claim_days
 def parse_outage_dates(log: DataFrame, columns: list[str]) -> DataFrame:
     """Read the two-format date columns of an outage log.
 
-    Unreadable rows are dropped when a column has fewer than three of them; more raise
-    an error when the plan runs.
+    Dates are month/day/year, with or without leading zeros, with a year of four or two
+    digits; a time behind them is cut off.  Unreadable rows are dropped when a column has
+    fewer than three of them; more raise an error when the plan runs.
     """
     for c in columns:
         text = F.trim(F.col(c))
-        size = F.length(text)
+        day = F.split(text, " ")[0]
         parsed = F.coalesce(
-            F.when(size == 10, F.try_to_timestamp(text, F.lit("MM/dd/yyyy"))),
-            F.when(size == 8, short_year_date(text, "MM/dd/yy").cast("timestamp")),
+            F.when(day.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_timestamp(day, F.lit("M/d/yyyy"))),
+            F.when(day.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), short_year_date(day, "M/d/yy").cast("timestamp")),
             F.try_to_timestamp(text),
         ).cast("timestamp_ntz")
         log = log.withColumn(f"_{c}", parsed)

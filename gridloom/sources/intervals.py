@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.core.ordered import series
+from gridloom.core.session import sized
 from gridloom.functions.scalars import to_number
 from gridloom.operators.timeaxis import dedupe_first, split_range, upsample_linear
 
@@ -29,21 +30,21 @@ def parse_local_time(text: Column, tz: Column | None = None) -> Column:
 def read_wide_csv(spark: SparkSession, path: str | list[str], tz: Column | None = None) -> DataFrame:
     """Rows (file, attribute, ts, value) of CSV files with any set of columns.
 
-    The header of a file is its one line whose first field is not a time stamp.  Lines
-    and headers are matched by file and position, so files of different width need no
-    schema and no pass over them from the driver.
+    The header of a file is its first line with more than one field whose first field is
+    not a time stamp; other such lines (footers, totals) are no data.  Lines and headers are
+    matched by file and position, so files of different width need no schema and no pass
+    over them from the driver.  Lines are told apart by the offset at which a split of the
+    file begins and their order in it.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("no")).alias("_line"),
         F.split("value", r',(?=(?:[^"]*"[^"]*")*[^"]*$)').alias("_f"),
     )
     stamped = lines.withColumn("ts", parse_local_time(F.trim(F.col("_f")[0]), tz))
     cells = F.posexplode(F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0)))).alias("_pos", "_cell")
-    names = (
-        stamped.filter(F.col("ts").isNull() & (F.size("_f") > 1))
-        .select("file", cells)
-        .select("file", "_pos", F.trim(F.regexp_replace("_cell", '"', "")).alias("attribute"))
-    )
+    heads = stamped.filter(F.col("ts").isNull() & (F.size("_f") > 1)).groupBy("file").agg(F.min_by("_f", "_line").alias("_f"))
+    names = heads.select("file", cells).select("file", "_pos", F.trim(F.regexp_replace("_cell", '"', "")).alias("attribute"))
     values = stamped.filter(F.col("ts").isNotNull()).select("file", "ts", cells)
     return values.join(names, ["file", "_pos"]).select(
         "file", "attribute", "ts", to_number(F.trim("_cell")).alias("value")
@@ -62,14 +63,15 @@ def in_period(df: DataFrame, start: str, end: str, ts: str = "ts") -> DataFrame:
     return df.filter((F.col(ts) >= lower) & (F.col(ts) < upper))
 
 
-def common_attributes(rows: DataFrame, file="file") -> DataFrame:
-    """Rows of the attributes every file has."""
-    n_files = rows.agg(F.count_distinct(file)).scalar()
-    shared = (
-        rows.select(file, "attribute").distinct().groupBy("attribute").agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") == n_files)
-    )
-    return rows.join(shared, "attribute", "left_semi")
+def common_attributes(rows: DataFrame, file="file", site: Sequence[str] = ()) -> DataFrame:
+    """Rows of the attributes that every file of their site has (of all files without ``site``)."""
+    site = list(site)
+    pairs = rows.select(*site, file, "attribute").distinct()
+    one = F.lit(1).alias("_all")
+    files = pairs.select(*site, one, file).distinct().groupBy(*site, "_all").agg(F.count("*").alias("_files"))
+    has = pairs.groupBy(*site, one, "attribute").agg(F.count("*").alias("_has"))
+    shared = sized(has.join(files, [*site, "_all"]).filter(F.col("_has") == F.col("_files")).select(*site, "attribute"))
+    return rows.join(shared, [*site, "attribute"], "left_semi")
 
 
 def load_periods(
@@ -77,12 +79,14 @@ def load_periods(
 ) -> DataFrame:
     """Several periods as one series.
 
-    ``latest`` holds the file of each period to use.  Only attributes common to all of
-    them stay; of equal time stamps the first file's counts.  With ``upsample`` coarse
+    ``latest`` holds the file of each period to use.  Only attributes common to all of a
+    site's files stay (``keys`` besides attribute and ts name the site); of equal time stamps
+    the first file's counts.  With ``upsample`` coarse
     series are interpolated to one minute.
     """
     chosen = rows.join(latest.select("file"), "file", "left_semi")
-    out = dedupe_first(common_attributes(chosen), list(keys), ["file"])
+    site = [k for k in keys if k not in ("attribute", "ts")]
+    out = dedupe_first(common_attributes(chosen, site=site), list(keys), ["file"])
     if not upsample:
         return out
     ids = [k for k in keys if k != "ts"]

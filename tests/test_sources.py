@@ -29,6 +29,20 @@ def test_wide_csv_files_of_different_shape(spark, tmp_path):
     assert rows(iv.common_attributes(got).select("attribute").distinct()) == [("POA_1",)]
 
 
+def test_footer_lines_are_no_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Timestamp,P\n2024-01-01 00:00:00,1\n2024-01-01 00:01:00,2\nTotal,11\n")
+    got = iv.read_wide_csv(spark, str(tmp_path))
+    assert rows(got, "attribute", "value") == [("P", 1.0), ("P", 2.0)]
+
+
+def test_common_attributes_are_per_site(spark):
+    data = [("s", "f1", "P"), ("s", "f2", "P"), ("s", "f1", "Q"), ("t", "g1", "R")]
+    df = spark.createDataFrame([(*d, ts("2024-01-01T00:00:00"), 1.0) for d in data], "site string, file string, attribute string, ts timestamp_ntz, value double")
+    assert rows(iv.common_attributes(df, site=["site"]).select("site", "attribute").distinct()) == [("s", "P"), ("t", "R")]
+    latest = spark.createDataFrame([("f1",), ("f2",), ("g1",)], "file string")
+    assert rows(iv.load_periods(df, latest, ["site", "attribute", "ts"]), "site", "attribute") == [("s", "P"), ("t", "R")]
+
+
 def test_load_periods_keeps_the_first_of_equal_stamps(spark):
     data = [("f1", "P", ts("2024-01-01T00:00:00"), 1.0), ("f2", "P", ts("2024-01-01T00:00:00"), 9.0), ("f2", "P", ts("2024-01-01T00:02:00"), 3.0), ("old", "P", ts("2024-01-01T00:00:00"), 5.0), ("f1", "Q", ts("2024-01-01T00:00:00"), 1.0)]
     df = spark.createDataFrame(data, "file string, attribute string, ts timestamp_ntz, value double")

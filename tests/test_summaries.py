@@ -82,7 +82,15 @@ def test_excursion_band_is_exclusive_and_scaled(spark):
     measured = series_df(spark, [p * 10 for p in poi], k="a")
     target = series_df(spark, [138.0], k="a")
     got = ev.voltage_excursions(measured, target, BY, "event_id")
-    assert rows(got, "max_delta", "minutes", "start_setpoint") == [(12.0, 0.0, 138.0), (5.0, 1.0, 138.0)]
+    assert rows(got, "max_delta", "minutes", "start_setpoint") == [(12.0, 0.0, 138.0), (5.0, 1.983333, 138.0)]
+
+
+def test_excursion_lasts_until_the_next_recorded_value(spark):
+    stamps = [("a", ts(f"2024-01-01T00:{m:02d}:00"), m, v) for m, v in ((0, 138.0), (10, 120.0), (50, 138.0))]
+    measured = spark.createDataFrame(stamps, "k string, ts timestamp_ntz, event_id int, value double")
+    target = series_df(spark, [138.0], k="a")
+    got = ev.voltage_excursions(measured, target, BY, "event_id").collect()
+    assert [(r.start_time.minute, r.end_time.minute, r.end_time.second) for r in got] == [(10, 49, 59)]
 
 
 def test_asof_takes_the_latest_target_at_or_before(spark):
@@ -146,4 +154,4 @@ def test_value_counts(spark):
     assert rows(counts, "parameter", "value", "count", "holders", "share") == [
         ("p", "1", 2, "A, B", 0.666667), ("p", "2", 1, "C", 0.333333), ("q", "9", 1, "A", 1.0)
     ]
-    assert rows(sm.value_counts_wide(counts, 2)) == [("p", 2, 0.666667, 1, 0.333333), ("q", 1, 1.0, None, None)]
+    assert rows(sm.value_counts_wide(counts)) == [("p", 2, 0.666667, 1, 0.333333), ("q", 1, 1.0, None, None)]

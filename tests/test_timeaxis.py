@@ -123,21 +123,33 @@ def test_fixed_offset_and_standard_axis(spark):
     assert [(r.ts_local.hour, r.mwh) for r in wall] == [(0, 1.0), (1, 2.0), (2, None), (3, 3.0), (4, 4.0), (5, 5.0)]
 
 
-def test_daylight_of_a_mid_latitude_summer_day(spark):
-    sites = spark.createDataFrame([("a", 40.0, 0.0)], "site string, lat double, lon double")
-    dates = spark.createDataFrame([("a", dt.date(2024, 6, 21))], "site string, date date")
-    got = ta.daylight_table(sites, dates, ["site"]).first()
-    assert abs((got.dawn - ts("2024-06-21T04:00:00")).total_seconds()) < 600
-    assert abs((got.dusk - ts("2024-06-21T20:04:00")).total_seconds()) < 600
-
-
-def test_polar_day_borrows_a_neighbour(spark):
-    sites = spark.createDataFrame([("a", 60.4, 0.0)], "site string, lat double, lon double")
-    days = [(("a"), dt.date(2024, 4, 25) + dt.timedelta(days=i)) for i in range(30)]
-    got = ta.daylight_table(sites, spark.createDataFrame(days, "site string, date date"), ["site"])
-    solo = ta.solar_times(spark.createDataFrame([(d, 60.4, 0.0) for _, d in days], "date date, lat double, lon double"), "date", "lat", "lon")
-    n_null = solo.filter("dawn is null").count()
-    assert got.filter("dawn is null").count() <= max(n_null - 1, 0)
+def daylight(spark, days):
+    data = [("a", dt.date.fromisoformat(d), d and ts(f"{d}T{x}"), ts(f"{d}T{y}")) if x else ("a", dt.date.fromisoformat(d), None, None) for d, x, y in days]
+    return spark.createDataFrame(data, "site string, date date, dawn timestamp_ntz, dusk timestamp_ntz")
+
+
+def test_daylight_borrows_from_neighbours_and_rounds(spark):
+    lit = daylight(spark, [("2024-06-20", "05:10:31", "20:30:29"), ("2024-06-21", None, None), ("2024-06-24", "05:12:00", "20:31:00")])
+    dates = spark.createDataFrame([("a", dt.date(2024, 6, d)) for d in (20, 21, 22, 23, 24)], "site string, date date")
+    got = [(r.date.day, r.dawn and r.dawn.strftime("%d %H:%M"), r.dusk and r.dusk.strftime("%d %H:%M")) for r in ta.complete_daylight(dates, lit, ["site"]).orderBy("date").collect()]
+    assert got == [
+        (20, "20 05:11", "20 20:30"), (21, "21 05:11", "21 20:30"), (22, None, None), (23, "23 05:12", "23 20:31"), (24, "24 05:12", "24 20:31"),
+    ]
+
+
+def test_evening_readings_belong_to_their_local_day(spark):
+    lit = daylight(spark, [("2024-06-20", "05:05:00", "20:18:00"), ("2024-06-21", "05:05:00", "20:18:00")])
+    stamps = ["2024-06-20T10:04:59", "2024-06-20T10:05:00", "2024-06-21T00:30:00", "2024-06-21T01:17:59", "2024-06-21T01:18:00"]
+    df = spark.createDataFrame([("a", "America/Chicago", ts(t)) for t in stamps], "site string, tz string, ts timestamp_ntz")
+    got = ta.flag_daylight(df, lit, ["site"], tz="tz").orderBy("ts")
+    assert [r.is_day for r in got.collect()] == [False, True, True, True, False]
+    local = spark.createDataFrame([("a", ts("2024-06-20T20:17:59")), ("a", ts("2024-06-20T20:18:00")), ("a", ts("2024-07-20T12:00:00"))], "site string, ts timestamp_ntz")
+    assert [r.is_day for r in ta.flag_daylight(local, lit, ["site"]).orderBy("ts").collect()] == [True, False, False]
+
+
+def test_same_axis_finds_rows_that_a_frame_lacks(spark):
+    df = spark.createDataFrame([("x", 1), ("y", 1), ("x", 2), ("x", 2)], "frame string, k int")
+    assert rows(ta.same_axis(df, ["k"]), "k", "present_in") == [(2, ["x"])]
 
 
 def test_scalar_rules(spark):
