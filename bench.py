@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from gridloom.catalog import all_queries
-from gridloom.core.session import build_session
+from gridloom.core.session import build_session, use_folder
 
 HEADLINES = (
     "offline_events",
@@ -69,6 +70,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_folder(spark, tempfile.mkdtemp(prefix="gridloom-"))
     queries = all_queries()
     spark.read.parquet(f"{sf}/lineitem.parquet").write.format("noop").mode("overwrite").save()
     times = {}

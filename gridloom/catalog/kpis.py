@@ -14,6 +14,7 @@ from gridloom.catalog.reports import (
 )
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import table
+from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import floor_time
 from gridloom.plans import kpi as kp
 from gridloom.plans import report as rp
@@ -51,7 +52,7 @@ def claims(spark, sf):
 
 
 def snow(spark, sf):
-    rows = table(spark, sf, "lineitem").filter(F.month("l_shipdate").isin(12, 1, 2)).select(
+    rows = table(spark, sf, "lineitem").select(
         F.concat("l_returnflag", "l_linestatus").alias("site"), floor_time("month", "l_shipdate").alias("month"),
         (F.col("l_quantity") / 100).alias("derate_lost_mwh"), F.when(F.col("l_tax") > 0.02, F.col("l_quantity") / 50).alias("outage_lost_mwh"),
     )
@@ -75,7 +76,7 @@ ins AS (
 sn AS (
   SELECT l_returnflag || l_linestatus AS site, date_trunc('month', l_shipdate)::TIMESTAMP AS month,
          sum(l_quantity / 100 + CASE WHEN l_tax > 0.02 THEN l_quantity / 50 ELSE 0 END) AS mwh
-  FROM lineitem WHERE month(l_shipdate) IN (12, 1, 2) GROUP BY 1, 2),
+  FROM lineitem GROUP BY 1, 2),
 k AS (
   SELECT s.site, s.month, possible, greatest(inv0, meter) AS inverter, meter, dc0, down0, ac_module, soiling, avail, poa,
          CASE WHEN s.site LIKE 'R%' THEN non0 ELSE comp0 END AS comp, CASE WHEN s.site NOT LIKE 'R%' THEN non0 END AS non,
@@ -161,24 +162,30 @@ def waterfall(spark, sf):
 @query(KPI_SQL + """,
 l AS (SELECT site, strftime(month, '%Y-%m') AS m, u.kpi, u.value FROM k, unnest([
   {'kpi': 'possible_generation', 'value': possible}, {'kpi': 'meter_generation', 'value': meter}, {'kpi': 'curtailment_total', 'value': curt}]) t(u))
-SELECT site, kpi, """ + ", ".join(f"round(max(value) FILTER (m = '{m}'), 7) AS \"{m}\"" for m in ("1998-03", "1998-04", "1998-05", "1998-06")) + """
-FROM l WHERE m BETWEEN '1998-03' AND '1998-06' GROUP BY 1, 2
+SELECT site, kpi, min(m) FILTER (value IS NOT NULL) AS first_month, count(value) AS n_months, round(coalesce(sum(value), 0), 4) AS total FROM l GROUP BY 1, 2
 """)
 def kpi_history_pivot(spark, sf):
-    months = ["1998-03", "1998-04", "1998-05", "1998-06"]
-    out = kp.history(ruled(spark, sf), ["site"], months, ["possible_generation", "meter_generation", "curtailment_total"])
-    return rounded(out, 7, *months)
+    """History of all months, one column each, summed up over its columns."""
+    kpis = cut_lineage(ruled(spark, sf))
+    out = kp.history(kpis, ["site"], ["possible_generation", "meter_generation", "curtailment_total"])
+    months = sorted(c for c in out.columns if c not in ("site", "kpi"))
+    present = [F.when(F.col(m).isNotNull(), F.lit(m)) for m in months]
+    return out.select(
+        "site", "kpi", F.least(*present).alias("first_month"),
+        sum((F.when(F.col(m).isNotNull(), 1).otherwise(0) for m in months), F.lit(0)).cast("long").alias("n_months"),
+        F.round(sum((F.coalesce(m, F.lit(0.0)) for m in months), F.lit(0.0)), 4).alias("total"),
+    )
 
 
 @query(KPI_SQL + """,
 bud AS (
   SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS month, count(*) / 10.0::DOUBLE AS bpoa, sum(floor(o_totalprice)) / 1e4 AS bprod, count(*) / 50.0::DOUBLE AS bcurt
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+  FROM orders GROUP BY 1)
 SELECT site, k.month, round(1 + ((meter + snow + coalesce(ins, 0)) + (curt - coalesce(bcurt, 0)) - poa / nullif(coalesce(bpoa, 0), 0) * coalesce(bprod, 0)) / nullif(coalesce(bprod, 0), 0), 7) AS perf_availability
 FROM k LEFT JOIN bud ON bud.month = k.month
 """)
 def perf_availability(spark, sf):
-    budget = table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy(floor_time("month", "o_orderdate").alias("month")).agg(
+    budget = table(spark, sf, "orders").groupBy(floor_time("month", "o_orderdate").alias("month")).agg(
         (F.count("*") / 10).alias("budget_poa"), (F.sum(F.floor("o_totalprice")) / 1e4).alias("budget_production"),
         (F.count("*") / 50).alias("budget_curtailment"),
     )
@@ -247,7 +254,7 @@ def report_interval_table(spark, sf):
 @query("""
 SELECT l_returnflag || l_linestatus AS site, date_trunc('month', l_shipdate)::TIMESTAMP AS month,
        round(sum(l_quantity / 100 + CASE WHEN l_tax > 0.02 THEN l_quantity / 50 ELSE 0 END), 6) AS mwh
-FROM lineitem WHERE month(l_shipdate) IN (12, 1, 2) GROUP BY 1, 2
+FROM lineitem GROUP BY 1, 2
 """)
 def snow_loss_totals(spark, sf):
     return rounded(snow(spark, sf), 6, "mwh")

@@ -174,7 +174,7 @@ def stamped_mean(spark, sf):
 WITH r AS (
   SELECT l_suppkey, l_shipdate + (l_orderkey % 24) * INTERVAL 1 HOUR AS ts_local, coalesce(CASE WHEN l_quantity > 5 THEN l_quantity END, 0) AS v
   FROM lineitem WHERE l_linestatus = 'F')
-SELECT coalesce(CASE WHEN s_acctbal > 2000 THEN s_name END, 'R' || l_suppkey::VARCHAR) AS site, ts_local, round(avg(v), 9) AS mwh
+SELECT coalesce(CASE WHEN s_suppkey % 4 > 0 THEN s_name END, 'R' || l_suppkey::VARCHAR) AS site, ts_local, round(avg(v), 9) AS mwh
 FROM r JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2
 """)
 def settlement_pivot(spark, sf):
@@ -183,7 +183,7 @@ def settlement_pivot(spark, sf):
         F.col("hour").alias("interval_id"), F.when(F.col("l_quantity") > 5, F.col("l_quantity")).alias("value"),
         F.when(F.col("l_linestatus") == "F", "GEN").otherwise("LOAD").alias("measurement_type"),
     )
-    resources = table(spark, sf, "supplier").filter("s_acctbal > 2000").select(
+    resources = table(spark, sf, "supplier").filter("s_suppkey % 4 > 0").select(
         F.concat(F.lit("R"), F.col("s_suppkey").cast("string")).alias("resource_id"), F.col("s_name").alias("site")
     )
     return rounded(mt.settlement(rows, resources), 9, "mwh")

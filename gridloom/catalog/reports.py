@@ -63,7 +63,6 @@ def overrides(spark, sf):
     """External curtailment totals of one site."""
     return (
         table(spark, sf, "orders")
-        .filter("o_orderstatus = 'F'")
         .groupBy(floor_time("month", "o_orderdate").alias("month"))
         .agg((F.sum("o_totalprice") / 1e6).alias("curtailment_override"))
         .select(F.lit("A").alias("site"), "month", "curtailment_override", F.lit(None).cast("double").alias("meter_override"))
@@ -132,8 +131,8 @@ site0 AS (
   SELECT site, month, sum(energetic_loss) AS energetic_loss, sum(dc_health) AS dc_health, sum(downtime) AS downtime,
          sum(curtailment) AS curtailment, sum(actual) AS actual, sum(possible) AS possible FROM totals GROUP BY 1, 2),
 ext AS (
-  SELECT o_orderstatus AS k, date_trunc('month', o_orderdate)::TIMESTAMP AS month, sum(o_totalprice) / 1e6 AS mwh
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+  SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS month, sum(o_totalprice) / 1e6 AS mwh
+  FROM orders GROUP BY 1),
 site AS (
   SELECT s.* EXCLUDE (curtailment), coalesce(e.mwh, s.curtailment) AS curtailment, insolation, meter, module_loss, soiling_loss, curt_loss
   FROM site0 s JOIN hours USING (site, month)
@@ -499,14 +498,14 @@ cell AS (
 
 
 def _matrix_sql(show: str) -> str:
-    columns = ", ".join(f"coalesce(max({show}) FILTER (cmb = '{i}'), '-/-') AS \"{i}\"" for i in range(5))
+    columns = ", ".join(f"coalesce(max({show}) FILTER (cmb = '{i}'), '-/-') AS \"{i}\"" for i in range(4))
     return f"{MATRIX_SQL} SELECT 'plant' AS site, inv, {columns} FROM cell GROUP BY inv"
 
 
 def _matrix(spark, sf, show):
     design = combiner_tables(spark, sf)[3]
     losses = cb.loss_by_flag(flags_of(spark, sf))
-    return cb.loss_matrix(losses, design, [str(i) for i in range(5)], show=show)
+    return cb.loss_matrix(losses, design, show=show)
 
 
 @query(_matrix_sql("loss"))

@@ -30,23 +30,23 @@ from gridloom.sources import spreadsheet as ss
 
 
 def rates(spark, sf):
-    """Monthly rate per segment for the years up to 1999, from order totals."""
+    """Monthly rate per segment, from order counts."""
     orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return (
-        orders.filter("o_orderdate < '1999-06-01'")
-        .groupBy(F.col("c_mktsegment").alias("site"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+        orders.groupBy(F.col("c_mktsegment").alias("site"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
         .agg((F.count("*") / 100).alias("rate"))
     )
 
 
 RATES_SQL = """rates AS (
   SELECT c_mktsegment AS site, strftime(o_orderdate, '%Y-%m') AS month, count(*) / 100.0::DOUBLE AS rate
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate < '1999-06-01' GROUP BY 1, 2)"""
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
 
 
 @query(f"""
 WITH {RATES_SQL},
-w AS (SELECT o_orderkey, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'UNKNOWN' ELSE c_mktsegment END AS site, strftime(o_orderdate, '%Y-%m') AS month
+w AS (SELECT o_orderkey, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'UNKNOWN' ELSE c_mktsegment END AS site,
+             strftime(o_orderdate + to_months((24 * (o_orderkey % 2))::INTEGER), '%Y-%m') AS month
       FROM orders JOIN customer ON o_custkey = c_custkey)
 SELECT o_orderkey, w.site, w.month, coalesce(rate, 0) AS rate
 FROM w LEFT JOIN rates r ON r.site = w.site AND r.month = least(w.month, (SELECT max(month) FROM rates))
@@ -54,20 +54,22 @@ FROM w LEFT JOIN rates r ON r.site = w.site AND r.month = least(w.month, (SELECT
 def rate_lookup_clamped(spark, sf):
     orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     site = F.when(F.col("c_mktsegment") == "FURNITURE", "UNKNOWN").otherwise(F.col("c_mktsegment"))
-    wanted = orders.select("o_orderkey", site.alias("site"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    # odd orders ask for a month two years on, often beyond the last known rate
+    month = F.add_months("o_orderdate", (F.col("o_orderkey") % 2 * 24).cast("int"))
+    wanted = orders.select("o_orderkey", site.alias("site"), F.date_format(month, "yyyy-MM").alias("month"))
     return lk.clamped_rate(wanted, rates(spark, sf))
 
 
 @query("""
-SELECT c_mktsegment AS site, m.month, m.rate FROM (
-  SELECT c_mktsegment, count(*) FILTER (year(o_orderdate) = 1995) / 10.0::DOUBLE AS a, count(*) FILTER (year(o_orderdate) = 1996) / 10.0::DOUBLE AS b
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1),
-  unnest([{'month': '1995', 'rate': a}, {'month': '1996', 'rate': b}]) t(m)
+WITH o AS (SELECT c_mktsegment AS site, year(o_orderdate)::VARCHAR AS month FROM orders JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT DISTINCT site FROM o), y AS (SELECT DISTINCT month FROM o)
+SELECT s.site, y.month, (SELECT count(*) FROM o WHERE o.site = s.site AND o.month = y.month) / 10.0::DOUBLE AS rate FROM s, y
 """)
 def rate_matrix_rows(spark, sf):
     orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    years = [r.y for r in orders.select(F.year("o_orderdate").alias("y")).distinct().collect()]
     matrix = orders.groupBy(F.col("c_mktsegment").alias("site")).agg(
-        *[(F.count_if(F.year("o_orderdate") == y) / 10).alias(str(y)) for y in (1995, 1996)]
+        *[(F.count_if(F.year("o_orderdate") == y) / 10).alias(str(y)) for y in sorted(years)]
     )
     return lk.unpivot_months(matrix)
 
@@ -83,28 +85,26 @@ def tracker(spark, sf):
 WITH t AS (
   SELECT c_mktsegment AS site, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month, round(sum(o_totalprice), 2) AS production
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3)
-SELECT * FROM t WHERE site IN (SELECT c_mktsegment FROM customer GROUP BY 1 HAVING sum(c_acctbal) > 0 AND c_mktsegment < 'H')
-  AND (year, month) IN (SELECT (year(l_shipdate), month(l_shipdate)) FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1)
+SELECT * FROM t WHERE site IN (SELECT c_mktsegment FROM customer GROUP BY 1 HAVING sum(c_acctbal) > 0)
+  AND (year, month) IN (SELECT (year(l_shipdate), month(l_shipdate)) FROM lineitem GROUP BY year(l_shipdate), month(l_shipdate) HAVING count(*) % 2 = 0)
 """)
 def tracker_selection(spark, sf):
-    sites = table(spark, sf, "customer").filter("c_mktsegment < 'H'").groupBy(F.col("c_mktsegment").alias("site")).agg(
-        F.sum("c_acctbal").alias("b")).filter("b > 0")
-    periods = table(spark, sf, "lineitem").filter("l_quantity = 50 AND l_discount = 0.1").select(
-        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")
-    )
+    sites = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("site")).agg(F.sum("c_acctbal").alias("b")).filter("b > 0")
+    months = table(spark, sf, "lineitem").groupBy(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
+    periods = months.agg(F.count("*").alias("n")).filter("n % 2 = 0").select("year", "month")
     return lk.tracker_rows(tracker(spark, sf), sites, periods)
 
 
 @query("""
 WITH t AS (SELECT c_name AS project, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1),
-b AS (SELECT c_name AS project, c_acctbal AS budget_poa, c_acctbal * 2 AS budget_production FROM customer WHERE c_acctbal > 0)
+b AS (SELECT c_name AS project, c_acctbal AS budget_poa, c_acctbal * 2 AS budget_production FROM customer WHERE c_custkey % 3 > 0)
 SELECT t.project, n, budget_poa, budget_production FROM t LEFT JOIN b USING (project)
 """)
 def budget_join(spark, sf):
     customer = table(spark, sf, "customer")
     kpis = customer.join(table(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").groupBy(
         F.col("c_name").alias("project")).agg(F.count("o_orderkey").alias("n"))
-    budget = customer.filter("c_acctbal > 0").select(
+    budget = customer.filter("c_custkey % 3 > 0").select(
         F.col("c_name").alias("project"), F.col("c_acctbal").alias("budget_poa"), (F.col("c_acctbal") * 2).alias("budget_production")
     )
     return lk.join_budget(kpis, budget)
@@ -128,9 +128,9 @@ def fill_zero_kpis(spark, sf):
 
 @query(f"""
 WITH {READINGS_SQL},
-i AS (SELECT asset AS site, date_trunc('hour', ts) AS ts, sum(value) AS inv_mwh FROM readings WHERE site = 'purchase' GROUP BY 1, 2),
-p AS (SELECT asset AS site, date_trunc('hour', ts) AS ts, sum(value) AS plant_mwh FROM readings WHERE site = 'view' GROUP BY 1, 2),
-u AS (SELECT asset AS site, date_trunc('hour', ts) AS ts, sum(value) AS utility_mwh FROM readings WHERE site = 'click' GROUP BY 1, 2)
+i AS (SELECT asset AS site, date_trunc('hour', ts) AS ts, sum(value) AS inv_mwh FROM readings WHERE length(site) % 3 = 2 GROUP BY 1, 2),
+p AS (SELECT asset AS site, date_trunc('hour', ts) AS ts, sum(value) AS plant_mwh FROM readings WHERE length(site) % 3 = 1 GROUP BY 1, 2),
+u AS (SELECT asset AS site, date_trunc('hour', ts) AS ts, sum(value) AS utility_mwh FROM readings WHERE length(site) % 3 = 0 GROUP BY 1, 2)
 SELECT site, ts, round(plant_mwh, 4) AS plant_mwh, round(inv_mwh, 4) AS inv_mwh, round(utility_mwh, 4) AS utility_mwh,
        round(inv_mwh - plant_mwh, 4) AS inv_minus_plant, round(plant_mwh - utility_mwh, 4) AS plant_minus_utility
 FROM p FULL JOIN i USING (site, ts) FULL JOIN u USING (site, ts)
@@ -139,21 +139,26 @@ def meter_compare(spark, sf):
     rows = readings(spark, sf)
 
     def energy(kind, name):
-        picked = rows.filter(F.col("site") == kind)
+        picked = rows.filter(F.length("site") % 3 == kind)
         return picked.groupBy(F.col("asset").alias("site"), floor_time("hour", "ts").alias("ts")).agg(F.sum("value").alias(name))
 
-    out = lk.compare_meters(energy("view", "plant_mwh"), energy("purchase", "inv_mwh"), energy("click", "utility_mwh"), ["site", "ts"])
+    out = lk.compare_meters(energy(1, "plant_mwh"), energy(2, "inv_mwh"), energy(0, "utility_mwh"), ["site", "ts"])
     return rounded(out, 4, "plant_mwh", "inv_mwh", "utility_mwh", "inv_minus_plant", "plant_minus_utility")
 
 
+def even_nations(spark, sf):
+    """Nations with an even number of customers."""
+    counts = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("site")).agg(F.count("*").alias("n"))
+    return counts.filter("n % 2 = 0").select("site")
+
+
 @query("""
 SELECT DISTINCT s.s_nationkey AS site, c_nationkey IS NOT NULL AS found
-FROM supplier s LEFT JOIN (SELECT DISTINCT c_nationkey FROM customer WHERE c_acctbal > 9000) c ON c.c_nationkey = s.s_nationkey
+FROM supplier s LEFT JOIN (SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) % 2 = 0) c ON c.c_nationkey = s.s_nationkey
 """)
 def presence_split(spark, sf):
     wanted = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("site"))
-    stored = table(spark, sf, "customer").filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("site"))
-    return lk.presence(wanted, stored, ["site"])
+    return lk.presence(wanted, even_nations(spark, sf), ["site"])
 
 
 @query("""
@@ -172,8 +177,9 @@ def first_wins(spark, sf):
     return lk.latest_wins(rows, ["site"], ["file_ts"], "file")
 
 
-def meter_months(spark, sf, status):
-    orders = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
+def meter_months(spark, sf, half):
+    """Monthly values from even (0) or odd (1) orders."""
+    orders = table(spark, sf, "orders").filter(F.col("o_orderkey") % 2 == half)
     return orders.groupBy(
         F.col("o_custkey").alias("site"), floor_time("month", "o_orderdate").alias("month")
     ).agg(F.round(F.sum("o_totalprice"), 2).alias("mwh"))
@@ -181,20 +187,20 @@ def meter_months(spark, sf, status):
 
 MONTHS_SQL = """
 WITH m AS (
-  SELECT o_orderstatus AS st, o_custkey AS site, date_trunc('month', o_orderdate)::TIMESTAMP AS month, round(sum(o_totalprice), 2) AS mwh
+  SELECT o_orderkey % 2 AS half, o_custkey AS site, date_trunc('month', o_orderdate)::TIMESTAMP AS month, round(sum(o_totalprice), 2) AS mwh
   FROM orders GROUP BY 1, 2, 3),
-old AS (SELECT site, month, mwh FROM m WHERE st = 'F'), new AS (SELECT site, month, mwh FROM m WHERE st = 'O')
+old AS (SELECT site, month, mwh FROM m WHERE half = 0), new AS (SELECT site, month, mwh FROM m WHERE half = 1)
 """
 
 
 @query(MONTHS_SQL + "SELECT * FROM old UNION ALL SELECT * FROM new WHERE (site, month) NOT IN (SELECT (site, month) FROM old)")
 def upsert_missing(spark, sf):
-    return lk.insert_missing(meter_months(spark, sf, "F"), meter_months(spark, sf, "O"), ["site", "month"])
+    return lk.insert_missing(meter_months(spark, sf, 0), meter_months(spark, sf, 1), ["site", "month"])
 
 
 @query(MONTHS_SQL + "SELECT * FROM new UNION ALL SELECT * FROM old WHERE (site, month) NOT IN (SELECT (site, month) FROM new)")
 def upsert_replace(spark, sf):
-    return lk.replace_keys(meter_months(spark, sf, "F"), meter_months(spark, sf, "O"), ["site", "month"])
+    return lk.replace_keys(meter_months(spark, sf, 0), meter_months(spark, sf, 1), ["site", "month"])
 
 
 @query(MONTHS_SQL + """
@@ -203,12 +209,12 @@ SELECT coalesce(s.site, t.site) AS site, coalesce(s.month, t.month) AS month,
 FROM new s FULL JOIN old t ON s.site = t.site AND s.month = t.month
 """)
 def copy_forward_status(spark, sf):
-    return lk.copy_status(meter_months(spark, sf, "O"), meter_months(spark, sf, "F"), ["site", "month"], overwrite=False)
+    return lk.copy_status(meter_months(spark, sf, 1), meter_months(spark, sf, 0), ["site", "month"], overwrite=False)
 
 
 @query(MONTHS_SQL + "SELECT * FROM new WHERE (site, month) NOT IN (SELECT (site, month) FROM old)")
 def incremental_groups(spark, sf):
-    return fl.new_groups(meter_months(spark, sf, "O"), meter_months(spark, sf, "F"), ["site", "month"])
+    return fl.new_groups(meter_months(spark, sf, 1), meter_months(spark, sf, 0), ["site", "month"])
 
 
 @query("""
@@ -336,7 +342,7 @@ def hierarchy_flatten(spark, sf):
 
 @query(f"""
 WITH a AS (SELECT p_partkey AS asset, p_type AS site, p_brand AS asset_group, {ATTRIBUTE} AS attribute FROM part),
-w AS (SELECT DISTINCT asset_group, attribute FROM a WHERE asset < 200 OR asset % 10 = 0)
+w AS (SELECT DISTINCT asset_group, attribute FROM a)
 SELECT a.site, a.asset, a.asset_group, w.attribute, e.asset IS NOT NULL AS valid
 FROM a JOIN w USING (asset_group) LEFT JOIN a e ON e.site = a.site AND e.asset = a.asset AND e.attribute = w.attribute
 """)
@@ -345,7 +351,7 @@ def valid_attributes(spark, sf):
         F.col("p_partkey").alias("asset"), F.col("p_type").alias("site"), F.col("p_brand").alias("asset_group"),
         attribute_column().alias("attribute"),
     )
-    wanted = rows.filter("asset < 200 OR asset % 10 = 0").select("asset_group", "attribute").distinct()
+    wanted = rows.select("asset_group", "attribute").distinct()
     return nm.wanted_attributes(rows.drop("attribute"), wanted, rows)
 
 
@@ -358,7 +364,7 @@ def long_to_wide(spark, sf):
     rows = readings(spark, sf).groupBy("asset", floor_time("day", "ts").alias("ts"), F.col("site").alias("attribute")).agg(
         F.round(F.sum("value"), 4).alias("value")
     )
-    return nm.wide(rows, ["ts", "asset"], ["click", "error", "purchase", "signup", "view"])
+    return nm.wide(rows, ["ts", "asset"])
 
 
 @query("""
@@ -476,12 +482,12 @@ def station_pick(spark, sf):
 @query("""
 WITH s AS (
   SELECT l_returnflag AS site, l_linestatus AS device, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) AS soiling, sum(floor(l_extendedprice)) AS insolation
-  FROM lineitem WHERE l_linenumber = 3 GROUP BY 1, 2, 3),
+  FROM lineitem GROUP BY 1, 2, 3),
 k AS (SELECT site, day FROM s GROUP BY 1, 2 HAVING count(*) = 2)
 SELECT site, day, avg(soiling) AS soiling, avg(insolation) AS insolation FROM s JOIN k USING (site, day) GROUP BY 1, 2
 """)
 def soiling_merge(spark, sf):
-    rows = table(spark, sf, "lineitem").filter("l_linenumber = 3").groupBy(
+    rows = table(spark, sf, "lineitem").groupBy(
         F.col("l_returnflag").alias("site"), F.col("l_linestatus").alias("device"), F.to_date("l_shipdate").alias("day")
     ).agg(F.sum("l_quantity").cast("string").alias("soiling"), F.sum(F.floor("l_extendedprice")).cast("string").alias("insolation"))
     return pl.soiling_daily(rows, ["soiling", "insolation"])
@@ -659,17 +665,16 @@ def latest_versions(spark, sf):
 
 
 @query("""
-SELECT c_nationkey AS site FROM customer WHERE c_acctbal > 9000 INTERSECT SELECT s_nationkey FROM supplier
+SELECT c_nationkey AS site FROM customer GROUP BY 1 HAVING count(*) % 2 = 0 INTERSECT SELECT s_nationkey FROM supplier
 """)
 def common_sites(spark, sf):
-    a = table(spark, sf, "customer").filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("site"))
-    return a.intersect(table(spark, sf, "supplier").select(F.col("s_nationkey").alias("site")))
+    return even_nations(spark, sf).intersect(table(spark, sf, "supplier").select(F.col("s_nationkey").alias("site")))
 
 
 @query("""
-SELECT DISTINCT p_brand, p_size FROM part WHERE p_type = 'ECONOMY' EXCEPT SELECT p_brand, p_size FROM part WHERE p_type = 'LARGE'
+SELECT DISTINCT p_brand, p_size FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT p_brand, p_size FROM part WHERE p_partkey % 2 = 1
 """)
 def removed_items(spark, sf):
     part = table(spark, sf, "part")
-    early, late = part.filter("p_type = 'ECONOMY'"), part.filter("p_type = 'LARGE'")
+    early, late = part.filter("p_partkey % 2 = 0"), part.filter("p_partkey % 2 = 1")
     return early.select("p_brand", "p_size").dropDuplicates().join(late, ["p_brand", "p_size"], "left_anti")

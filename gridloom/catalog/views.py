@@ -55,7 +55,7 @@ def attribute_readings(spark: SparkSession, sf: str) -> DataFrame:
     mapping = F.create_map(*[F.lit(x) for kv in ATTRIBUTES.items() for x in kv])
     return readings(spark, sf).select(
         F.lit("plant").alias("site"),
-        mapping[F.col("site")].alias("attribute"),
+        F.coalesce(mapping[F.col("site")], F.col("site")).alias("attribute"),  # other kinds keep their name
         "ts",
         "event_id",
         "value",
@@ -72,6 +72,6 @@ ATTRIBUTES_SQL = """attribute_readings AS (
   SELECT 'plant' AS site,
          CASE event_type WHEN 'click' THEN 'POA_1' WHEN 'view' THEN 'GHI_1'
               WHEN 'signup' THEN 'Wind_1' WHEN 'error' THEN 'Mod_Temp_1'
-              WHEN 'purchase' THEN 'ActivePower_1' END AS attribute,
+              WHEN 'purchase' THEN 'ActivePower_1' ELSE event_type END AS attribute,
          ts, event_id, CASE WHEN isnan(value) THEN NULL ELSE value END AS value
   FROM events)"""

@@ -23,8 +23,10 @@ def exact_quantiles(
     One row per group with the quantiles, ``lowest``, ``highest`` and ``n_values``.  For
     every group and quantile a value range known to hold the wanted ranks is narrowed, by
     approximate quantiles inside the range and exact counts below it, until it has at most
-    ``rows_to_order`` rows.  Only the rows of that range are merged by value and ordered,
-    so a group is never sorted or hashed as a whole, however large it is.
+    ``rows_to_order`` rows or a round doesn't make it smaller, which happens when only few
+    values are left in it.  Each range is settled by itself.  Only the rows of settled ranges
+    are merged by value and ordered, so a group is never sorted or hashed as a whole, however
+    large it is.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
@@ -43,12 +45,12 @@ def exact_quantiles(
         F.col("lowest").alias("_lo"), F.col("highest").alias("_hi"),
         F.lit(0).cast("bigint").alias("_below"), F.col("n_values").alias("_inside"),
     )
-    widest = _widest(ranges)
-    while widest > rows_to_order:
-        ranges = _narrow(rows, ranges, keys)
-        before, widest = widest, _widest(ranges)
-        if widest >= before:
-            break  # only repeated values are left, which merge into few rows
+    wide = (F.col("_inside") > rows_to_order) & (F.col("_lo") < F.col("_hi"))
+    ranges = sized(ranges.withColumn("_open", wide))
+    while not ranges.filter("_open").isEmpty():
+        narrowed = _narrow(rows, ranges.filter("_open"), keys)
+        shrunk = narrowed.withColumn("_open", wide & (F.col("_inside") < F.col("_was"))).drop("_was")
+        ranges = sized(shrunk.unionByName(ranges.filter("NOT _open").select(shrunk.columns)))
     merged = _within(rows, ranges, keys).groupBy(*keys, "_q", "_v").agg(F.count("*").alias("_n"))
     ordered = Window.partitionBy(*keys, "_q").orderBy("_v")
     placed = (
@@ -70,11 +72,6 @@ def exact_quantiles(
     return wide.join(extremes, keys)
 
 
-def _widest(ranges: DataFrame) -> int:
-    """Most rows in a range that still holds different values."""
-    return ranges.agg(F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_inside")))).first()[0] or 0
-
-
 def _within(rows: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
     hits = rows.join(ranges, list(keys))
     return hits.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
@@ -108,6 +105,6 @@ def _narrow(rows: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFram
     return sized(
         proposed.join(counts, ids).select(
             *ids, "_rank", pick(F.col("_new_lo"), "_lo"), pick(F.col("_new_hi"), "_hi"),
-            pick(start, "_below"), pick(F.col("_kept"), "_inside"),
+            pick(start, "_below"), pick(F.col("_kept"), "_inside"), F.col("_inside").alias("_was"),
         )
     )

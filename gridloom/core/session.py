@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,24 +31,51 @@ def build_session(app_name: str = "gridloom", master: str | None = None, **conf)
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting (tests) gets a temporary folder.
+    It has to be shared by all executors, so there is no default.  Programs that run in one
+    process, such as tests, name a folder of their own (``use_folder``).
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="gridloom-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
     return folder.rstrip("/")
 
 
+def use_folder(spark: SparkSession, folder: str) -> None:
+    """Keep intermediate tables in ``folder`` if the session names none."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+# Open scopes, innermost last: paths of the tables stored in each.
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables that are stored inside the ``with`` block at its end.
+
+    Results must have been written or collected by then.  Without a scope stored tables stay
+    until the folder is cleaned.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store ``df`` as a table in the shared folder and return a scan of it.
 
     For results that later steps read several times.  The copy survives lost executors,
-    and each reader scans only the columns it needs.
+    and each reader scans only the columns it needs.  It lives as long as the scope
+    (:func:`scratch`) in which it was made.
     """
     path = f"{shared_folder(df.sparkSession)}/gridloom/{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -114,7 +114,15 @@ def flatten_hierarchy(nested: DataFrame, groups: str = "groups") -> DataFrame:
     return by_group.select("site", "asset_group", F.explode("_assets").alias("asset"))
 
 
-def wide(df: DataFrame, ids: list[str], names: list[str], attribute="attribute", value="value"):
-    """Long rows to one column per attribute, ordered from the innermost id, then time."""
+def wide(df: DataFrame, ids: list[str], names: list[str] | None = None, attribute="attribute", value="value"):
+    """Long rows to one column per attribute, ordered from the innermost id, then time.
+
+    The columns are the attributes that occur.  With ``names`` they are these; an attribute
+    that is not among them is an error, so no value disappears.
+    """
+    if names is not None:
+        known = F.col(attribute).isin(names)
+        wrong = F.raise_error(F.concat(F.lit("attribute without a column: "), F.coalesce(attribute, F.lit("null"))))
+        df = df.withColumn(attribute, F.when(known, F.col(attribute)).otherwise(wrong.cast("string")))
     flat = df.groupBy(*ids).pivot(attribute, names).agg(F.first(value, ignorenulls=True))
     return flat.orderBy(*reversed(ids))

@@ -195,13 +195,12 @@ def loss_by_flag(flags: DataFrame, keys: Sequence[str] = ("site", "inv", "cmb"))
 
 
 def loss_matrix(
-    losses: DataFrame, hierarchy: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("site", "inv"),
-    show: str = "loss",
+    losses: DataFrame, hierarchy: DataFrame, keys: Sequence[str] = ("site", "inv"), show: str = "loss"
 ) -> DataFrame:
     """Inverter rows by combiner columns, the cells holding the ``loss`` (MWh) or the ``category``.
 
-    ``hierarchy`` lists the existing combiners; a column an inverter does not have shows
-    ``-/-``, a combiner without finding is empty.  Of several flags of one combiner the
+    ``hierarchy`` lists the existing combiners, each with a column; one that an inverter does
+    not have shows ``-/-``, a combiner without finding is empty.  Of several flags of one combiner the
     last in flag order shows.
     """
     symbols = F.create_map(*[F.lit(x) for kv in SYMBOLS.items() for x in kv])
@@ -218,10 +217,10 @@ def loss_matrix(
     wide = (
         filled.withColumn("_text", text)
         .groupBy(*keys)
-        .pivot("cmb", list(columns))
+        .pivot("cmb")
         .agg(F.first("_text"))
     )
-    return wide.fillna("-/-", subset=list(columns))
+    return wide.fillna("-/-", subset=[c for c in wide.columns if c not in keys])
 
 
 def actual_and_possible(

@@ -195,11 +195,13 @@ def with_all_sites(kpis: DataFrame, sites: DataFrame, site: str = "site") -> Dat
     return sites.select(site).distinct().join(kpis, site, "left")
 
 
-def history(kpis: DataFrame, keys: Sequence[str], months: Sequence[str], columns: Sequence[str], month="month"):
-    """KPI rows by month columns for the given ``yyyy-MM`` months."""
-    labelled = kpis.withColumn("_m", F.date_format(month, "yyyy-MM")).filter(F.col("_m").isin(*months))
+def history(kpis: DataFrame, keys: Sequence[str], columns: Sequence[str], months: Sequence[str] | None = None, month="month"):
+    """KPI rows by ``yyyy-MM`` month columns: all months that occur, or a wanted range of them."""
+    labelled = kpis.withColumn("_m", F.date_format(month, "yyyy-MM"))
+    if months is not None:
+        labelled = labelled.filter(F.col("_m").isin(*months))
     long = labelled.unpivot([*keys, "_m"], list(columns), "kpi", "value")
-    return long.groupBy(*keys, "kpi").pivot("_m", list(months)).agg(F.first("value"))
+    return long.groupBy(*keys, "kpi").pivot("_m", None if months is None else list(months)).agg(F.first("value"))
 
 
 def performance_availability() -> Column:

@@ -5,11 +5,11 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from gridloom.core.session import build_session
+from gridloom.core.session import build_session, use_folder
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[*]",
@@ -21,6 +21,7 @@ def spark():
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    use_folder(session, str(tmp_path_factory.mktemp("tables")))
     yield session
     session.stop()
 

@@ -181,9 +181,9 @@ def test_weights_and_matrix(spark):
         ("I", "C1", 0.5, 0.25), ("I", "C2", 1.5, 0.75), ("J", "C1", 1.0, 1.0)
     ]
     losses = spark.createDataFrame([("s", "I", "C2", "tracker_east", 1, 0.12345)], "site string, inv string, cmb string, flag string, n_days int, loss_mwh double")
-    shown = rows(cb.loss_matrix(losses, design, ["C1", "C2"]))
+    shown = rows(cb.loss_matrix(losses, design))
     assert shown == [("s", "I", "", "0.1235"), ("s", "J", "", "-/-")]
-    shown = rows(cb.loss_matrix(losses, design, ["C1", "C2"], show="category"))
+    shown = rows(cb.loss_matrix(losses, design, show="category"))
     assert shown == [("s", "I", "", "TRK"), ("s", "J", "", "-/-")]
 
 

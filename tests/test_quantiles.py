@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.core import quantiles as qt
 from gridloom.core.quantiles import exact_quantiles
 from tests.helpers import rows
 
@@ -26,3 +27,21 @@ def test_equals_the_exact_percentile(spark, seed, rows_to_order):
 def test_group_without_values_is_absent(spark):
     df = spark.createDataFrame([("a", None), ("b", 1.0)], "k string, v double")
     assert rows(exact_quantiles(df, ["k"], "v", {"m": 0.5}), "k", "m") == [("b", 1.0)]
+
+
+def test_a_group_of_two_values_does_not_stop_the_others(spark, monkeypatch):
+    rng = random.Random(5)
+    data = [("flag", float(rng.random() < 0.5)) for _ in range(4000)] + [("wide", rng.random()) for _ in range(4000)]
+    df = spark.createDataFrame(data, "k string, v double")
+    within, ordered = qt._within, []
+
+    def counted(rows_, ranges, keys):
+        ordered.append({(r.k, r._q): (r._inside, r._lo, r._hi) for r in ranges.collect()})
+        return within(rows_, ranges, keys)
+
+    monkeypatch.setattr(qt, "_within", counted)
+    got = exact_quantiles(df, ["k"], "v", {"p50": 0.5, "p90": 0.9}, 100)
+    last = ordered[-1]
+    assert all(inside <= 100 for (k, _), (inside, _, _) in last.items() if k == "wide")
+    want = df.groupBy("k").agg(F.expr("percentile(v, 0.5D)").alias("p50"), F.expr("percentile(v, 0.9D)").alias("p90"))
+    assert rows(got, "k", "p50", "p90") == rows(want)

@@ -9,11 +9,12 @@ import argparse
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from gridloom.catalog import all_queries
-from gridloom.core.session import build_session
+from gridloom.core.session import build_session, use_folder
 
 FEATURES = {
     "cross join": r"CartesianProduct|BroadcastNestedLoopJoin",
@@ -38,6 +39,7 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_folder(spark, tempfile.mkdtemp(prefix="gridloom-"))
     for name, fn in all_queries().items():
         if opts.names and name not in opts.names:
             continue

@@ -11,6 +11,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -18,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb
 
 from gridloom.catalog import all_queries, all_sql
-from gridloom.core.session import build_session
+from gridloom.core.session import build_session, use_folder
 
 
 def plain(v):
@@ -61,6 +62,7 @@ def main() -> int:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_folder(spark, tempfile.mkdtemp(prefix="gridloom-"))
     con = duckdb.connect()
     for f in glob.glob(f"{opts.sf}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
