@@ -13,7 +13,8 @@ from gridloom.catalog.reports import (
     site_hours,
 )
 from gridloom.catalog.values import rounded
-from gridloom.catalog.views import table
+from gridloom.catalog.views import READINGS_SQL, readings, table
+from gridloom.core.ordered import series
 from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import floor_time
 from gridloom.plans import kpi as kp
@@ -251,6 +252,57 @@ def report_interval_table(spark, sf):
     return rounded(rp.hourly_inverters(minutes, model, site_hours(spark, sf)), 9, "kw", "model_kw")
 
 
+@query(PRODUCTION_SQL + """,
+m AS (
+  SELECT site, ts, avg(q * 30) AS poa, avg(CASE WHEN d < 0.02 THEN 1.0 ELSE 0.0 END) AS bad, avg(d * 500) AS mt, avg(t / 10) AS mods
+  FROM production GROUP BY 1, 2),
+so AS (SELECT site, date_trunc('day', ts)::TIMESTAMP AS ts, avg(d) * 10 AS soiling FROM production GROUP BY 1, 2),
+j AS (SELECT m.*, so.soiling FROM m ASOF LEFT JOIN so ON m.site = so.site AND m.ts >= so.ts)
+SELECT j.site, j.ts, round(poa, 7) AS poa, round(bad, 7) AS poa_all_bad, round(mt, 7) AS module_temperature, round(mods, 9) AS modules_offline_pct,
+  CASE WHEN j.ts <= (SELECT max(ts) FROM so WHERE so.site = j.site) THEN round(soiling / 100, 9) END AS soiling_share,
+  inv, round(kw, 7) AS kw, round(model_kw, 7) AS model_kw, avail AS avail_min
+FROM j LEFT JOIN ih ON ih.site = j.site AND ih.ts = j.ts
+""")
+def report_intervals_full(spark, sf):
+    rows = production(spark, sf)
+    met = rows.select(
+        "site", "ts", (F.col("l_quantity") * 30).alias("poa"), F.when(F.col("l_discount") < 0.02, 1.0).otherwise(0.0).alias("poa_all_bad"),
+        (F.col("l_discount") * 500).alias("module_temperature"),
+    )
+    modules = rows.select("site", "ts", (F.col("l_tax") / 10).alias("modules_offline_pct"))
+    soiling = rows.groupBy("site", floor_time("day", "ts").alias("ts")).agg((F.avg("l_discount") * 10).alias("soiling"))
+    out = rp.interval_table(met, modules, cut_lineage(soiling), inverter_hours(spark, sf), series(["site"], ["ts"], "month"))
+    out = rounded(out, 7, "poa", "poa_all_bad", "module_temperature", "kw", "model_kw")
+    return rounded(out, 9, "modules_offline_pct", "soiling_share")
+
+
+def _resolution_sql(name: str, seconds: int | None) -> str:
+    at = "ts" if seconds is None else f"time_bucket(INTERVAL '{seconds} seconds', ts)"
+    return f"""
+SELECT '{name}' AS resolution, i.site, i.ts, round(inv, 9) AS inv_total_mw, round(mw, 9) AS meter_mw, round(model, 9) AS possible_mw FROM (
+  SELECT site, ts, coalesce(sum(kw), 0) / 1e3 AS inv, coalesce(sum(k), 0) / 1e3 AS model FROM (
+    SELECT site, asset, {at} AS ts, {"value" if seconds is None else "avg(value)"} AS kw, {"k" if seconds is None else "avg(k)"} AS k
+    FROM readings {"" if seconds is None else "GROUP BY 1, 2, 3"}) GROUP BY 1, 2) i
+LEFT JOIN (SELECT site, {at} AS ts, avg(mw) AS mw FROM mt GROUP BY 1, 2) m ON m.site = i.site AND m.ts = i.ts"""
+
+
+RESOLUTIONS = {"native": None, "quarter": 900, "hour": 3600, "day": 86400}
+
+
+@query(f"WITH {READINGS_SQL}, mt AS (SELECT site, ts, avg(k) / 10 AS mw FROM readings GROUP BY 1, 2)" + " UNION ALL ".join(
+    _resolution_sql(n, s) for n, s in RESOLUTIONS.items()))
+def summary_power(spark, sf):
+    rows = readings(spark, sf).withColumn("inv", F.col("asset"))
+    inverters = rows.select("site", "inv", "ts", F.col("value").alias("kw"))
+    model = rows.select("site", "inv", "ts", F.col("k").alias("kw"))
+    meter = rows.groupBy("site", "ts").agg((F.avg("k") / 10).alias("mw"))
+    out = None
+    for name, seconds in RESOLUTIONS.items():
+        part = kp.site_power_at(inverters, model, meter, seconds).withColumn("resolution", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return rounded(out, 9, "inv_total_mw", "meter_mw", "possible_mw")
+
+
 @query("""
 SELECT l_returnflag || l_linestatus AS site, date_trunc('month', l_shipdate)::TIMESTAMP AS month,
        round(sum(l_quantity / 100 + CASE WHEN l_tax > 0.02 THEN l_quantity / 50 ELSE 0 END), 6) AS mwh

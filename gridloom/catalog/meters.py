@@ -443,3 +443,22 @@ def meter_router(spark, sf):
     return hours.groupBy("site", month, "error").agg(
         F.count("*").alias("n_hours"), F.sum("mwh").alias("mwh"), F.count_if(F.col("mwh") == 0).alias("n_zero")
     )
+
+
+@query("""
+WITH h AS (
+  SELECT l_returnflag || l_linestatus AS site, CAST(l_shipdate AS DATE) + ((l_orderkey % 24) * INTERVAL 1 HOUR) AS ts_local,
+         CASE WHEN l_returnflag = 'R' OR l_linenumber = 2 THEN NULL ELSE l_quantity END AS mwh FROM lineitem)
+SELECT site, date_trunc('month', ts_local)::TIMESTAMP AS month, count(*) AS n_rows, count(mwh) AS n_values, sum(mwh) AS mwh
+FROM h WHERE site IN (SELECT site FROM h WHERE mwh IS NOT NULL) GROUP BY 1, 2
+""")
+def meter_history_scan(spark, sf):
+    """Stored text values; one site has none, and some cells are no numbers."""
+    bad = F.when(F.col("l_returnflag") == "R", F.lit(None)).when(F.col("l_linenumber") == 2, "n/a")
+    text = F.when((F.col("l_returnflag") == "R") | (F.col("l_linenumber") == 2), bad).otherwise(F.col("l_quantity").cast("string"))
+    rows = lines(spark, sf).select(
+        F.concat("l_returnflag", "l_linestatus").alias("site"), F.to_date("l_shipdate").alias("day"), "hour", text.alias("text")
+    )
+    return mt.meter_history(rows).groupBy("site", F.date_trunc("month", "ts_local").cast("timestamp_ntz").alias("month")).agg(
+        F.count("*").alias("n_rows"), F.count("mwh").alias("n_values"), F.sum("mwh").alias("mwh")
+    )

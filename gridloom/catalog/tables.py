@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.catalog.registry import query
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import READINGS_SQL, readings, table
-from gridloom.core.ordered import ordinal, series
+from gridloom.core.ordered import global_position, series
 from gridloom.functions.scalars import (
     add_time,
     convert_unit,
@@ -244,8 +244,7 @@ FROM (SELECT DISTINCT p_type || '_' || p_size::VARCHAR AS code FROM part)
 def natural_order(spark, sf):
     names = table(spark, sf, "part").select(F.concat("p_type", F.lit("_"), F.col("p_size").cast("string")).alias("code"))
     rows = names.distinct().withColumn("letters", letters_part("code")).withColumn("digits", digits_part("code"))
-    rows = rows.withColumn("all", F.lit(1))
-    return ordinal(rows, series(["all"], ["letters", "digits", "code"], "letters"), "position").select("code", "position")
+    return global_position(rows, ["letters", "digits", "code"], "position").select("code", "position")
 
 
 @query("""
@@ -300,6 +299,16 @@ def sensor_type_classify(spark, sf):
     return out.drop("needs_sun")
 
 
+@query(f"""
+SELECT p_partkey, a AS attribute, regexp_matches(lower(a), 'poa|plane|irr') AND NOT regexp_matches(lower(a), 'ghi|global|hor') AS in_poa,
+  regexp_matches(lower(a), 'ghi|global|hor') AS in_ghi, regexp_matches(lower(a), 'amb|air_temp|temp_air|temp_c_skid') AS in_ambtemp,
+  regexp_matches(lower(a), 'mod|mdl|mts|mst|pnltemp|pnltmp|bom') AS in_modtemp, regexp_matches(lower(a), 'wind|wnd|speed|ws_ms') AS in_wind
+FROM (SELECT p_partkey, {ATTRIBUTE} AS a FROM part)
+""")
+def sensor_groups(spark, sf):
+    return nm.with_met_groups(table(spark, sf, "part").select("p_partkey", attribute_column().alias("attribute")))
+
+
 def paths(spark, sf):
     """Attribute paths of supplier assets: nation as site, two groups in even nations."""
     rows = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -533,6 +542,19 @@ def param_text_rows(spark, sf):
     return pm.parameter_rows(rows)
 
 
+@query("""
+SELECT DISTINCT p_brand AS inverter, '<info type="' || p_type || '"><rev>' || (p_size % 3)::VARCHAR || '</rev>' AS metadata FROM part
+""")
+def param_metadata_rows(spark, sf):
+    part = table(spark, sf, "part")
+    file = F.concat(F.lit("/plant/"), "p_brand", F.lit("/"), F.col("p_partkey").cast("string"), F.lit(".re2"))
+    text = F.concat(
+        F.lit('<info type="'), "p_type", F.lit('">\n\n  <rev>'), (F.col("p_size") % 3).cast("string"),
+        F.lit('</rev>\n<paramList>\n<x>\n<param uid="17" value="4"/>\n'),
+    )
+    return pm.parameter_metadata(part.select(file.alias("file"), text.alias("text")))
+
+
 @query("""
 SELECT 'f' || s_nationkey::VARCHAR AS file, s_name AS "Resource", round(s_acctbal, 2) AS "Value" FROM supplier
 """)

@@ -12,6 +12,8 @@ from gridloom.operators import events as ev
 from gridloom.operators import lookups as lk
 from gridloom.operators import quality as qc
 from gridloom.operators import summaries as sm
+from gridloom.operators import timeaxis as ta
+from gridloom.sources import intervals as iv
 
 
 def rounded(df, digits, *columns):
@@ -467,3 +469,41 @@ def event_category_summary(spark, sf):
         F.floor("o_totalprice").alias("duration_s"),
     )
     return ev.category_summary(rows)
+
+
+@query(f"""
+WITH {READINGS_SQL},
+f AS (SELECT site, (asset % 3)::VARCHAR AS part, asset, event_id, ts, value, 'file' || (asset % 3)::VARCHAR AS file, 'A' || (asset % 7)::VARCHAR AS attribute FROM readings),
+c AS (SELECT site, attribute FROM f GROUP BY 1, 2 HAVING count(DISTINCT file) = (SELECT count(DISTINCT file) FROM f g WHERE g.site = f.site)),
+r AS (SELECT f.*, row_number() OVER (PARTITION BY f.site, f.attribute, ts ORDER BY file, event_id) AS rn FROM f JOIN c ON c.site = f.site AND c.attribute = f.attribute)
+SELECT site, attribute, ts, value FROM r WHERE rn = 1
+""")
+def load_periods_common(spark, sf):
+    """Files of three periods; only attributes that all files of a site have stay."""
+    rows = readings(spark, sf).select(
+        "site", F.concat(F.lit("A"), (F.col("asset") % 7).cast("string")).alias("attribute"), "ts", "value", "event_id",
+        F.concat(F.lit("file"), (F.col("asset") % 3).cast("string")).alias("file"),
+    )
+    first = ta.dedupe_first(rows, ["site", "attribute", "ts", "file"], ["event_id"]).drop("event_id")
+    return iv.load_periods(first, rows.select("file").distinct(), ["site", "attribute", "ts"]).select("site", "attribute", "ts", "value")
+
+
+@query(f"""
+WITH {READINGS_SQL}
+SELECT 'f_' || site AS file, 'V' AS attribute, ts, value FROM (SELECT site, date_trunc('second', ts) AS ts, max(value) AS value FROM readings GROUP BY 1, 2)
+UNION ALL SELECT 'f_' || site, 'K', ts, k FROM (SELECT site, date_trunc('second', ts) AS ts, max(k) AS k FROM readings GROUP BY 1, 2)
+""")
+def wide_csv_rows(spark, sf):
+    """Interval files with a header and a footer line, parsed from their lines."""
+    rows = readings(spark, sf).groupBy("site", F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts")).agg(
+        F.max("value").alias("value"), F.max("k").alias("k")
+    )
+    line = F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.coalesce(F.col("value").cast("string"), F.lit("")), F.coalesce(F.col("k").cast("string"), F.lit("")))
+    body = rows.select(F.concat(F.lit("f_"), "site").alias("file"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("line_no"), line.alias("line"))
+    files = body.select("file").distinct()
+    extra = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("line_no"), F.lit("Timestamp,V,K").alias("line")),
+        F.struct(F.lit(99999999999).cast("bigint").alias("line_no"), F.lit("Total,11,12").alias("line")),
+    )
+    lines = body.unionByName(files.select("file", F.inline(extra)))
+    return iv.wide_rows(lines)

@@ -11,12 +11,15 @@ ordinal instead of time, so their blocks have the same size however dense the se
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from gridloom.core.session import cut_lineage, sized
+
 CHUNK = "_chunk"
+CHUNK_ORDER = "_chunk_order"
 BLOCK = "_block"
 ORDINAL = "_ordinal"
 
@@ -27,22 +30,30 @@ class Series:
 
     ``chunk`` is a ``date_trunc`` unit applied to the first order column, or an integer
     width for a numeric first order column, or the name of an existing column that
-    rises with the order.
+    rises with the order.  ``units`` lists the series (keys, _unit) that need a finer unit.
+    With ``deep`` a series has so many chunks that its edges are chunked again.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     chunk: str | int = "day"
+    units: DataFrame | None = field(default=None, compare=False)
+    deep: bool = False
 
     _UNITS = ("year", "quarter", "month", "week", "day", "hour", "minute", "second", "millisecond")
 
-    def chunk_column(self) -> Column:
+    def chunked(self, df: DataFrame) -> DataFrame:
+        """``df`` with the chunk of each row."""
         first = F.col(self.order[0])
         if isinstance(self.chunk, int):
-            return F.floor(first / F.lit(self.chunk))
-        if self.chunk in self._UNITS:
-            return F.date_trunc(self.chunk, first)
-        return F.col(self.chunk)
+            return df.withColumn(CHUNK, F.floor(first / F.lit(self.chunk)))
+        if self.chunk not in self._UNITS:
+            return df.withColumn(CHUNK, F.col(self.chunk))
+        usual = F.date_trunc(self.chunk, first)
+        if self.units is None:
+            return df.withColumn(CHUNK, usual)
+        finer = F.coalesce(*[F.when(F.col("_unit") == u, F.date_trunc(u, first)) for u in FIT_UNITS], usual)
+        return df.join(self.units, list(self.keys), "left").withColumn(CHUNK, finer).drop("_unit")
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
@@ -50,26 +61,52 @@ class Series:
     def chunk_window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
+    def of_chunks(self) -> Series:
+        """The chunks of this series as a series, in chunks of their own."""
+        timed = self.chunk in self._UNITS
+        return Series(self.keys, (CHUNK_ORDER,), "month" if timed else EDGE_BLOCK)
+
 
 # Chunk units from coarse to fine, for :func:`fit_series`.
 FIT_UNITS = ("day", "hour", "minute", "second", "millisecond")
+#: Edges in a chunk of edges, and chunks of a series beyond which edges are chunked.
+EDGE_BLOCK, MANY_CHUNKS = 4096, 1_000_000
 
 
 def fit_series(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_chunk: int = 2_000_000
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_chunk: int = 2_000_000, many_chunks: int = MANY_CHUNKS
 ) -> Series:
     """Series whose chunks are checked to stay below ``rows_per_chunk`` rows.
 
-    Counts the rows per series and chunk (aggregated map-side) and takes the coarsest unit
-    that fits, so dense or hot series are cut finer.  Rows of one and the same time stamp
-    cannot be cut further.
+    One scan counts the rows of each series and day, summed within tasks first.  Only series
+    with a day that is too full are counted again, by millisecond, and each of them gets the
+    coarsest unit that fits, so one dense series does not cut all the others finer.  Rows of
+    one and the same millisecond cannot be cut; too many of them are an error.
     """
-    for unit in FIT_UNITS:
-        per_chunk = df.groupBy(*keys, F.date_trunc(unit, order[0]).alias(CHUNK)).agg(F.count("*").alias("n"))
-        largest = per_chunk.agg(F.max("n")).first()[0] or 0
-        if largest <= rows_per_chunk:
-            break
-    return Series(tuple(keys), tuple(order), unit)
+    keys = list(keys)
+    unit = F.date_trunc("day", order[0]).alias(CHUNK)
+    days = cut_lineage(df.groupBy(*keys, unit).agg(F.count("*").alias("n")))
+    per_series = days.groupBy(*keys).agg(F.max("n").alias("largest"), F.sum("n").alias("rows"), F.count("*").alias("chunks"))
+    most = per_series.agg(F.max("largest"), F.max("rows"), F.max("chunks")).first()
+    deep = max((most[1] or 0) // 8192, most[2] or 0) > many_chunks
+    if (most[0] or 0) <= rows_per_chunk:
+        return Series(tuple(keys), tuple(order), "day", None, deep)
+    full = sized(per_series.filter(F.col("largest") > rows_per_chunk).select(*keys))
+    fine = df.join(full, keys, "left_semi").groupBy(*keys, F.date_trunc("millisecond", order[0]).alias("_at"))
+    fine = cut_lineage(fine.agg(F.count("*").alias("n")))
+    found = None
+    for name in FIT_UNITS[1:]:
+        chunks = fine.groupBy(*keys, F.date_trunc(name, "_at")).agg(F.sum("n").alias("n"))
+        level = chunks.groupBy(*keys).agg(F.max("n").alias("largest"), F.count("*").alias("chunks")).withColumn("_unit", F.lit(name))
+        found = level if found is None else found.unionByName(level)
+    finest = F.array_position(F.array(*[F.lit(u) for u in FIT_UNITS]), F.col("_unit"))
+    chosen = found.filter(F.col("largest") <= rows_per_chunk).groupBy(*keys)
+    units = sized(chosen.agg(F.min_by("_unit", finest).alias("_unit"), F.min_by("chunks", finest).alias("chunks")))
+    stuck = full.join(units, keys, "left_anti").first()
+    if stuck is not None:
+        raise ValueError(f"more than {rows_per_chunk} rows of {stuck.asDict()} share one time stamp")
+    deep = deep or (units.agg(F.max("chunks")).first()[0] or 0) > many_chunks
+    return Series(tuple(keys), tuple(order), "day", units.drop("chunks"), deep)
 
 
 def series(keys: Sequence[str], order: Sequence[str], chunk: str | int = "day") -> Series:
@@ -92,46 +129,61 @@ def scan(
     wanted, ``total`` maps a new name to the expression summed up to and including the
     row.  One shuffle on ``(series, chunk)`` serves all of them.
     """
-    lead, lag, fill, total = (dict(m or {}) for m in (lead, lag, fill, total))
-    df = df.withColumn(CHUNK, by.chunk_column())
+    given = (dict(m or {}) for m in (lead, lag, fill, total))
+    return _scan(df, by, *given)
+
+
+def _scan(df: DataFrame, by: Series, lead: dict, lag: dict, fill: dict, total: dict, up_to: int = 0) -> DataFrame:
+    """:func:`scan`; fills and totals reach up to the row (0) or to the one before it (-1)."""
+    df = by.chunked(df)
     for name, expr in total.items():
         df = df.withColumn(f"_t_{name}", F.coalesce(expr, F.lit(0)))
 
     w = by.window()
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = w.rowsBetween(Window.unboundedPreceding, up_to)
     position = F.struct(*by.order)
-    before_chunk = by.chunk_window().rowsBetween(Window.unboundedPreceding, -1)
 
     inner: dict[str, Column] = {}
     edge_aggs: list[Column] = []
-    edge_out: list[Column] = []
+    edge_lead, edge_lag, edge_fill, edge_total = {}, {}, {}, {}
     if lead:
         row = F.struct(*[F.col(c).alias(n) for n, c in lead.items()])
         inner["_lead"] = F.lead(row).over(w)
         edge_aggs.append(F.min_by(row, position).alias("_first"))
-        edge_out.append(F.lead("_first").over(by.chunk_window()).alias("_after"))
+        edge_lead["_after"] = "_first"
     if lag:
         row = F.struct(*[F.col(c).alias(n) for n, c in lag.items()])
         inner["_lag"] = F.lag(row).over(w)
         edge_aggs.append(F.max_by(row, position).alias("_last"))
-        edge_out.append(F.lag("_last").over(by.chunk_window()).alias("_before"))
+        edge_lag["_before"] = "_last"
     for name, source in fill.items():
         value = F.col(source)
         inner[f"_f_{name}"] = F.last(value, ignorenulls=True).over(running)
         edge_aggs.append(
             F.max_by(value, F.when(value.isNotNull(), position)).alias(f"_e_{name}")
         )
-        edge_out.append(
-            F.last(f"_e_{name}", ignorenulls=True).over(before_chunk).alias(f"_c_{name}")
-        )
+        edge_fill[f"_c_{name}"] = f"_e_{name}"
     for name in total:
         inner[f"_r_{name}"] = F.sum(f"_t_{name}").over(running)
         edge_aggs.append(F.sum(f"_t_{name}").alias(f"_s_{name}"))
-        edge_out.append(F.sum(f"_s_{name}").over(before_chunk).alias(f"_p_{name}"))
+        edge_total[f"_p_{name}"] = F.col(f"_s_{name}")
 
     join_keys = [*by.keys, CHUNK]
-    edges = df.groupBy(*join_keys).agg(*edge_aggs).select(*join_keys, *edge_out)
-    out = df.withColumns(inner).join(edges, join_keys, "left")
+    edges = df.groupBy(*join_keys).agg(*edge_aggs)
+    carried = [*edge_lead, *edge_lag, *edge_fill, *edge_total]
+    if by.deep:
+        # the edges are a series themselves
+        ordered = edges.withColumnRenamed(CHUNK, CHUNK_ORDER)
+        edges = _scan(ordered, by.of_chunks(), edge_lead, edge_lag, edge_fill, edge_total, -1).withColumnRenamed(CHUNK_ORDER, CHUNK)
+    else:
+        before = by.chunk_window().rowsBetween(Window.unboundedPreceding, -1)
+        edges = edges.withColumns(
+            {n: F.lead(c).over(by.chunk_window()) for n, c in edge_lead.items()}
+            | {n: F.lag(c).over(by.chunk_window()) for n, c in edge_lag.items()}
+            | {n: F.last(c, ignorenulls=True).over(before) for n, c in edge_fill.items()}
+            | {n: F.sum(c).over(before) for n, c in edge_total.items()}
+        )
+    out = df.withColumns(inner).join(edges.select(*join_keys, *carried), join_keys, "left")
 
     result: dict[str, Column] = {}
     if lead:
@@ -143,11 +195,27 @@ def scan(
     for name in fill:
         result[name] = F.coalesce(f"_f_{name}", f"_c_{name}")
     for name in total:
-        result[name] = F.col(f"_r_{name}") + F.coalesce(f"_p_{name}", F.lit(0))
+        result[name] = F.coalesce(f"_r_{name}", F.lit(0)) + F.coalesce(f"_p_{name}", F.lit(0))
     keep = [c for c in df.columns if c != CHUNK and not c.startswith("_t_")]
     return out.select(*[c for c in keep if c not in result], *[v.alias(k) for k, v in result.items()])
 
 
+def global_position(df: DataFrame, order: Sequence[str], name: str = ORDINAL) -> DataFrame:
+    """1-based position of each row in the order of the whole table.
+
+    Rows are dealt out by ranges of the order, so no task holds more than its share however
+    the values cluster; only one count per range is summed up.  Rows equal in ``order`` get
+    some order of their own.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    stored = cut_lineage(placed.withColumn("_range", F.shiftright("_id", 33)))
+    counts = stored.groupBy("_range").agg(F.count("*").alias("_n"), F.lit(1).alias("_all"))
+    before = Window.partitionBy("_all").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sized(counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    within = F.col("_id") - F.shiftleft("_range", 33) + 1
+    return stored.join(offsets, "_range").withColumn(name, F.col("_offset") + within).drop("_id", "_range", "_offset")
+
+
 def ordinal(df: DataFrame, by: Series, name: str = ORDINAL) -> DataFrame:
     """1-based position of each row in its series."""
     return scan(df, by, total={name: F.lit(1).cast("bigint")})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def asof_value(
     a = left.withColumn("_side", F.lit(1)).withColumn(name, F.lit(None).cast("double"))
     b = right.select(*keys, ts, tie, F.col(value).cast("double").alias(name)).withColumn("_side", F.lit(0))
     lined = a.unionByName(b, allowMissingColumns=True)
-    track = Series(by.keys, (ts, "_side", tie), by.chunk)
+    track = replace(by, order=(ts, "_side", tie))
     return scan(lined, track, fill={name: name}).filter("_side = 1").drop("_side")
 
 

@@ -40,8 +40,30 @@ def met_type(name: Column) -> Column:
     return out
 
 
-def with_qc_type(df: DataFrame, attribute: str = "attribute") -> DataFrame:
-    """Class flags of automatic quality control; an attribute may belong to several."""
+def with_met_groups(df: DataFrame, attribute: str = "attribute") -> DataFrame:
+    """Flags of the weather sensor groups; an attribute may belong to several.
+
+    Each group is tested by itself with the fragments of :data:`MET_FRAGMENTS`; only plane of
+    array excludes names of horizontal sensors.
+    """
+    name = F.col(attribute)
+    ghi = has_any(name, MET_FRAGMENTS["ghi"])
+    flags = {
+        "in_poa": has_any(name, MET_FRAGMENTS["poa"]) & ~ghi,
+        "in_ghi": ghi,
+        "in_ambtemp": has_any(name, MET_FRAGMENTS["amb_temp"]),
+        "in_modtemp": has_any(name, MET_FRAGMENTS["mod_temp"]),
+        "in_wind": has_any(name, MET_FRAGMENTS["wind"]),
+    }
+    return df.withColumns(flags)
+
+
+def with_qc_type(df: DataFrame, attribute: str = "attribute", inverter: str = POWER_FRAGMENTS["INV"]) -> DataFrame:
+    """Class flags of automatic quality control; an attribute may belong to several.
+
+    ``inverter`` is the fragment that marks inverter power.  Where only attributes of one name
+    space are inverters, give it with its prefix.
+    """
     name = F.col(attribute)
     ghi = has_any(name, QC_FRAGMENTS["GHI"])
     flags = {
@@ -49,7 +71,7 @@ def with_qc_type(df: DataFrame, attribute: str = "attribute") -> DataFrame:
         "is_poa": has_any(name, QC_FRAGMENTS["POA"]) & ~ghi,
         "is_temp": has_any(name, QC_FRAGMENTS["TEMP"]),
         "is_wind": has_any(name, QC_FRAGMENTS["WIND"]),
-        "is_inv": name.contains(POWER_FRAGMENTS["INV"]),
+        "is_inv": F.contains(name, F.lit(inverter)),
         "is_meter": name.contains(POWER_FRAGMENTS["METER"]),
     }
     df = df.withColumns(flags)

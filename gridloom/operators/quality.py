@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.core.ordered import BLOCK, Series, rolling, runs, scan
+from gridloom.core.ordered import BLOCK, EDGE_BLOCK, Series, rolling, runs, scan
 from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import clip, round_half_even, seconds_between
 from gridloom.operators.naming import with_qc_type
@@ -142,11 +142,10 @@ def mark_flat(
 
     rows = materialize(rolling(with_qc_type(df), by, 7, 9, build, block_rows))
     keys = list(by.keys)
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*keys, BLOCK).agg(F.sum("_break").alias("_sum"))
-    carried = sized(
-        totals.select(*keys, BLOCK, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carry"))
-    )
+    # one row per block is a series of its own: its running total is chunked too
+    upto = scan(totals, Series(tuple(keys), (BLOCK,), EDGE_BLOCK), total={"_upto": F.col("_sum")})
+    carried = sized(upto.select(*keys, BLOCK, (F.col("_upto") - F.col("_sum")).alias("_carry")))
     return (
         rows.join(carried, [*keys, BLOCK], "left")
         .withColumn("island", F.col("_passed") + F.col("_carry"))

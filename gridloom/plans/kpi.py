@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.scalars import sum0
+from gridloom.operators.timeaxis import resample
 
 # Report metric to KPI column.
 METRIC_COLUMNS = {
@@ -218,6 +219,22 @@ def performance_availability() -> Column:
     return 1 + F.try_divide(credited + curtailed - weather, v("budget_production"))
 
 
+def site_power_at(
+    inverters: DataFrame, model: DataFrame, meter: DataFrame, seconds: int | None = None
+) -> DataFrame:
+    """:func:`site_power` at the native interval or as means of ``seconds`` (900, 3600, 86400).
+
+    Means are taken of each series first, so series of different intervals fit together.
+    """
+    if seconds is None:
+        return site_power(inverters, model, meter)
+
+    def mean(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+        return resample(df, keys, seconds, [F.avg(value).alias(value)]).withColumnRenamed("bucket", "ts")
+
+    return site_power(mean(inverters, ["site", "inv"], "kw"), mean(model, ["site", "inv"], "kw"), mean(meter, ["site"], "mw"))
+
+
 def site_power(
     inverters: DataFrame, model: DataFrame, meter: DataFrame, on: Sequence[str] = ("site", "ts")
 ) -> DataFrame:

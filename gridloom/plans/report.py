@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.core.ordered import Series
 from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import floor_time, sum0
 from gridloom.operators.summaries import insolation, with_group
+from gridloom.operators.timeaxis import upsample_ffill
 from gridloom.plans.curtailment import curtailed_power
 
 # Meter deviation limit, irradiance threshold, line-loss shares.
@@ -50,6 +52,32 @@ def hourly_inverters(
     )
 
 
+def interval_table(
+    met: DataFrame, modules: DataFrame, soiling: DataFrame, inverters: DataFrame, soiling_by: Series
+) -> DataFrame:
+    """The report's hourly interval table: site columns beside those of each inverter.
+
+    ``met``: site, ts, poa, poa_all_bad, module_temperature and optionally poa_reference, which
+    stands in where a site has no sensor at all; missing columns are zero.  ``modules``: site,
+    ts, modules_offline_pct.  Both are averaged by hour.  ``soiling``: site, ts, soiling (in
+    percent), each value holds until the next one; it becomes a share.  ``inverters``: site,
+    inv, ts, kw, model_kw, avail_min by hour.  Sites without modules or soiling have nulls; the
+    hours are those of ``met``.
+    """
+    columns = ("poa", "poa_reference", "poa_all_bad", "module_temperature")
+    given = met.withColumns({c: F.lit(None if c.startswith("poa_r") else 0.0).cast("double") for c in columns if c not in met.columns})
+    hour = floor_time("hour", "ts").alias("ts")
+    hours = given.groupBy("site", hour).agg(*[F.avg(c).alias(c) for c in columns])
+    sensors = sized(hours.groupBy("site").agg((F.count("poa") > 0).alias("_sensor")))
+    hours = hours.join(sensors, "site").withColumn("poa", F.when(F.col("_sensor"), F.col("poa")).otherwise(F.col("poa_reference")))
+    offline = modules.groupBy("site", hour).agg(F.avg("modules_offline_pct").alias("modules_offline_pct"))
+    filled = upsample_ffill(soiling, soiling_by, ["soiling"], 3600).select(
+        "site", F.col("label").alias("ts"), (F.col("soiling") / 100).alias("soiling_share")
+    )
+    site = hours.drop("_sensor", "poa_reference").join(offline, ["site", "ts"], "left").join(filled, ["site", "ts"], "left")
+    return site.join(inverters, ["site", "ts"], "left")
+
+
 def report_rows(site_hours: DataFrame, inverter_hours: DataFrame, meta: DataFrame) -> DataFrame:
     """Site-level row formulas of the report.
 

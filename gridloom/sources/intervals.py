@@ -38,12 +38,18 @@ def read_wide_csv(spark: SparkSession, path: str | list[str], tz: Column | None
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("no")).alias("_line"),
-        F.split("value", r',(?=(?:[^"]*"[^"]*")*[^"]*$)').alias("_f"),
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("no")).alias("line_no"),
+        F.col("value").alias("line"),
     )
+    return wide_rows(lines, tz)
+
+
+def wide_rows(lines: DataFrame, tz: Column | None = None) -> DataFrame:
+    """Rows of :func:`read_wide_csv` from lines (file, line_no, line)."""
+    lines = lines.select("file", "line_no", F.split("line", r',(?=(?:[^"]*"[^"]*")*[^"]*$)').alias("_f"))
     stamped = lines.withColumn("ts", parse_local_time(F.trim(F.col("_f")[0]), tz))
     cells = F.posexplode(F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0)))).alias("_pos", "_cell")
-    heads = stamped.filter(F.col("ts").isNull() & (F.size("_f") > 1)).groupBy("file").agg(F.min_by("_f", "_line").alias("_f"))
+    heads = stamped.filter(F.col("ts").isNull() & (F.size("_f") > 1)).groupBy("file").agg(F.min_by("_f", "line_no").alias("_f"))
     names = heads.select("file", cells).select("file", "_pos", F.trim(F.regexp_replace("_cell", '"', "")).alias("attribute"))
     values = stamped.filter(F.col("ts").isNotNull()).select("file", "ts", cells)
     return values.join(names, ["file", "_pos"]).select(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.core.ordered import Series, ordinal
-from gridloom.core.session import cut_lineage
+from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import (
     add_time,
     floor_time,
@@ -451,6 +451,23 @@ def settlement(rows: DataFrame, resources: DataFrame) -> DataFrame:
     )
 
 
+def meter_history(rows: DataFrame, year: int | None = None, month: int | None = None, keys: Sequence[str] = ("site",)) -> DataFrame:
+    """Stored hours (keys, day, hour, text) of a year or month as (keys, ts_local, mwh).
+
+    Values that are no numbers become missing; series without any value in the period are
+    dropped.  Bounds on the day reach the scan.
+    """
+    if year is not None:
+        first, last = (f"{year:04d}-{month:02d}-01", None) if month else (f"{year:04d}-01-01", f"{year + 1:04d}-01-01")
+        end = F.lit(last).cast("date") if last else F.add_months(F.lit(first).cast("date"), 1)
+        rows = rows.filter((F.col("day") >= F.lit(first).cast("date")) & (F.col("day") < end))
+    elif month is not None:
+        rows = rows.filter(F.month("day") == month)
+    hours = rows.select(*keys, hour_ending_to_ts("day", "hour").alias("ts_local"), to_number("text").alias("mwh"))
+    filled = sized(hours.filter(F.col("mwh").isNotNull()).select(*keys).distinct())
+    return hours.join(filled, list(keys), "left_semi")
+
+
 def meter_table(rows: DataFrame, keys: Sequence[str] = ("site",)) -> DataFrame:
     """Output contract: day, hour ending, MWh with missing energy as zero."""
     return rows.select(

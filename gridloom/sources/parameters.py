@@ -37,6 +37,27 @@ def parameter_rows(lines: DataFrame) -> DataFrame:
     )
 
 
+def parameter_metadata(files: DataFrame) -> DataFrame:
+    """(inverter, metadata) of whole ``.re2`` files (file, text), each pair once.
+
+    The metadata are the lines before the parameter list, trimmed and put together.
+    """
+    head = F.split("text", r"(?m)^[ \t]*<paramList>[ \t]*\r?$")
+    lines = F.filter(F.transform(F.split(head[0], r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
+    rows = files.filter(F.size(head) > 1).select(
+        F.element_at(F.split("file", "/"), -2).alias("inverter"), F.array_join(lines, "").alias("metadata")
+    )
+    return rows.distinct()
+
+
+def read_parameter_metadata(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Metadata of every ``.re2`` file under ``path``; the files are small and read whole."""
+    files = spark.read.text(path, wholetext=True).select(
+        F.url_decode(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("text")
+    )
+    return parameter_metadata(files.filter(F.col("file").endswith(".re2")))
+
+
 def read_parameters(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parameters of every ``.rec`` and ``.re2`` file under ``path``."""
     lines = spark.read.text(path).select(

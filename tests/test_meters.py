@@ -199,6 +199,13 @@ def test_settlement_rows(spark):
     assert rows(mt.settlement(df, names), "site", "mwh") == [("Alpha", 0.0), ("Alpha", 3.0), ("R9", 1.0)]
 
 
+def test_meter_history_of_a_month(spark):
+    data = [("a", "2024-01-31", 24, "5"), ("a", "2024-02-01", 1, "x"), ("a", "2024-02-29", 24, "2.5"), ("b", "2024-02-02", 1, None), ("b", "2024-03-01", 1, "7")]
+    df = spark.createDataFrame(data, "site string, day string, hour int, text string").withColumn("day", F.col("day").cast("date"))
+    assert rows(mt.meter_history(df, 2024, 2), "ts_local", "mwh") == sorted([(ts("2024-02-01T00:00:00"), None), (ts("2024-02-29T23:00:00"), 2.5)], key=repr)
+    assert mt.meter_history(df, 2024).count() == 5 and mt.meter_history(df, month=3).count() == 1
+
+
 def test_monthly_totals_count_repeated_hours(spark):
     df = spark.createDataFrame([("s", ts("2024-01-01T00:00:00"), 1.0), ("s", ts("2024-01-01T00:00:00"), 2.0), ("s", ts("2024-01-01T01:00:00"), 3.0)], "site string, ts_local timestamp_ntz, mwh double")
     assert rows(mt.monthly_totals(df), "mwh", "n_repeated_hours") == [(6.0, 1)]

@@ -1,12 +1,13 @@
 """Chunked order-dependent operators against plain windows."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridloom.core.ordered import FIT_UNITS, fit_series, islands, ordinal, rolling, runs, scan, series
+from gridloom.core.ordered import FIT_UNITS, fit_series, global_position, islands, ordinal, rolling, runs, scan, series
 from tests.helpers import rows, ts
 import datetime as dt
 
@@ -83,5 +84,46 @@ def test_unknown_rows_neither_join_nor_split_an_island(spark):
 
 
 def test_fit_series_cuts_dense_series_finer(hot):
-    assert fit_series(hot, ["k"], ["ts"], rows_per_chunk=10_000).chunk == "day"
-    assert FIT_UNITS.index(fit_series(hot, ["k"], ["ts"], rows_per_chunk=3).chunk) > 0
+    assert fit_series(hot, ["k"], ["ts"], rows_per_chunk=10_000).units is None
+    finer = fit_series(hot, ["k"], ["ts"], rows_per_chunk=3).units.collect()
+    assert finer and all(FIT_UNITS.index(r._unit) > 0 for r in finer)
+
+
+@pytest.mark.parametrize("chunk", ["second", "day"])
+def test_deep_edges_equal_plain_windows(hot, chunk):
+    by = replace(series(["k"], ["ts", "event_id"], chunk), deep=True)
+    got = scan(hot, by, lead={"nxt": "value"}, lag={"prv": "value"}, fill={"ff": "value"}, total={"n": F.lit(1)})
+    w = Window.partitionBy("k").orderBy("ts", "event_id")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = hot.select(
+        "*", F.lead("value").over(w).alias("nxt"), F.lag("value").over(w).alias("prv"), F.last("value", True).over(upto).alias("ff"),
+        F.count("*").over(upto).alias("n"),
+    )
+    assert rows(got, *want.columns) == rows(want)
+
+
+def test_each_series_gets_its_own_unit(spark):
+    data = [("hot", ts("2024-01-01T00:00:00") + dt.timedelta(seconds=i), i) for i in range(900)]
+    data += [(k, ts("2024-01-01T00:00:00") + dt.timedelta(hours=i), i) for k in "abcde" for i in range(20)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, event_id bigint")
+    by = fit_series(df, ["k"], ["ts", "event_id"], rows_per_chunk=100, many_chunks=10)
+    assert {r.k: r._unit for r in by.units.collect()} == {"hot": "minute"} and by.deep
+    sizes = by.chunked(df).groupBy("k", "_chunk").count().collect()
+    assert max(r["count"] for r in sizes) <= 100 and sum(r.k == "a" for r in sizes) == 1
+    assert [r.n for r in ordinal(df.filter("k = 'hot'"), by, "n").orderBy("ts").collect()] == list(range(1, 901))
+    # the edges of the hot series are chunked too
+    assert by.of_chunks().chunk == "month" and not fit_series(df, ["k"], ["ts"], 1000).deep
+
+
+def test_equal_stamps_that_fill_a_chunk_are_an_error(spark):
+    df = spark.createDataFrame([("a", ts("2024-01-01T00:00:00"), i) for i in range(50)], "k string, ts timestamp_ntz, event_id bigint")
+    with pytest.raises(ValueError, match="share one time stamp"):
+        fit_series(df, ["k"], ["ts"], rows_per_chunk=49)
+
+
+def test_global_position(spark):
+    rng = random.Random(2)
+    data = [(rng.choice("aab"), rng.randint(0, 300), i) for i in range(2000)]
+    df = spark.createDataFrame(data, "letters string, digits int, i int").repartition(5)
+    got = [r.position for r in global_position(df, ["letters", "digits", "i"], "position").orderBy("letters", "digits", "i").collect()]
+    assert got == list(range(1, 2001))

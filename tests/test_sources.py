@@ -71,6 +71,13 @@ def test_parameter_files(spark, tmp_path):
     )
 
 
+def test_parameter_metadata(spark, tmp_path):
+    for inv, name in (("INV3", "p.re2"), ("INV3", "q.re2"), ("INV4", "r.rec")):
+        (tmp_path / inv).mkdir(exist_ok=True)
+        (tmp_path / inv / name).write_text('<meta>\n\n  <rev>2</rev>\n<paramList>\n<x>\n<param uid="17" value="4.5"/>\n')
+    assert rows(pm.read_parameter_metadata(spark, str(tmp_path / "*"))) == [("INV3", "<meta><rev>2</rev>")]
+
+
 def test_spreadsheet_xml(spark, tmp_path):
     def row(*cells):
         return "<Row>" + "".join(f'<Cell><Data ss:Type="String">{c}</Data></Cell>' for c in cells) + "</Row>"
