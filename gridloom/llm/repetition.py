@@ -20,7 +20,7 @@ class RepetitionRules:
 
     min_words: int = 20
     max_repeat_words_pct: int = 30
-    max_covered_pct: int = 30
+    max_covered_pct: int = 40
     max_longest_words: int = 100
 
 
