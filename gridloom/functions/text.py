@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def substrings(name: Column | str) -> Column:
-    """All distinct substrings of a short name, for lookups by equality.
+def substrings(name: Column | str, lengths: Sequence[int]) -> Column:
+    """The distinct substrings of a name that have one of ``lengths``, for lookups by equality.
 
-    Turns "name contains key" into an equi join; meant for labels, not for long text.
+    Turns "name contains key" into an equi join: a name gives one piece per place and length
+    that keys really have (:func:`key_lengths`).
     """
     name = F.col(name) if isinstance(name, str) else name
-    size = F.length(name)
-    pieces = F.transform(
-        F.sequence(F.lit(1), size),
-        lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(name, i, n)),
-    )
-    return F.when(size > 0, F.array_distinct(F.flatten(pieces))).otherwise(F.array().cast("array<string>"))
+    pieces = [
+        F.when(
+            F.length(name) >= n,
+            F.transform(F.sequence(F.lit(1), F.length(name) - n + 1), _piece(name, n)),
+        ).otherwise(F.array().cast("array<string>"))
+        for n in lengths
+    ]
+    return F.array_distinct(F.concat(*pieces)) if pieces else F.array().cast("array<string>")
+
+
+def _piece(name: Column, n: int) -> Callable[[Column], Column]:
+    return lambda i: F.substring(name, i, F.lit(n))
+
+
+def key_lengths(keys: DataFrame, key: str) -> list[int]:
+    """Lengths of the keys, of which there are no more than the longest key has letters."""
+    return sorted(r.n for r in keys.filter(F.length(key) > 0).select(F.length(key).alias("n")).distinct().collect())
 
 
 def quoted(line: Column | str, position: int) -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.functions.text import substrings
+from gridloom.core.session import sized
+from gridloom.functions.text import key_lengths, substrings
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -53,8 +54,8 @@ def route_files(files: DataFrame, patterns: DataFrame) -> DataFrame:
     """
     parts = F.filter(F.split("pattern", r"\*"), lambda p: p != "")
     anchor = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
-    keyed = patterns.select("site", parts.alias("_parts"), anchor.alias("_piece"))
-    spelled = files.select("path", "name", F.explode(substrings("name")).alias("_piece"))
+    keyed = sized(patterns.select("site", parts.alias("_parts"), anchor.alias("_piece")))
+    spelled = files.select("path", "name", F.explode(substrings("name", key_lengths(keyed, "_piece"))).alias("_piece"))
     hits = spelled.join(keyed, "_piece").filter(
         F.forall("_parts", lambda p: F.contains(F.col("name"), p))
     )

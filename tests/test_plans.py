@@ -290,3 +290,12 @@ def test_daily_peak_takes_the_first_maximum(spark):
     df = spark.createDataFrame([("p", H[5], 70.0, 50.0), ("p", H[3], 70.0, 40.0), ("p", H[8], 60.0, 50.0)], "site string, ts timestamp_ntz, temp_f double, humidity double")
     peak = da.daily_peaks(df, ["site"]).first()
     assert (peak.ts, peak.humidity) == (H[3], 40.0)
+
+
+def test_unmatched_pairs_and_combiner_currents(spark):
+    pairs = spark.createDataFrame([("a", "matched"), ("b", "ambiguous")], "cmb string, status string")
+    assert [r.cmb for r in cb.unmatched(pairs, True).collect()] == ["b"] and cb.unmatched(pairs, False).count() == 0
+    currents = spark.createDataFrame([("s", "i", "c", -2.0, 4.0), ("s", "i", "d", 6.0, -1.0)], "site string, inv string, cmb string, amps double, i_mp double")
+    weights = spark.createDataFrame([("s", "i", "c", 2.0), ("s", "i", "d", 0.5)], "site string, inv string, cmb string, dc_weight double")
+    got = cb.actual_and_possible(currents, weights)
+    assert rows(got, "cmb", "amps", "i_mp", "adjusted_amps") == [("c", 0.0, 4.0, 0.0), ("d", 6.0, 0.0, 12.0)]

@@ -178,3 +178,8 @@ def test_paths(spark):
         ],
         key=repr,
     )
+
+
+def test_series_without_values_are_left_out(spark):
+    df = spark.createDataFrame([("a", None), ("a", 1.0), ("b", None), ("b", None)], "k string, value double")
+    assert qc.drop_empty(df, ["k"]).select("k").distinct().collect()[0].k == "a" and qc.drop_empty(df, ["k"]).count() == 2

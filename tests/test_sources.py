@@ -177,3 +177,19 @@ def test_numeric_columns_and_period(spark):
     df = spark.createDataFrame([(ts(f"2024-01-0{d}T00:00:00"), "x", 1.0, d) for d in (1, 2, 3)], "ts timestamp_ntz, name string, v double, n int")
     assert iv.numeric_columns(df, keep=["ts"]).columns == ["ts", "v", "n"]
     assert rows(iv.in_period(df, "2024-01-01", "2024-01-03"), "n") == [(1,), (2,)]
+
+
+def test_station_weather_units(spark):
+    df = spark.createDataFrame([("s", 10.0, 36.0)], "station string, temp double, wspd double")
+    got = pl.station_weather(df).first()
+    assert (got.station, got.temp_air, round(got.wind_speed, 6)) == ("s", 10.0, 10.0)
+
+
+def test_lookups_by_key_length(spark):
+    from gridloom.functions.text import key_lengths, substrings
+
+    keys = spark.createDataFrame([("ab",), ("xyz",), ("",), (None,), ("cd",)], "k string")
+    assert key_lengths(keys, "k") == [2, 3]
+    names = spark.createDataFrame([("abcab",), ("a",), ("",)], "n string")
+    got = [sorted(r.p) for r in names.select("n", substrings("n", [2, 3]).alias("p")).orderBy(F.length("n")).collect()]
+    assert got == [[], [], ["ab", "abc", "bc", "bca", "ca", "cab"]]
