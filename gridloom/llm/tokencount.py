@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from gridloom.llm.batches import id_and_text, map_texts, utf8
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_whole long"
-#: Texts whose characters all tokenizer and ``regex`` versions class alike: ASCII without the
-#: separators that libraries class differently, and Latin letters.  Others take the library.
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7E\xA1-\xAC\xAE-ſ–—‘’“”…€]*")
+# Latin letters and numbers beyond ASCII, of which all libraries' versions think alike.
+_LETTERS, _NUMBERS = "ªµºÀ-ÖØ-öø-įı-ſ", "²³¹¼-¾"
+#: Texts of such characters only: ASCII without the separators that libraries class
+#: differently, Latin letters (but for the capital dotted I, whose small form has two
+#: characters) and a few signs.  They have their composed form already.  Others take the library.
+PLAIN = re.compile(rf"[\t\n\r\x20-\x7E\xA1-\xAC\xAE-\xBF×÷{_LETTERS}–—‘’“”…€]*")
+#: The vocabulary's pre-token pattern for plain texts in lower case.
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z{_LETTERS}]+|[0-9{_NUMBERS}]|[^\sA-Za-z{_LETTERS}0-9{_NUMBERS}]+")
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Pre-tokens whose counts a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def library(path: str):
@@ -66,7 +72,8 @@ class Counter:
         with open(path) as f:
             spec = json.load(f)
         self.special = [x["content"] for x in spec["added_tokens"]]
-        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        if spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != _PATTERN:
+            raise ValueError("the shortcut knows another pre-token pattern than this vocabulary's")
 
     def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens, and pre-tokens counted by the shortcut, for each text."""
@@ -76,7 +83,7 @@ class Counter:
             if any(s in text for s in self.special) or not PLAIN.fullmatch(text):
                 total[k] = len(self.tok.encode(text, add_special_tokens=False).ids)
                 continue
-            found = self.split.findall(self.tok.normalizer.normalize_str(text))
+            found = _SPLIT.findall(text.lower())
             left[k] = [x for x in found if x not in self.whole]
             short[k] = len(found) - len(left[k])
         unknown = list({x for xs in left for x in xs if x not in self.cache})

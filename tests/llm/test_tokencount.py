@@ -3,7 +3,7 @@ import random
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from gridloom.llm.tokencount import count_tokens, whole_tokens
+from gridloom.llm.tokencount import PLAIN, count_tokens, whole_tokens
 
 PATH = path("word_bpe_49k.json")
 
@@ -18,7 +18,7 @@ def odd_texts():
     texts = [
         None, "", " ", "The the THE", "don't they'll I'D", "<|endoftext|>", "a<|startoftext|>b <|endoftext|>c",
         "<|endoftext", "étude É ß ẞ İstanbul ǅ", "x\x1cy\x85z w　q​z", "12345 ½ Ⅷ ²", "漢字かな 🙂👍🏽",
-        "­soft­hyphen", "a" * 5000, "!!!!???;;;", "l'été – “ok” … €5", "\x00\x07", "ſ K Å",
+        "­soft­hyphen", "a" * 5000, "!!!!???;;;", "l'été – “ok” … €5", "\x00\x07", "ſ K Å", "x²³¹ ¼½¾ ªµº ×÷ Ÿÿ ŉ’s o'LL_a__b 0x1F", "İ ı",
     ]
     letters = "abcdefghij KLMéèüñß'’.,;!?0123456789\n\t-–“”<>|#$́ 漢"
     texts += ["".join(rng.choices(letters, k=rng.randint(1, 300))) for _ in range(300)]
@@ -33,6 +33,15 @@ def test_equals_the_library_on_odd_texts(spark):
     assert [got[k].n_bytes for k in range(len(texts))] == [len((t or "").encode()) for t in texts]
 
 
+def test_every_plain_character_splits_as_in_the_library(spark):
+    chars = [c for c in map(chr, [*range(0x180), *map(ord, "–—‘’“”…€")]) if PLAIN.fullmatch(c)]
+    assert len(chars) > 300
+    texts = [f"a{c}1 {c}{c}b{c} '{c}s" for c in chars] + ["".join(chars), " ".join(chars)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in count_tokens(df, PATH).collect()}
+    assert [got[k] for k in range(len(texts))] == expected(texts)
+
+
 def test_equals_the_library_on_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = docs.collect()
