@@ -8,6 +8,7 @@ writes the span it was read from; identifiers found in the rewritten text are ma
 from __future__ import annotations
 
 import hashlib
+import html
 import re
 import unicodedata
 from dataclasses import dataclass
@@ -131,6 +132,14 @@ def _plain(c: str) -> str | None:
 _UNUSUAL = re.compile("[^\x00-\x7f¡-¬®-ɏ̀-ͯ‘-‟…€一-鿿぀-ヿ가-힣]")
 
 
+_ENTITY = re.compile(r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});|&(?:commat|period|plus|nbsp|hyphen|lpar|rpar|lsqb|rsqb);")
+
+
+def entities(tape: Tape) -> Tape:
+    found = [(*m.span(), new) for m in _ENTITY.finditer(tape.text) if len(new := html.unescape(m[0])) == 1]
+    return tape.rewrite(found) if found else tape
+
+
 def characters(tape: Tape) -> Tape:
     found = [(m.start(), m.end(), new) for m in _UNUSUAL.finditer(tape.text) if (new := _plain(m[0])) is not None]
     return tape.rewrite(found) if found else tape
@@ -150,22 +159,34 @@ DIGIT_WORDS = {
 }
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 _GAP = r"(?:[ \t]*[-,/][ \t]*|[ \t]+)"
-#: Seven digit words or more with at most a sign between two of them, or groups of them with dots.
-_SPELLED = re.compile(
-    rf"(?<!\w){_WORD}(?:(?:{_GAP}|[ \t]*(?:\.|[ \t](?:dot|point|punkt|punto)[ \t])[ \t]*){_WORD}){{6,}}(?!\w)", re.IGNORECASE
-)
-_PART = re.compile(rf"(?<!\w){_WORD}(?!\w)|dot|point|punkt|punto|\.|[-,/ \t]+", re.IGNORECASE)
-_PLUS = re.compile(r"(?<!\w)(?:plus|más|mas)[ \t]+$", re.IGNORECASE)
+_UNIT = rf"(?:{_WORD}(?!\w)|[0-9]{{1,4}}(?![0-9A-Za-z]))"
+_POINT = r"[ \t]*(?:\.|[ \t](?:dot|point|punkt|punto)[ \t])[ \t]*"
+#: Digit words, and short numbers among them, with at most a sign or a dot between two.
+_SPELLED = re.compile(rf"(?<!\w){_UNIT}(?:(?:{_GAP}|{_POINT}){_UNIT}){{4,}}", re.IGNORECASE)
+_PART = re.compile(rf"(?<![\w]){_WORD}(?!\w)|[0-9]+|dot|point|punkt|punto|\.|[-,/ \t]+", re.IGNORECASE)
+_PLUS = re.compile(r"(?<!\w)(?:(?:plus|más|mas)[ \t]+|\+[ \t]*)$", re.IGNORECASE)
+_LEAST_WORDS = 4
 
 
 def spelled_digits(tape: Tape) -> Tape:
+    """Digits for digit words; a run of 10 to 15 digits that is no card reads as a phone number."""
     found = []
     for m in _SPELLED.finditer(tape.text):
-        if p := _PLUS.search(tape.text, max(0, m.start() - 12), m.start()):
-            found.append((p.start(), p.end(), "+"))
+        own, words = [], 0
         for x in _PART.finditer(tape.text, m.start(), m.end()):
             word = x[0].lower()
-            found.append((*x.span(), DIGIT_WORDS.get(word, "." if word.strip(" \t-,/") else "")))
+            words += word in DIGIT_WORDS
+            new = DIGIT_WORDS.get(word) or (word if word.isdigit() else "." if word.strip(" \t-,/") else "")
+            own.append((*x.span(), new))
+        digits = "".join(new for _, _, new in own)
+        # articles such as "un" repeat in ordinary text
+        if words < _LEAST_WORDS or len(set(digits) - {"."}) < 3:
+            continue
+        if p := _PLUS.search(tape.text, max(0, m.start() - 12), m.start()):
+            own.insert(0, (*p.span(), "+"))
+        elif "." not in digits and 10 <= len(digits) <= 15 and not (len(digits) >= 14 and luhn(digits)):
+            own[0] = (*own[0][:2], "+" + own[0][2])
+        found += own
     return tape.rewrite(found) if found else tape
 
 
@@ -182,6 +203,13 @@ _BARE = re.compile(
     rf"[A-Za-z0-9-]{{1,64}}(?:{_SEP_DOT}[A-Za-z0-9-]{{1,64}}){{0,3}}{_SEP_DOT}(?:{_TOP})(?![\w-])",
     re.IGNORECASE,
 )
+#: The same with spaces around the signs themselves.
+_SPACED = re.compile(
+    rf"(?<![\w.%+-])[A-Za-z0-9._%+-]{{1,64}}(?P<at>[ \t]{{1,3}}@[ \t]{{1,3}})[A-Za-z0-9-]{{1,64}}"
+    rf"(?:[ \t]{{0,3}}\.[ \t]{{0,3}}[A-Za-z0-9-]{{1,64}}){{0,3}}[ \t]{{0,3}}\.[ \t]{{0,3}}(?:{_TOP})(?![\w-])",
+    re.IGNORECASE,
+)
+_SPACED_DOT = re.compile(r"[ \t]{0,3}\.[ \t]{0,3}")
 _BARE_DOT = re.compile(r"[ \t]{1,3}(?:dot|punto|punkt|point)[ \t]{1,3}", re.IGNORECASE)
 _MAY_BE_BARE = re.compile(r"[ \t](?:at|arroba|dot|punto|punkt|point)[ \t]", re.IGNORECASE)
 
@@ -198,22 +226,26 @@ def at_and_dot(tape: Tape) -> Tape:
                 own = [(*at, "@")] if at[1] - at[0] > 1 else []
                 own += [(*d.span(), ".") for d in _BARE_DOT.finditer(tape.text, *m.span()) if d.start() != at[0]]
                 found += own
+    for near in re.finditer(r"[ \t]@[ \t]", tape.text):
+        for m in _SPACED.finditer(tape.text, max(0, near.start() - 70), min(len(tape.text), near.end() + 300)):
+            found.append((*m.span("at"), "@"))
+            found += [(*d.span(), ".") for d in _SPACED_DOT.finditer(tape.text, m.end("at"), m.end()) if d.end() - d.start() > 1]
     found = sorted(set(found))
     found = [x for k, x in enumerate(found) if not k or x[0] >= found[k - 1][1]]
     return tape.rewrite(found) if found else tape
 
 
-_MAYBE_SPELLED = re.compile(rf"(?<!\w){_WORD}{_GAP}{_WORD}(?!\w)", re.IGNORECASE)
-_MAYBE_AT = re.compile(r"[\[({<]\s{0,3}(?:at|arroba|@|dot|punto|punkt|point|\.)\s{0,3}[\])}>]|[ \t](?:at|arroba)[ \t]", re.IGNORECASE)
+_MAYBE_SPELLED = re.compile(rf"(?<!\w){_WORD}(?!\w)(?:{_GAP}|{_POINT})(?:{_WORD}(?!\w)|[0-9])", re.IGNORECASE)
+_MAYBE_AT = re.compile(r"[\[({<]\s{0,3}(?:at|arroba|@|dot|punto|punkt|point|\.)\s{0,3}[\])}>]|[ \t](?:at|arroba|@)[ \t]", re.IGNORECASE)
 
 
 def disguised(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Identifiers that only the rewritten text shows, as spans of the source."""
     unusual = not text.isascii() and _UNUSUAL.search(text)
-    if not (unusual or _MAYBE_AT.search(text) or _MAYBE_SPELLED.search(text)):
+    if not (unusual or ("&" in text and _ENTITY.search(text)) or _MAYBE_AT.search(text) or _MAYBE_SPELLED.search(text)):
         return []
     source = Tape.of(text)
-    tape = at_and_dot(spelled_digits(characters(source)))
+    tape = at_and_dot(spelled_digits(characters(entities(source))))
     if tape is source:
         return []
     out = []
