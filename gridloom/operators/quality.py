@@ -153,6 +153,12 @@ def mark_flat(
     )
 
 
+# What lets a flat run stand.  Shares are of night rows, lengths in hours.
+MOSTLY_NIGHT, HALF_NIGHT, SOME_NIGHT, NO_NIGHT = 0.70, 0.5, 0.2, 0.05
+LINEAR_HOURS, SHORT_HOURS, NIGHT_HOURS = 2.5, 2, 8
+METER_LEVEL, POWER_LEVEL, DARK_LEVEL, LINEAR_STEP = 0.02, 25.0, 5, 1
+
+
 def flat_runs(
     marked: DataFrame, keys: Sequence[str], value="value", ts="ts", attribute="attribute",
     run_rows: dict[str, int] = RUN_ROWS,
@@ -185,17 +191,17 @@ def flat_runs(
     )
     hours = seconds_between("run_start", "run_end") / F.lit(3600.0)
     pn, mean = F.col("night_share"), F.col("mean")
-    level = F.when(F.col("is_meter"), 0.02).otherwise(25.0)
-    dark = F.col("night_mean") < 5
+    level = F.when(F.col("is_meter"), METER_LEVEL).otherwise(POWER_LEVEL)
+    dark = F.col("night_mean") < DARK_LEVEL
     exemption = (
-        F.when(F.col("is_temp") & (pn > 0.70), "night_temperature")
-        .when((F.col("is_inv") | F.col("is_meter")) & (pn < 0.05) & (mean > level), "daylight_power")
+        F.when(F.col("is_temp") & (pn > MOSTLY_NIGHT), "night_temperature")
+        .when((F.col("is_inv") | F.col("is_meter")) & (pn < NO_NIGHT) & (mean > level), "daylight_power")
         .when(
-            (pn < 0.05) & (hours < 2.5) & (mean > 25) & (F.col("mean_step") > 1), "daylight_linear"
+            (pn < NO_NIGHT) & (hours < LINEAR_HOURS) & (mean > POWER_LEVEL) & (F.col("mean_step") > LINEAR_STEP), "daylight_linear"
         )
-        .when((pn > 0.70) & dark & (F.col("night_highest") < 5), "night_zero")
-        .when((pn > 0.5) & (hours < 8) & dark & (F.col("highest") < level), "mostly_night_zero")
-        .when((pn > 0.2) & (hours < 2), "short_partial_night")
+        .when((pn > MOSTLY_NIGHT) & dark & (F.col("night_highest") < DARK_LEVEL), "night_zero")
+        .when((pn > HALF_NIGHT) & (hours < NIGHT_HOURS) & dark & (F.col("highest") < level), "mostly_night_zero")
+        .when((pn > SOME_NIGHT) & (hours < SHORT_HOURS), "short_partial_night")
         .when(F.col("is_meter") & (round_half_even(mean, 1) == 0), "meter_outage")
     )
     sheltered = F.col("needs_sun") | F.col("is_temp")
@@ -244,8 +250,8 @@ def auto_qc(
 
     Empty series go (sites without power attributes only), then bad temperature sensors,
     outliers, flat runs, night values and negative irradiance.  ``processed`` marks a
-    changed row, except for negatives.  The intermediate results that later steps read
-    more than once are checkpointed.
+    changed row, except for negatives.  The readings are stored once without outliers and
+    once with their flat runs marked, as later steps read them more than once.
     """
     ids = [*by.keys, *[c for c in (*site_keys, attribute) if c not in by.keys]]
     found = sized(df.groupBy(*ids).agg((F.count(value) == 0).alias("_empty")))
@@ -257,7 +263,7 @@ def auto_qc(
     kept = df.join(gone, list(by.keys), "left_anti").join(
         bad.select(*site_keys, attribute), [*site_keys, attribute], "left_anti"
     )
-    clean = null_outliers(materialize(kept), by, value, block_rows)
+    clean = null_outliers(kept, by, value, block_rows)
     marked = mark_flat(materialize(clean), by, value, block_rows, materialize)
     verdicts = flat_runs(marked, by.keys, value, ts, attribute, run_rows)
     out = zero_negative(zero_night(null_flat_runs(marked, verdicts, by.keys, value, ts), value), value)
