@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -28,6 +29,19 @@ def build_session(app_name: str = "gridloom", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For sessions in one process and clusters on which that folder is shared; elsewhere the
+    package is deployed with the job (``--py-files``), and an absent folder does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
