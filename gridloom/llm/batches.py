@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.core.session import let_workers_import
+
 #: Bytes of text that one numpy step handles at once; a longer text is a chunk of its own.
 CHUNK_BYTES = 1_000_000
 #: Rows of an Arrow batch, so that long texts do not add up to a huge batch.
@@ -41,7 +43,11 @@ ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for long texts; the setting only changes batch sizes."""
+    """Keep Arrow batches small enough for long texts; the setting only changes batch sizes.
+
+    Python workers get to import this package as the driver does.
+    """
+    let_workers_import(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
