@@ -34,7 +34,9 @@ class NearDupSettings:
     rounds: int = 2
     #: node ids that may be broadcast to pick texts; beyond it the join shuffles
     broadcast_ids: int = 1_000_000
-    #: texts that a verifying task compares with one other, or among each other
+    #: partners of one node that a verifying task reads together
+    partners: int = 64
+    #: texts that are compared among each other at once
     block: int = 512
 
 
@@ -201,7 +203,7 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: NearDupSettings) -> D
     A node with many partners is read by several tasks, each with a block of them, so no
     task depends on the number of partners.
     """
-    block, percent = settings.block, settings.percent
+    block, percent = settings.partners, settings.percent
     wide = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     wide = cut_lineage(wide)
     own = texts.join(wide, texts["node"] == wide["a"]).select(
@@ -330,7 +332,8 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, settings: NearDupSettings) ->
     component are searched whole, so no link between components is missed.
     """
     rows = band_rows(nodes, settings.bands)
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # stored, so that the join can split a hot bucket
+    shared = cut_lineage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
     buckets = cut_lineage(rows.join(shared, "key"))
     texts = node_texts(docs, nodes, buckets.select("node").distinct(), settings)
     links, labels = None, None

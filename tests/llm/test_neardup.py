@@ -69,7 +69,7 @@ def random_rows():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("settings", [NearDupSettings(), NearDupSettings(rounds=0, block=7, broadcast_ids=0)])
+@pytest.mark.parametrize("settings", [NearDupSettings(), NearDupSettings(rounds=0, block=7, partners=3, broadcast_ids=0), NearDupSettings(rounds=1, partners=2)])
 def test_equals_brute_force(spark, settings):
     rows = random_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
