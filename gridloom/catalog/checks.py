@@ -194,6 +194,27 @@ def changed_ranges(spark, sf):
     return qc.changed_ranges(raw, clean, by_site(raw))
 
 
+@query(f"""
+WITH {READINGS_SQL},
+h AS (SELECT site, date_trunc('hour', ts) AS ts, max(value) AS value FROM readings GROUP BY 1, 2),
+b AS (SELECT *, CASE WHEN value > 120 THEN NULL WHEN value > 80 THEN 80 ELSE value END AS clean FROM h),
+d AS (
+  SELECT *, date_diff('second', lag(ts) OVER w, ts) AS p, date_diff('second', ts, lead(ts) OVER w) AS x
+  FROM b WHERE value IS DISTINCT FROM clean WINDOW w AS (PARTITION BY site ORDER BY ts)),
+n AS (
+  SELECT *, coalesce(p, x) AS gap, sum(CASE WHEN coalesce(p, x) > 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY site ORDER BY ts) AS island FROM d)
+SELECT site, count(*) AS n_rows, min(ts) AS range_start, max(ts) AS range_end,
+       CASE WHEN bool_and(clean IS NULL) THEN 'REMOVED' WHEN bool_or(clean IS NULL) THEN 'REMOVED-MODIFIED' ELSE 'MODIFIED' END AS change
+FROM n WHERE gap = 3600 GROUP BY site, island
+""")
+def changed_ranges_by_step(spark, sf):
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")
+    raw = cut_lineage(readings(spark, sf).groupBy("site", hour).agg(F.max("value").alias("value")))
+    limited = F.when(F.col("value") > 80, 80.0).otherwise(F.col("value"))
+    clean = raw.withColumn("value", F.when(F.col("value") <= 120, limited))
+    return qc.changed_ranges(raw, clean, fit_series(raw, ["site"], ["ts"]), step_seconds=3600)
+
+
 @query(f"""
 WITH {ATTRIBUTES_SQL}
 SELECT attribute, count(*) AS n_rows, CAST(sum(CASE

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridloom.catalog.registry import query
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import READINGS_SQL, readings, table
 from gridloom.core.ordered import global_position, series
+from gridloom.core.session import shared_folder
 from gridloom.functions.scalars import (
     add_time,
     convert_unit,
@@ -19,11 +22,14 @@ from gridloom.functions.scalars import (
 )
 from gridloom.operators import lookups as lk
 from gridloom.operators import naming as nm
+from gridloom.operators.quality import drop_empty
 from gridloom.plans.curtailment import effective_setpoint
 from gridloom.plans.dayahead import precipitation_label
 from gridloom.plans.insurance import claims, parse_outage_dates
 from gridloom.plans.status import pipeline_status as status_of
 from gridloom.sources import files as fl
+from gridloom.sources import intervals as iv
+from gridloom.sources import meters as mt
 from gridloom.sources import parameters as pm
 from gridloom.sources import payloads as pl
 from gridloom.sources import spreadsheet as ss
@@ -700,3 +706,51 @@ def removed_items(spark, sf):
     part = table(spark, sf, "part")
     early, late = part.filter("p_partkey % 2 = 0"), part.filter("p_partkey % 2 = 1")
     return early.select("p_brand", "p_size").dropDuplicates().join(late, ["p_brand", "p_size"], "left_anti")
+
+
+@query("""
+SELECT 'kpi' AS file, c_custkey + 5 AS row_no, c_name AS "Site", c_mktsegment AS "Notes", CASE WHEN c_custkey % 3 > 0 THEN c_acctbal::VARCHAR END AS "KPI"
+FROM customer
+""")
+def kpi_notes_table(spark, sf):
+    """A sheet with a title, the header in its third row, and loose cells."""
+    rows = table(spark, sf, "customer").withColumn("row_no", F.col("c_custkey") + 5)
+
+    def cell(col, text):
+        return F.struct(F.col("row_no"), F.lit(col).alias("col_no"), text.cast("string").alias("text"))
+
+    kpi = F.when(F.col("c_custkey") % 3 > 0, F.col("c_acctbal").cast("string"))
+    body = rows.select(F.inline(F.array(
+        cell(0, F.concat(F.lit("  "), "c_name")), cell(1, kpi), cell(2, F.concat("c_mktsegment", F.lit(" "))), cell(4, F.lit("margin"))
+    )))
+    head = [(1, 0, "KPI table"), (3, 0, " Site"), (3, 1, "KPI"), (3, 2, "Notes ")]
+    cells = spark.createDataFrame(head, "row_no bigint, col_no int, text string").unionByName(body).withColumn("file", F.lit("kpi"))
+    return mt.labelled_table(cells, "Site", ["Site", "Notes", "KPI"])
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def numeric_columns(spark, sf):
+    return iv.numeric_columns(table(spark, sf, "supplier"), ["s_name"])
+
+
+@query(f"""
+WITH {READINGS_SQL},
+r AS (SELECT site, asset, ts, event_id, CASE WHEN asset % 5 > 0 THEN value END AS value FROM readings)
+SELECT * FROM r WHERE (site, asset) IN (SELECT (site, asset) FROM r WHERE value IS NOT NULL)
+""")
+def drop_empty_series(spark, sf):
+    value = F.when(F.col("asset") % 5 > 0, F.col("value")).alias("value")
+    return drop_empty(readings(spark, sf).select("site", "asset", "ts", "event_id", value), ["site", "asset"])
+
+
+@query("""
+SELECT o_orderkey, o_orderpriority AS site, CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '3', '5') THEN 2 * o_totalprice ELSE o_totalprice END AS value FROM orders
+""")
+def versioned_sink(spark, sf):
+    """All sites are written, some of them once more; the newest version of each counts."""
+    rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("site"), F.col("o_totalprice").alias("value"))
+    again = rows.filter(F.substring("site", 1, 1).isin("1", "3", "5")).withColumn("value", F.col("value") * 2)
+    path = f"{shared_folder(spark)}/gridloom/{uuid.uuid4().hex}"
+    fl.write_version(rows, path, F.lit(1), ["site"])
+    fl.write_version(again, path, F.lit(2), ["site"])
+    return fl.latest_version(spark.read.parquet(path), ["site"]).select("o_orderkey", "site", "value")

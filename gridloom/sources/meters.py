@@ -153,6 +153,12 @@ def grid_records(cells: DataFrame, marker: str | Column, keys: Sequence[str] = (
     return body.select(*keys, *kept, "row_no", fields.alias("fields")).filter(F.size("fields") > 0)
 
 
+def labelled_table(cells: DataFrame, marker: str, columns: Sequence[str], keys: Sequence[str] = ("file",)) -> DataFrame:
+    """The named columns of a sheet below its header row, trimmed, one row per sheet row."""
+    records = grid_records(cells, marker, keys)
+    return records.select(*keys, "row_no", *[_named(c).alias(c) for c in columns])
+
+
 def unreadable(cells: DataFrame, marker: str | Column, keys: Sequence[str] = ("file",)) -> DataFrame:
     """Files without a header row, each with the reason."""
     is_marker = F.trim("text") == (F.lit(marker) if isinstance(marker, str) else marker)
