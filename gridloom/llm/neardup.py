@@ -264,8 +264,8 @@ def links_across(labelled: DataFrame, texts: DataFrame, settings: NearDupSetting
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = cut_lineage(rows.select("key", "node", "c", "own", "blocks", other))
     part = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
-    rows = rows.select("key", part.alias("part"), (F.col("own") == F.col("other")).alias("same"), "own", "node", "c")
-    rows = rows.join(texts, "node").select("key", "part", "same", "own", "node", "c", "text")
+    rows = rows.select("key", part.alias("part"), "own", "node", "c")
+    rows = rows.join(texts, "node").select("key", "part", "own", "node", "c", "text")
     rows = rows.repartition("key", "part").sortWithinPartitions("key", "part", "node")
 
     def compare(key, alike, own, node, c, keys, registers, sizes, sets) -> Iterator[tuple[int, int]]:
@@ -295,14 +295,14 @@ def links_across(labelled: DataFrame, texts: DataFrame, settings: NearDupSetting
         first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]).any(axis=1)]) if len(at) else []
         keys, registers, sizes, sets = [], [], [], []
         for part in chunks(b):
-            s = Shingles(part.column(6))
+            s = Shingles(part.column(5))
             registers.append(s.registers())
             keys.append(band_keys(registers[-1], bands))
             sizes.append(s.counts())
             sets += s.sets()
         if len(at):
             keys, registers, sizes = np.concatenate(keys), np.concatenate(registers), np.concatenate(sizes)
-            own, node, c = (b.column(k).to_numpy() for k in (3, 4, 5))
+            own, node, c = (b.column(k).to_numpy() for k in (2, 3, 4))
             for s, e in zip(first, [*first[1:], len(at)], strict=True):
                 # a group of one block compares within it, one of two blocks between them
                 alike = own[s] == own[s:e].max() == own[s:e].min()
