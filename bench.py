@@ -51,7 +51,7 @@ HEADLINES = (
     "interval_ending_shift",
     "settlement_pivot",
     "dst_repair",
-    "meter_router",
+    "daylight_flag",
     "pipeline_status",
 )
 
