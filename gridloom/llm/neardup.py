@@ -401,8 +401,9 @@ def _grouped(pairs: DataFrame, settings: NearDupSettings) -> DataFrame:
     nodes = stored.select("row_key", "registers").join(classes, F.col("row_key") == F.col("node"))
     nodes = cut_lineage(nodes.select("node", "doc_id", "n_shingles", "set_a", "set_b", "registers"))
     labels = link_nodes(pairs, nodes, settings)
-    ids = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = ids.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    ids = cut_lineage(classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    # stored, so that the join can split a hot component
+    least = cut_lineage(ids.groupBy("component").agg(F.min("least_id").alias("component_id")))
     ids = cut_lineage(ids.join(least, "component").select("set_a", "set_b", "n_shingles", "component_id"))
     rows = stored.select("doc_id", "text_key", "set_a", "set_b", "n_shingles")
     rows = rows.join(ids, ["set_a", "set_b", "n_shingles"], "left")
