@@ -6,20 +6,22 @@ from pyspark.sql import SparkSession
 from gridloom.core.session import cut_lineage, scratch, shared_folder, sized, use_folder
 
 
-def stored(spark):
-    folder = shared_folder(spark).removeprefix("file:") + "/gridloom"
-    return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+def folder_of(df):
+    """Where a stored table lies; other programs may use the shared folder too."""
+    return os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
 
 
 def test_stored_tables_go_with_their_scope(spark):
-    before = stored(spark)
+    lasting = cut_lineage(spark.range(2))
     with scratch(spark):
-        kept = cut_lineage(spark.range(5))
+        outer = cut_lineage(spark.range(5))
         with scratch(spark):
-            assert sized(spark.range(3)).count() == 3
-            assert len(stored(spark)) == len(before) + 2
-        assert len(stored(spark)) == len(before) + 1 and kept.count() == 5
-    assert stored(spark) == before
+            inner = sized(spark.range(3))
+            paths = [folder_of(x) for x in (lasting, outer, inner)]
+            assert inner.count() == 3 and all(map(os.path.isdir, paths))
+            assert all(x.startswith(shared_folder(spark).removeprefix("file:")) for x in paths)
+        assert [os.path.isdir(x) for x in paths] == [True, True, False] and outer.count() == 5
+    assert [os.path.isdir(x) for x in paths] == [True, False, False]
 
 
 def test_a_named_folder_is_not_replaced(spark):
