@@ -235,15 +235,24 @@ def at_and_dot(tape: Tape) -> Tape:
     return tape.rewrite(found) if found else tape
 
 
-_MAYBE_SPELLED = re.compile(rf"(?<!\w){_WORD}(?!\w)(?:{_GAP}|{_POINT})(?:{_WORD}(?!\w)|[0-9])", re.IGNORECASE)
+_MAYBE_SPELLED = re.compile(rf"(?<!\w){_WORD}(?!\w)(?:{_GAP}|{_POINT})(?:{_WORD}(?!\w)|[0-9])|[0-9](?:{_GAP}|{_POINT}){_WORD}(?!\w)", re.IGNORECASE)
 _MAYBE_AT = re.compile(r"[\[({<]\s{0,3}(?:at|arroba|@|dot|punto|punkt|point|\.)\s{0,3}[\])}>]|[ \t](?:at|arroba|@)[ \t]", re.IGNORECASE)
 
 
+def may_be_disguised(text: str) -> bool:
+    """Whether a transducer may find something; each is named here."""
+    unusual = not text.isascii() and _UNUSUAL.search(text)
+    signs = "&" in text and _ENTITY.search(text)
+    return bool(unusual or signs or _MAYBE_AT.search(text) or _MAY_BE_BARE.search(text) or _MAYBE_SPELLED.search(text))
+
+
 def disguised(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Identifiers that only the rewritten text shows, as spans of the source."""
-    unusual = not text.isascii() and _UNUSUAL.search(text)
-    if not (unusual or ("&" in text and _ENTITY.search(text)) or _MAYBE_AT.search(text) or _MAYBE_SPELLED.search(text)):
-        return []
+    return uncovered(text, base) if may_be_disguised(text) else []
+
+
+def uncovered(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The same without a look ahead."""
     source = Tape.of(text)
     tape = at_and_dot(spelled_digits(characters(entities(source))))
     if tape is source:

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from gridloom.llm.pii import KINDS, Tape, characters, find_pii, find_spans, identifiers, redact, redact_pii, spelled_digits
+from gridloom.llm.pii import KINDS, Tape, characters, find_pii, find_spans, identifiers, redact, redact_pii, spelled_digits, uncovered
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -92,6 +92,24 @@ def test_ordinary_text_is_left_alone(text):
     assert find_spans(text) == ([], []) and redact(text) == text
 
 
+@pytest.mark.parametrize("text, source", [("mail jane@example dot com now", "jane@example dot com"), ("john dot doe@example dot org", "john dot doe@example dot org")])
+def test_a_sign_with_spelled_dots(text, source):
+    _, added = find_spans(text)
+    assert [(text[s:e], k) for s, e, k in added] == [(source, "email")]
+
+
+def test_the_look_ahead_loses_nothing():
+    rng = random.Random(8)
+    parts = ["jane", "example", "com", "org", "@", " @ ", " at ", " arroba ", " dot ", " punto ", " point ", ".", " . ", "[at]", "(dot)", "&#64;", "·", " ", "one", "five", "3", "4111", "plus ", "+", "-", ") "]
+    some = 0
+    for _ in range(20000):
+        text = "".join(rng.choices(parts, k=rng.randint(3, 14)))
+        base, added = find_spans(text)
+        some += len(added)
+        assert added == uncovered(text, base), text
+    assert some
+
+
 def test_tape_keeps_source_spans():
     rng = random.Random(4)
     for _ in range(200):
