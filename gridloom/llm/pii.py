@@ -128,8 +128,8 @@ def _plain(c: str) -> str | None:
     return new if len(new) == 1 and new.isascii() else None
 
 
-# Latin letters with accents and typographic quotes are no disguise.
-_UNUSUAL = re.compile("[^\x00-\x7f¡-¬®-ɏ̀-ͯ‘-‟…€一-鿿぀-ヿ가-힣]")
+# Latin letters with accents and typographic quotes are no disguise, unless they are look-alikes.
+_UNUSUAL = re.compile("[^\x00-\x7f¡-¬®-¶¸-ɏ̀-ͯ‘-‟…€一-鿿぀-ヿ가-힣]")
 
 
 _ENTITY = re.compile(r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});|&(?:commat|period|plus|nbsp|hyphen|lpar|rpar|lsqb|rsqb);")
@@ -158,33 +158,37 @@ DIGIT_WORDS = {
     for w in words.split()
 }
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
-_GAP = r"(?:[ \t]*[-,/][ \t]*|[ \t]+)"
+_GAP = r"(?:[ \t]*(?:[-,/()\[\]][ \t]*){1,3}|[ \t]+)"
 _UNIT = rf"(?:{_WORD}(?!\w)|[0-9]{{1,4}}(?![0-9A-Za-z]))"
 _POINT = r"[ \t]*(?:\.|[ \t](?:dot|point|punkt|punto)[ \t])[ \t]*"
 #: Digit words, and short numbers among them, with at most a sign or a dot between two.
-_SPELLED = re.compile(rf"(?<!\w){_UNIT}(?:(?:{_GAP}|{_POINT}){_UNIT}){{4,}}", re.IGNORECASE)
-_PART = re.compile(rf"(?<![\w]){_WORD}(?!\w)|[0-9]+|dot|point|punkt|punto|\.|[-,/ \t]+", re.IGNORECASE)
-_PLUS = re.compile(r"(?<!\w)(?:(?:plus|más|mas)[ \t]+|\+[ \t]*)$", re.IGNORECASE)
+_SPELLED = re.compile(rf"(?<!\w){_UNIT}(?:(?:{_GAP}|{_POINT}){_UNIT}){{3,}}", re.IGNORECASE)
+_PART = re.compile(rf"(?<![\w]){_WORD}(?!\w)|[0-9]+|dot|point|punkt|punto|\.|[-,/()\[\] \t]+", re.IGNORECASE)
+_PLUS = re.compile(r"(?<!\w)(?:(?:plus|más|mas)[ \t]+|\+[ \t]*)[(\[]?[ \t]*$", re.IGNORECASE)
 _LEAST_WORDS = 4
 
 
 def spelled_digits(tape: Tape) -> Tape:
-    """Digits for digit words; a run of 10 to 15 digits that is no card reads as a phone number."""
+    """Digits for digit words, for the identifier check to judge.
+
+    A run of 10 to 15 digits that is no card reads as a phone number if four are words.
+    """
     found = []
     for m in _SPELLED.finditer(tape.text):
         own, words = [], 0
         for x in _PART.finditer(tape.text, m.start(), m.end()):
             word = x[0].lower()
             words += word in DIGIT_WORDS
-            new = DIGIT_WORDS.get(word) or (word if word.isdigit() else "." if word.strip(" \t-,/") else "")
+            new = DIGIT_WORDS.get(word) or (word if word.isdigit() else "." if word.strip(" \t-,/()[]") else "")
             own.append((*x.span(), new))
         digits = "".join(new for _, _, new in own)
-        # articles such as "un" repeat in ordinary text
-        if words < _LEAST_WORDS or len(set(digits) - {"."}) < 3:
+        # a few words beside a plain identifier, such as the article "un", are none of its digits
+        if not words or (words < _LEAST_WORDS and identifiers(tape.text[max(0, m.start() - 12) : m.end()])):
             continue
         if p := _PLUS.search(tape.text, max(0, m.start() - 12), m.start()):
             own.insert(0, (*p.span(), "+"))
-        elif "." not in digits and 10 <= len(digits) <= 15 and not (len(digits) >= 14 and luhn(digits)):
+        # articles such as "un" repeat in ordinary text
+        elif words >= _LEAST_WORDS and len(set(digits)) > 1 and "." not in digits and 10 <= len(digits) <= 15 and not (len(digits) >= 14 and luhn(digits)):
             own[0] = (*own[0][:2], "+" + own[0][2])
         found += own
     return tape.rewrite(found) if found else tape
@@ -195,7 +199,8 @@ _DOT = r"(?:dot|punto|punkt|point|\.)"
 _BRACKETED = re.compile(
     rf"\s{{0,3}}[\[({{<]\s{{0,3}}(?:({_AT})|{_DOT})\s{{0,3}}[\])}}>]\s{{0,3}}", re.IGNORECASE
 )
-# Bare words only in a whole address that ends in a common top-level domain.
+# Bare words only in a whole address: with both at and dot as words any last label will do, else
+# a common top-level domain ends it.  "Point" is too common behind "at" to count as such a dot.
 _TOP = "com|org|net|edu|gov|info|io|co|dev|ai|me|eu|de|fr|es|uk|us|ch|at|it|nl"
 _SEP_DOT = r"(?:[ \t]{1,3}(?:dot|punto|punkt|point)[ \t]{1,3}|\.)"
 _BARE = re.compile(
@@ -203,6 +208,12 @@ _BARE = re.compile(
     rf"[A-Za-z0-9-]{{1,64}}(?:{_SEP_DOT}[A-Za-z0-9-]{{1,64}}){{0,3}}{_SEP_DOT}(?:{_TOP})(?![\w-])",
     re.IGNORECASE,
 )
+_BOTH = re.compile(
+    rf"(?<![\w.%+-])[A-Za-z0-9_%+-]{{1,64}}(?:{_SEP_DOT}[A-Za-z0-9_%+-]{{1,64}}){{0,3}}(?P<at>[ \t]{{1,3}}(?:at|(?P<sure>arroba))[ \t]{{1,3}})"
+    r"(?!(?:the|an?|this|that|each|every|any|some|one|which|what|his|her|its|my|our|your|their)[ \t])"
+    rf"[A-Za-z0-9-]{{1,64}}(?:{_SEP_DOT}[A-Za-z0-9-]{{1,64}}){{0,3}}[ \t]{{1,3}}(?:dot|punto|punkt|(?(sure)point|dot))[ \t]{{1,3}}[A-Za-z]{{2,24}}(?![\w-])",
+    re.IGNORECASE,
+)
 #: The same with spaces around the signs themselves.
 _SPACED = re.compile(
     rf"(?<![\w.%+-])[A-Za-z0-9._%+-]{{1,64}}(?P<at>[ \t]{{1,3}}@[ \t]{{1,3}})[A-Za-z0-9-]{{1,64}}"
@@ -221,7 +232,8 @@ def at_and_dot(tape: Tape) -> Tape:
     if _MAY_BE_BARE.search(tape.text):
         for near in _MAY_BE_BARE.finditer(tape.text):
             # an address spans at most so many characters around one of its separators
-            for m in _BARE.finditer(tape.text, max(0, near.start() - 300), min(len(tape.text), near.end() + 300)):
+            span = max(0, near.start() - 300), min(len(tape.text), near.end() + 300)
+            for m in (*_BARE.finditer(tape.text, *span), *_BOTH.finditer(tape.text, *span)):
                 at = m.span("at")
                 own = [(*at, "@")] if at[1] - at[0] > 1 else []
                 own += [(*d.span(), ".") for d in _BARE_DOT.finditer(tape.text, *m.span()) if d.start() != at[0]]

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from gridloom.llm.pii import KINDS, Tape, characters, find_pii, find_spans, identifiers, redact, redact_pii, spelled_digits, uncovered
+from gridloom.llm.pii import KINDS, LOOKALIKES, Tape, characters, find_pii, find_spans, identifiers, redact, redact_pii, spelled_digits, uncovered
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -98,6 +98,39 @@ def test_a_sign_with_spelled_dots(text, source):
     assert [(text[s:e], k) for s, e, k in added] == [(source, "email")]
 
 
+@pytest.mark.parametrize(
+    "text, source, kind",
+    [
+        ("write anna at firma dot pl now", "anna at firma dot pl", "email"),
+        ("to joe at site dot ca, please", "joe at site dot ca", "email"),
+        ("ana arroba correo punto mx", "ana arroba correo punto mx", "email"),
+        ("call +1 555 123 four five six 7890 now", "+1 555 123 four five six 7890", "phone"),
+        ("ring five one five one five one five one five one now", "five one five one five one five one five one", "phone"),
+        ("ring (five five five) one two three four five six seven.", "five five five) one two three four five six seven", "phone"),
+        ("plus (one two) three four five six seven eight nine zero!", "plus (one two) three four five six seven eight nine zero", "phone"),
+        ("pay 4111 1111 1111 one one one one today", "4111 1111 1111 one one one one", "card"),
+        ("at 192 dot 168 dot one dot 25", "192 dot 168 dot one dot 25", "ip"),
+        ("mail jane@example·com now", "jane@example·com", "email"),
+    ],
+)
+def test_disguises_beyond_the_lists(text, source, kind):
+    _, added = find_spans(text)
+    assert [(text[s:e], k) for s, e, k in added] == [(source, kind)]
+
+
+@pytest.mark.parametrize("text", ["we stopped at some point in May", "look at this dot here", "meet at that point we said", "l·l and cel·la", "un deux trois (quatre) cinq", "page 1, two, 3 (four) of 12"])
+def test_ordinary_text_beside_them(text):
+    assert find_spans(text) == ([], [])
+
+
+def test_an_article_is_no_digit_of_a_plain_number():
+    assert find_spans("Por évi. +1 (848) 555-1373 Un an oule") == ([(9, 26, "phone")], [])
+
+
+def test_every_look_alike_is_read():
+    assert all(characters(Tape.of(c)).text == new for c, new in LOOKALIKES.items())
+
+
 def test_the_look_ahead_loses_nothing():
     rng = random.Random(8)
     parts = ["jane", "example", "com", "org", "@", " @ ", " at ", " arroba ", " dot ", " punto ", " point ", ".", " . ", "[at]", "(dot)", "&#64;", "·", " ", "one", "five", "3", "4111", "plus ", "+", "-", ") "]
