@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
+from gridloom.llm.centroids import CentroidSettings, cluster_vectors
 from gridloom.llm.decontam import match_benchmark
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
@@ -100,6 +101,11 @@ def op10_fuzzy_passages(spark: SparkSession, sf: str) -> DataFrame:
     return fuzzy_passages(documents(spark, sf))
 
 
+@query
+def op13_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    return cluster_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"), CentroidSettings())
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -127,3 +133,42 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hi
   sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
+
+
+def _centroid_sql(s: CentroidSettings) -> str:
+    """One assignment and one update for each round, with vectors as one row per component."""
+    ctes = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor({s.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {s.components} AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+)""",
+        "x AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS d FROM kept)",
+        f"""first AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('{s.salt}' || CAST(vec_id AS VARCHAR))) - 1 AS cluster
+  FROM kept QUALIFY cluster < {s.clusters}
+)""",
+        "c0 AS MATERIALIZED (SELECT cluster, d, x FROM first JOIN x USING (vec_id))",
+    ]
+    for k in range(s.rounds + 1):
+        ctes.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, cluster, distance FROM (
+    SELECT x.vec_id, c.cluster, sum((x.x - c.x) * (x.x - c.x)) AS distance FROM x JOIN c{k} c USING (d) GROUP BY ALL
+  ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+)""")
+        if k < s.rounds:
+            ctes.append(f"""c{k + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.d, CAST(coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, c.x) AS BIGINT) AS x FROM c{k} c LEFT JOIN (
+    SELECT cluster, d, sum(x) AS s, count(*) AS n FROM a{k} JOIN x USING (vec_id) GROUP BY ALL
+  ) m USING (cluster, d)
+)""")
+    k = s.rounds
+    return f"""WITH {", ".join(ctes)},
+sha AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{k} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{k} JOIN sha USING (cluster)
+"""
+
+
+SQL["op13_centroids"] = _centroid_sql(CentroidSettings())

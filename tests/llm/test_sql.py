@@ -9,7 +9,7 @@ from gridloom.llm.queries import QUERIES, SQL
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equals_sql(spark, sf, name):
     db = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "pages"):
+    for table in ("documents", "benchmark", "labels", "pages", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     want = db.execute(SQL[name])
     columns = [c[0] for c in want.description]
