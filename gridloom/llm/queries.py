@@ -139,8 +139,8 @@ def _centroid_sql(s: CentroidSettings) -> str:
     """One assignment and one update for each round, with vectors as one row per component."""
     ctes = [
         f"""kept AS MATERIALIZED (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor({s.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE len(embedding) = {s.components} AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({s.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {s.components} AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
 )""",
         "x AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS d FROM kept)",
         f"""first AS (
