@@ -13,6 +13,7 @@ from gridloom.llm.decontam import match_benchmark
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import PackSettings, pack_documents, packed_matrix
 from gridloom.llm.passages import fuzzy_passages
+from gridloom.llm.phrases import PhraseSettings, collocations
 from gridloom.llm.pii import find_pii
 from gridloom.llm.repetition import score_repetition
 from gridloom.llm.sitequality import site_quality, sites_of
@@ -101,6 +102,11 @@ def op10_fuzzy_passages(spark: SparkSession, sf: str) -> DataFrame:
     return fuzzy_passages(documents(spark, sf))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(documents(spark, sf), PhraseSettings())
+
+
 @query
 def op13_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return cluster_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"), CentroidSettings())
@@ -134,6 +140,40 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hi
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+_PIECES = rf"string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')"
+
+SQL["op12_collocations"] = rf"""
+WITH p AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents)
+),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM p, (VALUES (1), (2), (3), (4), (5)) s(k), LATERAL unnest(range(1, len(w) - k + 2)) t(i)
+  GROUP BY ALL HAVING count(*) >= 100
+),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inner_parts AS (
+  SELECT DISTINCT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM c, LATERAL unnest(range(2, k)) x(m), LATERAL unnest(range(1, k - m + 2)) t(i)
+),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, n.n, j, l.a AS l, r.a AS r,
+    (1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS score
+  FROM c JOIN n USING (lang), LATERAL unnest(range(1, c.k)) t(j)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:c.k], ' ')
+),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+kept AS (SELECT * FROM weakest w WHERE NOT EXISTS (
+  SELECT 1 FROM inner_parts i WHERE i.lang = w.lang AND i.phrase = w.phrase AND i.a >= w.a
+))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+  a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
 
 def _centroid_sql(s: CentroidSettings) -> str:
     """One assignment and one update for each round, with vectors as one row per component."""
