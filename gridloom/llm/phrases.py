@@ -33,8 +33,8 @@ class PhraseSettings:
     tile: int = 512
     dense: int = 8192
     #: dense arrays that a task holds, and pairs that it gathers before it counts them
-    held_tiles: int = 32
-    buffer: int = 2_000_000
+    held_tiles: int = 16
+    buffer: int = 1_000_000
     #: entries up to which a dictionary of words or pairs is broadcast; larger ones are joined
     broadcast_entries: int = 2_000_000
 
@@ -46,7 +46,7 @@ _BREAK[[ord(c) for c in BREAKS]] = True
 _INSIDE = ~_BREAK
 _INSIDE[[0x20, 0x09]] = False
 #: Ids of a stored row, beyond which it ends at the next gap, and bytes of text of one numpy step.
-ROW_IDS, STEP_BYTES = 1024, 3_000_000
+ROW_IDS, STEP_BYTES = 1024, 1_500_000
 CODE = 2**31
 RUNS = "ids array<int>, phrase array<int>"
 
