@@ -16,6 +16,7 @@ from gridloom.llm.passages import fuzzy_passages
 from gridloom.llm.phrases import PhraseSettings, collocations
 from gridloom.llm.pii import find_pii
 from gridloom.llm.repetition import score_repetition
+from gridloom.llm.secretscan import SecretSettings, find_secrets
 from gridloom.llm.sitequality import site_quality, sites_of
 from gridloom.llm.tokencount import count_tokens
 from gridloom.llm.toxicity import ToxicitySettings, score_toxicity
@@ -102,6 +103,11 @@ def op10_fuzzy_passages(spark: SparkSession, sf: str) -> DataFrame:
     return fuzzy_passages(documents(spark, sf))
 
 
+@query
+def op11_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return find_secrets(documents(spark, sf), SecretSettings())
+
+
 @query
 def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations(documents(spark, sf), PhraseSettings())
