@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("axis", "values", "checks", "tables", "reports", "meters", "kpis")
+MODULES = ("axis", "values", "checks", "tables", "reports", "meters", "kpis", "stores")
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
