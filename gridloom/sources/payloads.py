@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.scalars import convert_unit, to_number
-from gridloom.operators.timeaxis import dedupe_first, reindex, spine
+from gridloom.functions.scalars import add_time, convert_unit, to_number
+from gridloom.operators.timeaxis import dedupe_first, expand_steps, instant_to_local, local_to_instant, reindex, spine
 
 WEATHER_SCHEMA = "struct<features: array<struct<properties: map<string, map<string, double>>>>>"
 
@@ -106,3 +106,39 @@ def resolve_weather(
         .unionByName(new.withColumn("origin", F.lit("fetched")), allowMissingColumns=True)
         .drop("year", "month")
     )
+
+
+def resolve_local_weather(
+    wanted: DataFrame,
+    stored: DataFrame,
+    fetched: DataFrame,
+    today: Column,
+    zones: DataFrame,
+    values: Sequence[str],
+    step_seconds: int = 3600,
+    site: str = "site",
+) -> DataFrame:
+    """Reference weather on every local hour of the wanted months, or on finer steps.
+
+    ``stored`` and ``fetched`` have site, ts (UTC clock) and ``values``; ``zones`` has site and
+    tz; the months of ``wanted`` are months of the site's own clock, as are the ends of the
+    fetched data.  A month has the hours its zone's clocks show (one less or more where they
+    change); hours without data are null, rows beside the hours vanish.  Steps below an hour
+    carry the value of their hour, and end with the month's last hour.
+    """
+    def local(df: DataFrame) -> DataFrame:
+        clock = instant_to_local("instant", "tz")
+        return df.withColumnRenamed("ts", "instant").join(zones, site).withColumn("ts", clock).drop("tz")
+
+    rows = resolve_weather(wanted, local(stored), local(fetched), today, [site]).drop("ts")
+    rows = dedupe_first(rows, [site, "instant"], [*values])
+    first = F.make_date("year", "month", F.lit(1)).cast("timestamp_ntz")
+    edges = {"start": first, "end": F.add_months(first, 1).cast("timestamp_ntz")}
+    months = wanted.select(site, "year", "month").distinct().join(zones, site)
+    months = months.withColumns({n: local_to_instant(e, F.col("tz")).cast("timestamp_ntz") for n, e in edges.items()})
+    hours = spine(months, [site, "tz", "year", "month", "end"], 3600, name="instant")
+    out = hours.join(rows, [site, "instant"], "left")
+    last = add_time("instant", 1, "hour") >= F.col("end")
+    steps = F.when(last, F.lit(1)).otherwise(F.lit(max(1, 3600 // step_seconds)))
+    out = expand_steps(out, "instant", steps, step_seconds, "ts")
+    return out.select(site, "tz", "year", "month", "ts", instant_to_local("ts", "tz").alias("ts_local"), *values, "origin")

@@ -193,3 +193,21 @@ def test_lookups_by_key_length(spark):
     names = spark.createDataFrame([("abcab",), ("a",), ("",)], "n string")
     got = [sorted(r.p) for r in names.select("n", substrings("n", [2, 3]).alias("p")).orderBy(F.length("n")).collect()]
     assert got == [[], [], ["ab", "abc", "bc", "bca", "ca", "cab"]]
+
+
+def test_weather_on_local_hours_and_half_hours(spark):
+    zones = spark.createDataFrame([("a", "America/Chicago")], "site string, tz string")
+    wanted = spark.createDataFrame([("a", 2024, 3), ("a", 2024, 11)], "site string, year int, month int")
+    t0 = ts("2024-03-01T06:00:00")  # midnight in Chicago
+    rows_ = [("a", t0 + dt.timedelta(hours=k), float(k)) for k in (-1, 0, 2, 742)] + [("a", t0 + dt.timedelta(minutes=90), 9.0)]
+    data = spark.createDataFrame(rows_, "site string, ts timestamp_ntz, temp double")
+    today = F.lit("2024-12-01").cast("date")
+    got = pl.resolve_local_weather(wanted, data.limit(0), data, today, zones, ["temp"])
+    counts = {r.month: r["count"] for r in got.groupBy("month").count().collect()}
+    assert counts == {3: 31 * 24 - 1, 11: 30 * 24 + 1}
+    march = got.filter("month = 3 AND temp IS NOT NULL").orderBy("ts").collect()
+    assert [r.temp for r in march] == [0.0, 2.0, 742.0] and march[0].ts_local == ts("2024-03-01T00:00:00")
+    assert march[-1].ts_local == ts("2024-03-31T23:00:00")
+    fine = pl.resolve_local_weather(wanted.filter("month = 3"), data.limit(0), data, today, zones, ["temp"], 1200)
+    assert fine.count() == 3 * (31 * 24 - 1) - 2
+    assert [r.temp for r in fine.filter("temp IS NOT NULL").orderBy("ts").collect()] == [0.0] * 3 + [2.0] * 3 + [742.0]
