@@ -69,11 +69,16 @@ def centred(expr: Column, w, before: int, after: int) -> Column:
 def jump_score(df: DataFrame, by: Series, value="value", block_rows=8192) -> DataFrame:
     """Centred mean over four rows of the absolute forward difference."""
 
-    def build(rows, w):
-        rows = rows.withColumn("_d1", F.abs(F.lead(value).over(w) - F.col(value)))
-        return rows.withColumn("jump", centred(F.col("_d1"), w, 2, 1)).drop("_d1")
+    return rolling(df, by, *JUMP_HALO, lambda rows, w: _jumps(rows, w, value), block_rows).drop("_ordinal", "_block")
+
+
+#: Rows before and after one that its jump, and its curvature, depend on.
+JUMP_HALO, CURVE_HALO = (2, 2), (7, 9)
 
-    return rolling(df, by, 2, 2, build, block_rows).drop("_ordinal", "_block")
+
+def _jumps(rows: DataFrame, w, value: str) -> DataFrame:
+    rows = rows.withColumn("_d1", F.abs(F.lead(value).over(w) - F.col(value)))
+    return rows.withColumn("jump", centred(F.col("_d1"), w, 2, 1)).drop("_d1")
 
 
 def rolling_zscore(df: DataFrame, by: Series, rows_back: int, value="value", block_rows=8192):
@@ -101,6 +106,14 @@ def null_outliers(df: DataFrame, by: Series, value="value", block_rows=8192) ->
     """
     scored = with_qc_type(jump_score(df, by, value, block_rows))
     ratios = sized(spike_ratio(df, by.keys, value).select(*by.keys, "ratio"))
+    out = scored.join(ratios, list(by.keys), "left").withColumn("outlier", outlier_rule(value))
+    return out.withColumn(value, F.when(~F.col("outlier"), F.col(value))).select(
+        *df.columns, "outlier"
+    )
+
+
+def outlier_rule(value="value") -> Column:
+    """Whether a row is an outlier, from its class, its ``jump`` and the ``ratio`` of its series."""
     low, high = TEMP_RANGE
     rule = (
         F.when(F.col("is_wind"), F.abs(value) > WIND_LIMIT)
@@ -108,11 +121,7 @@ def null_outliers(df: DataFrame, by: Series, value="value", block_rows=8192) ->
         .otherwise(F.col("jump") > JUMP_LIMIT)
     )
     quiet = (F.col("is_inv") | F.col("is_wind")) & (F.col("ratio") < SPIKE_RATIO)
-    hit = F.coalesce(rule & ~F.coalesce(quiet, F.lit(False)), F.lit(False))
-    out = scored.join(ratios, list(by.keys), "left").withColumn("outlier", hit)
-    return out.withColumn(value, F.when(~F.col("outlier"), F.col(value))).select(
-        *df.columns, "outlier"
-    )
+    return F.coalesce(rule & ~F.coalesce(quiet, F.lit(False)), F.lit(False))
 
 
 def mark_flat(
@@ -125,22 +134,48 @@ def mark_flat(
     have to be carried on, so the rows are not shuffled again.
     """
 
+    build = lambda rows, w: _curves(rows, w, value)
+    return _with_islands(materialize(rolling(with_qc_type(df), by, *CURVE_HALO, build, block_rows)), by)
+
+
+def mark_outliers_and_flat(
+    df: DataFrame, by: Series, value="value", block_rows=8192, materialize=cut_lineage
+) -> DataFrame:
+    """:func:`null_outliers` and then :func:`mark_flat`, in one pass over the blocks.
+
+    The halo of a block is wide enough for both, so rows get their place in the series once,
+    go to their blocks once and are stored once.
+    """
+    ratios = sized(spike_ratio(df, by.keys, value).select(*by.keys, "ratio"))
+    rated = with_qc_type(df).join(ratios, list(by.keys), "left")
+
     def build(rows, w):
-        rows = rows.withColumn("d1", F.lead(value).over(w) - F.col(value))
-        rows = rows.withColumn("_d2", F.lead("d1").over(w) - F.col("d1"))
-        curve = round_half_even(centred(F.col("_d2"), w, 7, 7), 4)
-        rows = rows.withColumn("_curve", curve).drop("_d2")
-        own_break = (F.col("_home") == F.col(BLOCK)) & (F.abs("_curve") > 0)
-        flat = (F.col("_curve") == 0) & (~F.col("is_inv") | (F.col(value) > 1))
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return (
-            rows.withColumn("_break", F.when(own_break, 1).otherwise(0))
-            .withColumn("_passed", F.sum("_break").over(upto))
-            .withColumn("flat", F.coalesce(flat, F.lit(False)))
-            .drop("_curve", "_ordinal")
-        )
+        rows = _jumps(rows, w, value).withColumn("outlier", outlier_rule(value)).drop("jump", "ratio")
+        return _curves(rows.withColumn(value, F.when(~F.col("outlier"), F.col(value))), w, value)
+
+    halo = [a + b for a, b in zip(JUMP_HALO, CURVE_HALO, strict=True)]
+    return _with_islands(materialize(rolling(rated, by, *halo, build, block_rows)), by)
+
+
+def _curves(rows: DataFrame, w, value: str) -> DataFrame:
+    """``d1``, ``flat`` and the breaks up to a row inside its block."""
+    rows = rows.withColumn("d1", F.lead(value).over(w) - F.col(value))
+    rows = rows.withColumn("_d2", F.lead("d1").over(w) - F.col("d1"))
+    curve = round_half_even(centred(F.col("_d2"), w, 7, 7), 4)
+    rows = rows.withColumn("_curve", curve).drop("_d2")
+    own_break = (F.col("_home") == F.col(BLOCK)) & (F.abs("_curve") > 0)
+    flat = (F.col("_curve") == 0) & (~F.col("is_inv") | (F.col(value) > 1))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        rows.withColumn("_break", F.when(own_break, 1).otherwise(0))
+        .withColumn("_passed", F.sum("_break").over(upto))
+        .withColumn("flat", F.coalesce(flat, F.lit(False)))
+        .drop("_curve", "_ordinal")
+    )
+
 
-    rows = materialize(rolling(with_qc_type(df), by, 7, 9, build, block_rows))
+def _with_islands(rows: DataFrame, by: Series) -> DataFrame:
+    """Breaks up to a row in its whole series: those of earlier blocks are carried on."""
     keys = list(by.keys)
     totals = rows.groupBy(*keys, BLOCK).agg(F.sum("_break").alias("_sum"))
     # one row per block is a series of its own: its running total is chunked too
@@ -250,8 +285,8 @@ def auto_qc(
 
     Empty series go (sites without power attributes only), then bad temperature sensors,
     outliers, flat runs, night values and negative irradiance.  ``processed`` marks a
-    changed row, except for negatives.  The readings are stored once without outliers and
-    once with their flat runs marked, as later steps read them more than once.
+    changed row, except for negatives.  The readings are stored once, without outliers and
+    with their flat runs marked, as later steps read them more than once.
     """
     ids = [*by.keys, *[c for c in (*site_keys, attribute) if c not in by.keys]]
     found = sized(df.groupBy(*ids).agg((F.count(value) == 0).alias("_empty")))
@@ -263,8 +298,7 @@ def auto_qc(
     kept = df.join(gone, list(by.keys), "left_anti").join(
         bad.select(*site_keys, attribute), [*site_keys, attribute], "left_anti"
     )
-    clean = null_outliers(kept, by, value, block_rows)
-    marked = mark_flat(materialize(clean), by, value, block_rows, materialize)
+    marked = mark_outliers_and_flat(kept, by, value, block_rows, materialize)
     verdicts = flat_runs(marked, by.keys, value, ts, attribute, run_rows)
     out = zero_negative(zero_night(null_flat_runs(marked, verdicts, by.keys, value, ts), value), value)
     return out.withColumn(
