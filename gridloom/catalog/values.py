@@ -321,7 +321,7 @@ def missing_and_peak(spark, sf):
 
 @query("""
 SELECT p_type AS parameter, p_brand AS value, count(*) AS count,
-       array_to_string(list_sort(list(DISTINCT p_size::VARCHAR)), ', ') AS holders,
+       array_to_string(list_sort(list(DISTINCT p_size::VARCHAR)), ', ') AS holders, 1::BIGINT AS part,
        round(count(*)::DOUBLE / (SELECT count(*) FROM part q WHERE q.p_type = part.p_type), 9) AS share
 FROM part GROUP BY 1, 2
 """)
@@ -455,7 +455,7 @@ def overlap_clip(spark, sf):
 SELECT c_mktsegment AS site, o_orderstatus AS category, count(*) AS n_events,
        count(DISTINCT c_nationkey) AS n_assets, CAST(sum(floor(o_totalprice)) AS BIGINT) AS total_seconds,
        round(sum(floor(o_totalprice)) / 3600, 1) AS approx_hours,
-       array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR)), ', ') AS asset_names
+       array_to_string(list_sort(list(DISTINCT c_nationkey::VARCHAR)), ', ') AS asset_names, 1::BIGINT AS part
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
 """)
 def event_category_summary(spark, sf):

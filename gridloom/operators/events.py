@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.core.ordered import Series, runs, scan
 from gridloom.core.session import cut_lineage, sized
 from gridloom.functions.scalars import add_time, seconds_between, sum0
+from gridloom.operators.lists import PART_ITEMS, join_null_safe, list_parts
 from gridloom.operators.lookups import asof_value
 
 
@@ -106,16 +107,20 @@ def voltage_excursions(
 
 
 def category_summary(
-    events: DataFrame, site="site", category="category", asset="primary_element", seconds="duration_s"
+    events: DataFrame, site="site", category="category", asset="primary_element", seconds="duration_s", part_items=PART_ITEMS
 ) -> DataFrame:
-    """Events, assets and time per site and category, with the list of assets."""
-    per_asset = events.groupBy(site, category, asset).agg(
-        F.count("*").alias("_n"), F.sum(seconds).alias("_s")
+    """Events, assets and time per site and category, with the list of assets.
+
+    A long list has several rows, told apart by ``part``; the figures stand in each.
+    """
+    per_asset = cut_lineage(
+        events.groupBy(site, category, asset).agg(F.count("*").alias("_n"), F.sum(seconds).alias("_s"))
     )
-    return per_asset.groupBy(site, category).agg(
+    names = list_parts(per_asset, [site, category], asset, "asset_names", part_items)
+    figures = per_asset.groupBy(site, category).agg(
         F.sum("_n").alias("n_events"),
         F.count(asset).alias("n_assets"),
         F.coalesce(F.sum("_s"), F.lit(0)).alias("total_seconds"),
         F.round(F.sum("_s") / 3600, 1).alias("approx_hours"),
-        F.array_join(F.array_sort(F.collect_list(F.col(asset).cast("string"))), ", ").alias("asset_names"),
     )
+    return join_null_safe(figures, names, [site, category])

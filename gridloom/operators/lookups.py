@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.core.ordered import Series, ordinal, scan
 from gridloom.core.session import sized
 from gridloom.functions.scalars import seconds_between
-from gridloom.functions.text import key_lengths, substrings
+from gridloom.functions.text import containing
 
 
 def clamped_rate(
@@ -201,8 +201,8 @@ def longest_word_match(items: DataFrame, tables: DataFrame, item="site", table="
     """Pick for each item the one table whose name contains the item's longest word.
 
     Of equally long words the last counts.  Items without exactly one match get null.
-    Table names are spelled out into their substrings of the lengths that words have, and the
-    word is looked up by equality instead of comparing every word with every name.
+    The names are looked up by an index of short runs of letters (:func:`containing`) instead
+    of comparing every word with every name.
     """
     words = F.filter(
         F.split(F.replace(F.col(item), F.lit("-"), F.lit(" ")), r"\s+"), lambda w: w != ""
@@ -211,8 +211,9 @@ def longest_word_match(items: DataFrame, tables: DataFrame, item="site", table="
         words, lambda w, i: F.struct(F.length(w).alias("n"), i.alias("i"), w.alias("w"))
     )
     keyed = sized(items.select(item, F.array_max(ranked)["w"].alias("_word")))
-    spelled = tables.select(table, F.explode(substrings(table, key_lengths(keyed, "_word"))).alias("_word"))
-    hits = keyed.join(spelled, "_word").groupBy(item).agg(
+    words = keyed.select("_word").distinct()
+    named = containing(tables.select(table).distinct(), table, words, "_word")
+    hits = keyed.join(named, "_word").groupBy(item).agg(
         F.count_distinct(table).alias("_n"), F.min(table).alias("_hit")
     )
     return items.select(item).join(hits, item, "left").select(

@@ -17,6 +17,7 @@ from gridloom.functions.scalars import (
     micros_between,
     sum0,
 )
+from gridloom.operators.lists import PART_ITEMS, join_null_safe, list_parts
 from gridloom.operators.timeaxis import expand_steps
 
 BASES = ("event_weighted", "time_weighted", "time_weighted_discrete", "time_weighted_continuous")
@@ -233,16 +234,15 @@ def missing_hours(df: DataFrame, keys: Sequence[str], value="value") -> DataFram
     )
 
 
-def value_counts(df: DataFrame, parameter="parameter", value="value", holder="inverter"):
+def value_counts(df: DataFrame, parameter="parameter", value="value", holder="inverter", part_items=PART_ITEMS):
     """Per parameter and value: count, share within the parameter, list of holders.
 
-    The list names each holder once, however many rows it has.
+    The list names each holder once, however many rows it has.  A long list has several rows,
+    told apart by ``part``; the figures stand in each.
     """
-    pairs = df.groupBy(parameter, value, holder).agg(F.count("*").alias("_n"))
-    counted = pairs.groupBy(parameter, value).agg(
-        F.sum("_n").alias("count"),
-        F.array_join(F.array_sort(F.collect_list(F.col(holder).cast("string"))), ", ").alias("holders"),
-    )
+    pairs = cut_lineage(df.groupBy(parameter, value, holder).agg(F.count("*").alias("_n")))
+    counted = pairs.groupBy(parameter, value).agg(F.sum("_n").alias("count"))
+    counted = join_null_safe(counted, list_parts(pairs, [parameter, value], holder, "holders", part_items), [parameter, value])
     totals = pairs.groupBy(parameter).agg(F.sum("_n").alias("_all"))
     return counted.join(totals, parameter).withColumn("share", F.col("count") / F.col("_all")).drop("_all")
 
@@ -254,7 +254,7 @@ def value_counts_wide(counts: DataFrame, parameter="parameter", value="value"):
     parameter with most values needs, so nothing is left out; ``counts`` is stored, since it
     is read twice.
     """
-    counts = cut_lineage(counts.drop("holders"))
+    counts = cut_lineage(counts.filter("part = 1").drop("holders", "part"))
     width = counts.groupBy(parameter).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
     order = F.array_sort(
         F.collect_list(F.struct((-F.col("count")).alias("neg"), F.col(value), "count", "share"))

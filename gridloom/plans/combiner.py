@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.core.ordered import Series, ordinal
 from gridloom.core.session import sized
 from gridloom.functions.scalars import clip
-from gridloom.functions.text import key_lengths, substrings
+from gridloom.functions.text import containing
 from gridloom.operators.summaries import with_group
 
 # Thresholds (amps, shares) and probe hours of the daily checks.
@@ -59,8 +59,10 @@ def reconcile_design(
     """
     keys = list(by_design.keys)
     if by_id:
-        spelled = attributes.select(*keys, "attribute", F.explode(substrings("attribute", key_lengths(design, "cmb_pi"))).alias("cmb_pi"))
-        hits = design.join(spelled, [*keys, "cmb_pi"], "left")
+        ids = design.select("cmb_pi").distinct()
+        named = containing(attributes.select("attribute").distinct(), "attribute", ids, "cmb_pi")
+        named = attributes.select(*keys, "attribute").distinct().join(named, "attribute")
+        hits = design.join(named, [*keys, "cmb_pi"], "left")
         counted = hits.groupBy(*keys, "cmb").agg(
             F.count("attribute").alias("_n"), F.min("attribute").alias("attribute")
         )

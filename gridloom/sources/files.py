@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.core.session import sized
-from gridloom.functions.text import key_lengths, substrings
+from gridloom.functions.text import containing
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -49,14 +49,13 @@ def route_files(files: DataFrame, patterns: DataFrame) -> DataFrame:
     """Site of each file by name pattern; more than one match is an error row.
 
     A pattern's parts between asterisks must all occur in the name.  ``patterns`` has
-    site and pattern.  The longest part is looked up by equality among the substrings of
-    the name; the other parts are then tested on the hits only.
+    site and pattern.  The longest part is looked up by an index of short runs of letters
+    (:func:`containing`); the other parts are then tested on the hits only.
     """
     parts = F.filter(F.split("pattern", r"\*"), lambda p: p != "")
     anchor = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
     keyed = sized(patterns.select("site", parts.alias("_parts"), anchor.alias("_piece")))
-    spelled = files.select("path", "name", F.explode(substrings("name", key_lengths(keyed, "_piece"))).alias("_piece"))
-    hits = spelled.join(keyed, "_piece").filter(
+    hits = containing(files.select("path", "name"), "name", keyed, "_piece").filter(
         F.forall("_parts", lambda p: F.contains(F.col("name"), p))
     )
     matched = hits.select("path", "site").distinct().groupBy("path").agg(
