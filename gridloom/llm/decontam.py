@@ -165,14 +165,15 @@ class Matcher:
             live = live[(k >= p.length[window[live]]) | has(window[live], start[live], at[live], k)]
         exact = np.zeros(len(window), dtype=bool)
         exact[live] = True
-        rest = np.flatnonzero(~exact & (p.length[window] == WINDOW))
+        rest = np.flatnonzero(~exact)
         found = np.zeros(len(rest), np.int64)
         for k in range(WINDOW):
             any_ = np.zeros(len(rest), dtype=bool)
             for shift in range(-self.slop, self.slop + 1):
                 any_ |= has(window[rest], start[rest], at[rest], np.full(len(rest), k), shift)
             found += any_
-        near = rest[found >= self.near_terms]
+        # a short item needs the same share of its words, rounded up
+        near = rest[found * WINDOW >= self.near_terms * p.length[window[rest]]]
         pair = lambda x: np.unique(np.stack([at[x], p.item[window[x]]]), axis=1)
         delta = np.zeros(base[-1] + 1, np.int64)
         np.add.at(delta, base[at[live]] + start[live], 1)
@@ -246,8 +247,9 @@ def match_benchmark(
     consecutive words of an item; an item with fewer is one window.  One row per row of
     ``docs``: ``doc_id, n_words, hit`` (positions of words inside an occurrence of a window),
     ``exact`` (items with an occurring window) and ``near``: items of which at least
-    ``near_terms`` of a window's 10 words stand within ``slop`` of their places around one of
-    its three rarest words, unless the item matches exactly.
+    ``near_terms`` of a window's 10 words (of a shorter item the same share) stand within
+    ``slop`` of their places around one of its three rarest words, unless the item matches
+    exactly.
 
     Items are matched in blocks of ``block_items`` against all documents, so terms and
     windows on the driver and in broadcasts are bounded.  Null texts and items have no words;

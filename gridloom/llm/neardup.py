@@ -234,19 +234,31 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: NearDupSettings) -> D
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, settings: NearDupSettings) -> DataFrame:
-    """The text of each wanted node, by its document's id and its set key."""
-    picked = cut_lineage(nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "set_a", "set_b"))
-    few = picked.count() <= settings.broadcast_ids
-    rows = docs.join(F.broadcast(picked) if few else picked, "doc_id").select("node", "text", "set_a", "set_b")
+    """The text of each wanted node, by the id, text hash and set key of its document.
+
+    The hash keeps rows that repeat an id with other texts apart, so the rows read are those
+    of the wanted texts however often an id comes; rows of one id and one text merge.
+    """
+    picked = nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "text_key", "set_a", "set_b")
+    picked = cut_lineage(picked)
+    n = picked.count()
+    few = n <= settings.broadcast_ids
+    rows = docs.join(F.broadcast(picked) if few else picked, ["doc_id", "text_key"]).select("node", "text", "set_a", "set_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             for part in chunks(batch):
                 a, b = Shingles(part.column(1)).set_keys()
                 same = (part.column(2).to_numpy() == a) & (part.column(3).to_numpy() == b)
+                node = part.column(0).to_pylist()
+                for i in np.flatnonzero(same).tolist():
+                    same[i] = node[i] not in seen
+                    seen.add(node[i])
                 yield part.select(["node", "text"]).filter(pa.array(same))
 
-    return cut_lineage(rows.mapInArrow(run, "node long, text string"))
+    texts = cut_lineage(rows.mapInArrow(run, "node long, text string"))
+    return texts if texts.count() == n else cut_lineage(texts.dropDuplicates(["node"]))
 
 
 def links_across(labelled: DataFrame, texts: DataFrame, settings: NearDupSettings) -> DataFrame:
@@ -392,15 +404,15 @@ def _grouped(pairs: DataFrame, settings: NearDupSettings) -> DataFrame:
     stored = cut_lineage(sketches(keyed))
     usable = stored.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min(F.struct("row_key", "doc_id")).alias("x"), F.min("doc_id").alias("least_id")
+        F.min(F.struct("row_key", "doc_id", "text_key")).alias("x"), F.min("doc_id").alias("least_id")
     )
     classes = classes.select(
-        "set_a", "set_b", "n_shingles", F.col("x.row_key").alias("node"), F.col("x.doc_id").alias("doc_id"), "least_id"
+        "set_a", "set_b", "n_shingles", F.col("x.row_key").alias("node"), "x.doc_id", "x.text_key", "least_id"
     )
     classes = cut_lineage(classes)
     nodes = stored.select("row_key", "registers").join(classes, F.col("row_key") == F.col("node"))
-    nodes = cut_lineage(nodes.select("node", "doc_id", "n_shingles", "set_a", "set_b", "registers"))
-    labels = link_nodes(pairs, nodes, settings)
+    nodes = cut_lineage(nodes.select("node", "doc_id", "text_key", "n_shingles", "set_a", "set_b", "registers"))
+    labels = link_nodes(keyed.drop("row_key"), nodes, settings)
     ids = cut_lineage(classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
     # stored, so that the join can split a hot component
     least = cut_lineage(ids.groupBy("component").agg(F.min("least_id").alias("component_id")))

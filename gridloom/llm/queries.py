@@ -77,6 +77,8 @@ def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.size("exact").cast("long").alias("n_items"),
         F.sha2(F.array_join("exact", ","), 256).alias("items_sha256"),
         (F.size("hit") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near"),
+        F.sha2(F.array_join("near", ","), 256).alias("near_sha256"),
     )
 
 
@@ -140,10 +142,36 @@ hit AS (
 items AS (
   SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
   FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+),
+place AS MATERIALIZED (SELECT doc_id, unnest(w) AS t, unnest(range(0, len(w))) AS p, len(w) AS n FROM d),
+freq AS (SELECT t, count(DISTINCT doc_id) AS n FROM place GROUP BY t),
+win AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, item_id, k, g FROM (
+    SELECT DISTINCT item_id, k, w[i:i + k - 1] AS g FROM k, LATERAL unnest(range(1, len(w) - k + 2)) t(i)
+  )
+),
+term AS MATERIALIZED (SELECT id, item_id, k, unnest(g) AS t, unnest(range(0, k)) AS o FROM win),
+anchor AS (
+  SELECT term.* FROM term LEFT JOIN freq USING (t)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY coalesce(freq.n, 0), o) <= 3
+),
+start AS (
+  SELECT DISTINCT doc_id, id, p - o AS s FROM anchor JOIN place USING (t) WHERE p - o >= -2
+),
+near AS (
+  SELECT doc_id, item_id FROM start JOIN term USING (id) JOIN place USING (doc_id, t)
+  WHERE p BETWEEN s + o - 2 AND s + o + 2
+  GROUP BY doc_id, id, item_id, s, k HAVING 10 * count(DISTINCT o) >= 8 * k
+),
+near_items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT * FROM near EXCEPT SELECT doc_id, item_id FROM hits) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
-  sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+  sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated,
+  coalesce(near_items.n, 0) AS n_near, sha256(coalesce(near_items.ids, '')) AS near_sha256
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+LEFT JOIN near_items ON d.doc_id = near_items.doc_id
 """
 
 _PIECES = rf"string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')"

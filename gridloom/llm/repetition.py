@@ -20,6 +20,7 @@ class RepetitionRules:
 
     min_words: int = 20
     max_repeat_words_pct: int = 30
+    min_run_words: int = 4
     max_covered_pct: int = 40
     max_longest_words: int = 100
 
@@ -30,8 +31,8 @@ SCHEMA = (
 )
 
 
-def repeated_spans(words: np.ndarray, doc: np.ndarray):
-    """Suffixes of each text that share ``WINDOW`` words or more with another one of it.
+def repeated_spans(words: np.ndarray, doc: np.ndarray, least: int = WINDOW):
+    """Suffixes of each text that share ``least`` words or more with another one of it.
 
     The suffix array of all texts of a chunk by prefix doubling: a suffix's rank is the place
     of its group, and only groups of two or more are sorted again.  Ranks after each doubling
@@ -51,7 +52,7 @@ def repeated_spans(words: np.ndarray, doc: np.ndarray):
     pos = order[np.repeat(size, size) > 1]
     levels, h, repeated = [], 1, none
     while len(pos):
-        if h == WINDOW:
+        if h <= least:
             repeated = pos
         levels.append((h, rank.copy()))
         ahead = np.minimum(pos + h, n - 1)
@@ -76,7 +77,10 @@ def repeated_spans(words: np.ndarray, doc: np.ndarray):
         ok = (i < n) & (j < n)
         ok[ok] = (rank[i[ok]] == rank[j[ok]]) & (i[ok] != j[ok])
         shared[ok] += h
-    return repeated, np.maximum(np.r_[0, shared], np.r_[shared, 0])[: len(repeated)], shared
+    longest = np.maximum(np.r_[0, shared], np.r_[shared, 0])[: len(repeated)]
+    # between two suffixes that are left out, shared prefixes are short as well
+    keep = np.flatnonzero(longest >= least)
+    return repeated[keep], longest[keep], shared[keep[keep < len(shared)]]
 
 
 def duplicate_lines(texts: list[str]) -> list[int]:
@@ -101,20 +105,19 @@ def measure(part: pa.RecordBatch, rules: RepetitionRules) -> pa.RecordBatch:
     chars = points[w.end] - points[w.start]
     symbols = np.r_[0, np.cumsum(_SYMBOL[w.data])]
     hashes = w.hashes()
-    pos, longest, shared = repeated_spans(hashes, w.doc)
+    pos, longest, shared = repeated_spans(hashes, w.doc, min(rules.min_run_words, WINDOW))
     n = len(hashes)
 
-    def covered(length) -> np.ndarray:
-        delta = np.zeros(n + 1, np.int64)
-        np.add.at(delta, pos, 1)
-        np.add.at(delta, pos + length, -1)
+    def covered(length, least: int) -> np.ndarray:
+        long = longest >= least
+        delta = np.bincount(pos[long], minlength=n + 1) - np.bincount((pos + length)[long], minlength=n + 1)
         return np.cumsum(delta)[:n] > 0
 
-    by_window, by_span = covered(WINDOW), covered(longest)
+    by_window, by_span = covered(WINDOW, WINDOW), covered(longest, rules.min_run_words)
     best = np.zeros(len(counts), np.int64)
-    np.maximum.at(best, w.doc[pos], longest)
+    np.maximum.at(best, w.doc[pos], np.where(longest >= rules.min_run_words, longest, 0))
     # an interval begins where the shared prefix grows beyond that of the neighbour before
-    grows = np.flatnonzero((shared >= WINDOW) & (shared > np.r_[0, shared[:-1]])) if len(shared) else pos
+    grows = np.flatnonzero((shared >= rules.min_run_words) & (shared > np.r_[0, shared[:-1]])) if len(shared) else pos
     intervals = np.bincount(w.doc[pos[grows]], minlength=len(counts)) if len(pos) else np.zeros(len(counts), np.int64)
     word_chars, repeat = per_text(counts, chars), per_text(counts, by_window)
     span_chars = per_text(counts, np.where(by_span, chars, 0))
@@ -135,11 +138,12 @@ def score_repetition(
     """Repetition measures and the verdict for each row of ``docs``.
 
     Words are runs of other characters than ASCII white space.  The longest-common-prefix
-    intervals of a text's suffix array give its maximal repeated runs of 8 words or more;
-    ``covered_chars`` counts the characters of words inside their union and
+    intervals of a text's suffix array give its maximal repeated runs of ``min_run_words``
+    words or more; ``covered_chars`` counts the characters of words inside their union and
     ``longest_repeat_words`` the longest one (its two places may overlap).  A document fails
     the base rules with fewer than ``min_words`` words or more than 30 % of words in repeated
-    8-word windows, and the method's verdict beyond the covered share or the longest repeat.
+    8-word windows, and the method's verdict beyond the covered share or the longest repeat;
+    its runs are shorter than the windows, so short phrases said again and again fail too.
 
     A null or empty text has no words and fails.  Rows with a null or repeated id are judged
     like others, one result each.  Other columns of ``docs`` are not read.  A single text must

@@ -70,6 +70,58 @@ def test_near_matches(spark):
     assert [(got[k].near, got[k].exact) for k in (1, 2, 3, 4)] == [(["p"], []), (["p"], []), ([], []), ([], ["p"])]
 
 
+def brute_near(texts, items, slop=2, least=8):
+    """Items near in each text: every place of every window, around its three rarest words."""
+    own = [words(t) for t in texts]
+    in_texts = {}
+    for w in own:
+        for t in set(w):
+            in_texts[t] = in_texts.get(t, 0) + 1
+    out = [set() for _ in texts]
+    for item, other in items:
+        other = words(other)
+        k = min(10, len(other))
+        for i in range(len(other) - k + 1 if k else 0):
+            window = other[i : i + k]
+            anchors = sorted(range(k), key=lambda o: (in_texts.get(window[o], 0), o))[:3]
+            for d, w in enumerate(own):
+                for start in {p - o for o in anchors for p in range(len(w)) if w[p] == window[o] and p - o >= -slop}:
+                    there = sum(window[o] in w[max(start + o - slop, 0) : max(start + o + slop + 1, 0)] for o in range(k))
+                    if 10 * there >= least * k:
+                        out[d].add(str(item) if item is not None else "null")
+    return out
+
+
+def test_near_equals_brute_force(spark):
+    rng = random.Random(3)
+    vocab = [f"v{k}" for k in range(40)]
+    items = [(k, " ".join(rng.choices(vocab, k=rng.choice([0, 2, 5, 9, 10, 14, 30])))) for k in range(30)]
+    texts = [None, "", "v1"]
+    for _ in range(120):
+        text = rng.choices(vocab, k=rng.randint(0, 40))
+        part = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            if part:
+                part[rng.randrange(len(part))] = rng.choice([*vocab, "two words"])
+        texts.append(" ".join(text[: rng.randint(0, 20)] + part + text[20:]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    near = brute_near(texts, items)
+    want = {k: sorted(near[k] - set(brute(t, items)[2])) for k, t in enumerate(texts)}
+    assert sum(map(len, want.values())) > 20
+    for block in (20_000, 4):
+        got = match_benchmark(df, bench, block_items=block).collect()
+        assert {r.doc_id: r.near for r in got} == want
+
+
+def test_very_long_text_is_matched_to_its_end(spark):
+    passage = " ".join(f"p{k}" for k in range(10))
+    text = " ".join(f"w{k % 977}" for k in range(300_000)) + " " + passage
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    assert [(r.n_words, r.hit[0], len(r.hit), r.exact) for r in match_benchmark(df, bench).collect()] == [(300_010, 300_000, 10, ["i"])]
+
+
 def test_nulls_repeats_clashing_columns_and_empty_tables(spark):
     passage = " ".join(f"w{k}" for k in range(12))
     rows = [(None, passage, 1), (1, "clean text", 2), (1, "clean text", 2), (1, passage, 3), (2, None, 4)]

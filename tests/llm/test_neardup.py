@@ -147,3 +147,30 @@ def test_set_keys_and_sets_agree():
     s = Shingles(pa.array(["a b c d e a b c d e f", "a b c d e f a b c d e"]))
     assert [len(x) for x in s.sets()] == [len(shingles("a b c d e a b c d e f")), len(shingles("a b c d e f a b c d e"))]
     assert all((np.diff(x.astype(np.float64)) >= 0).all() for x in s.sets()) or s.bits
+
+
+def test_thousands_of_rows_with_one_id(spark):
+    rng = random.Random(8)
+    rows, near = [], []
+    for k in range(2000):
+        words = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        rows += [(7, " ".join(words)), (7, " ".join([*words, "end"]))]
+        if k < 40:
+            near.append((100 + k if k % 2 else -k - 1, " ".join(["start", *words])))
+    df = spark.createDataFrame(rows + near + [(7, rows[0][1])] * 50, "doc_id long, text string")
+    got = {}
+    for r in near_duplicates(df).collect():
+        got.setdefault((r.doc_id, r.component_id, r.kept), []).append(r.n_shingles)
+    want = {(7, 7, True): 4000 - 40}
+    want |= {(7, -k - 1, False): 2 + 50 * (k == 0) for k in range(0, 40, 2)}
+    want |= {(-k - 1, -k - 1, True): 1 for k in range(0, 40, 2)} | {(100 + k, 7, False): 1 for k in range(1, 40, 2)}
+    assert {x: len(v) for x, v in got.items()} == want
+
+
+def test_very_long_texts_are_compared_whole(spark):
+    words = [f"w{k * 7919 % 60013}" for k in range(100_000)]
+    other = words.copy()
+    other[50_000] = "changed"
+    far = words[:50_000] + [f"x{k}" for k in range(50_000)]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate([words, other, far])], "doc_id long, text string")
+    assert results(near_duplicates(df)) == brute([(r.doc_id, r.text) for r in df.collect()])

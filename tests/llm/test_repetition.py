@@ -13,14 +13,16 @@ def brute(text, rules=RepetitionRules()):
     text = text or ""
     words = WORD.findall(text)
     n = len(words)
-    seen = {}
+    seen, windows, least = {}, {}, rules.min_run_words
+    for i in range(n - least + 1):
+        seen.setdefault(tuple(words[i : i + least]), []).append(i)
     for i in range(n - 7):
-        seen.setdefault(tuple(words[i : i + 8]), []).append(i)
-    repeat, span, longest = set(), set(), 0
+        windows.setdefault(tuple(words[i : i + 8]), []).append(i)
+    repeat = {k for at in windows.values() if len(at) > 1 for i in at for k in range(i, i + 8)}
+    span, longest = set(), 0
     for at in seen.values():
         if len(at) > 1:
             for i in at:
-                repeat.update(range(i, i + 8))
                 best = 0
                 for j in at:
                     k = 0
@@ -62,6 +64,30 @@ def test_equals_brute_force(spark):
     assert got == {k: brute(t) for k, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("least", [2, 3, 6, 8, 11])
+def test_other_shortest_runs_equal_brute_force(spark, least):
+    texts, rules = random_texts(), RepetitionRules(min_run_words=least)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in score_repetition(df, rules).collect()}
+    assert got == {k: brute(t, rules) for k, t in enumerate(texts)}
+
+
+def test_short_phrases_fail_by_the_method_alone(spark):
+    phrase = "buy this fine lamp now"
+    spam = " ".join(f"{phrase} n{k}" for k in range(30))
+    twice = " ".join([phrase, *(f"w{k}" for k in range(60)), phrase])
+    df = spark.createDataFrame([(1, spam), (2, twice)], "doc_id long, text string")
+    got = {r.doc_id: (r.base_failed, r.kept, r.longest_repeat_words) for r in score_repetition(df).collect()}
+    assert got == {1: (False, False, 5), 2: (False, True, 5)}
+
+
+def test_very_long_text(spark):
+    words = [f"w{k * 7919 % 50021}" for k in range(200_000)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:40_000]))], "doc_id long, text string")
+    got = {r.doc_id: (r.n_repeat_words, r.longest_repeat_words, r.kept) for r in score_repetition(df).collect()}
+    assert got == {1: (200_000, 200_000 - 50_021, False), 2: (0, 0, True)}
+
+
 def test_documents_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in score_repetition(docs).collect()}
