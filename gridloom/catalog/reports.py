@@ -8,6 +8,7 @@ from gridloom.catalog.registry import query
 from gridloom.catalog.values import rounded
 from gridloom.catalog.views import READINGS_SQL, readings, table
 from gridloom.core.ordered import series
+from gridloom.core.session import cut_lineage
 from gridloom.functions.scalars import add_time, floor_time
 from gridloom.operators.timeaxis import resample
 from gridloom.plans import combiner as cb
@@ -148,7 +149,7 @@ FROM rows
 """)
 def report_rows(spark, sf):
     out = rounded(
-        rp.report_rows(site_hours(spark, sf), inverter_hours(spark, sf), meta(spark, sf)), 9, "actual", "possible", "tcell", "endci", "perf_ratio", "curt_loss", "adj_factor", "calc_kw"
+        rp.report_rows(cut_lineage(site_hours(spark, sf)), cut_lineage(inverter_hours(spark, sf)), meta(spark, sf)), 9, "actual", "possible", "tcell", "endci", "perf_ratio", "curt_loss", "adj_factor", "calc_kw"
     )
     return rounded(out, 14, "module_loss", "soiling_loss").select(
         "site", "ts", "actual", "possible", "tcell", "endci", "perf_ratio", "module_loss", "soiling_loss",

@@ -9,32 +9,67 @@ from pyspark.sql import functions as F
 
 from gridloom.core.session import sized
 
-GRID = 256
-SKETCH_ACCURACY = 2000
+GRID = 1024
+SKETCH_SIZE = 4096
+# cells of the grid on both sides of a rank: thrice the rank error of a sketch of that size
+MARGIN = 4
 ROWS_TO_ORDER = 1_000_000
 
 
+def value_sketches(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Mergeable state of each group's values: ``lowest, highest, n_values, sketch``.
+
+    Stored per series and day, states of new days join the old ones, and quantiles over any
+    set of days come from ``merge_sketches`` without a scan for bounds.
+    """
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.min(value).alias("lowest"), F.max(value).alias("highest"), F.count("*").alias("n_values"),
+        _sketch(value).alias("sketch"),
+    )
+
+
+def merge_sketches(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One state for each group of ``keys`` from states of parts of it."""
+    return states.groupBy(*keys).agg(
+        F.min("lowest").alias("lowest"), F.max("highest").alias("highest"), F.sum("n_values").alias("n_values"),
+        F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("sketch"),
+    )
+
+
+def _sketch(value: str) -> Column:
+    return F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(SKETCH_SIZE))
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float],
-    rows_to_order: int = ROWS_TO_ORDER,
+    rows_to_order: int = ROWS_TO_ORDER, sketches: DataFrame | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles (``percentile`` semantics) with the extremes.
 
     One row per group with the quantiles, ``lowest``, ``highest`` and ``n_values``.  For
     every group and quantile a value range known to hold the wanted ranks is narrowed, by
-    approximate quantiles inside the range and exact counts below it, until it has at most
+    a quantile sketch of the range and exact counts below it, until it has at most
     ``rows_to_order`` rows or a round doesn't make it smaller, which happens when only few
     values are left in it.  Each range is settled by itself.  Only the rows of settled ranges
     are merged by value and ordered, so a group is never sorted or hashed as a whole, however
     large it is.
+
+    ``sketches`` are stored states (``value_sketches``) that cover exactly the rows of ``df``,
+    by finer keys perhaps.  They spare the scans for extremes and for the first bounds; what
+    they propose is accepted only after an exact count, so the result is the same.
     """
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    extremes = sized(
-        rows.groupBy(*keys).agg(
-            F.min("_v").alias("lowest"), F.max("_v").alias("highest"), F.count("*").alias("n_values")
+    if sketches is None:
+        known = None
+        extremes = sized(
+            rows.groupBy(*keys).agg(
+                F.min("_v").alias("lowest"), F.max("_v").alias("highest"), F.count("*").alias("n_values")
+            )
         )
-    )
+    else:
+        merged = sized(merge_sketches(sketches, keys))
+        known, extremes = merged.select(*keys, "sketch"), merged.drop("sketch")
     wanted = F.array(
         *[F.struct(F.lit(n).alias("_q"), F.lit(float(q)).alias("_p")) for n, q in quantiles.items()]
     )
@@ -48,7 +83,8 @@ def exact_quantiles(
     wide = (F.col("_inside") > rows_to_order) & (F.col("_lo") < F.col("_hi"))
     ranges = sized(ranges.withColumn("_open", wide))
     while not ranges.filter("_open").isEmpty():
-        narrowed = _narrow(rows, ranges.filter("_open"), keys)
+        narrowed = _narrow(rows, ranges.filter("_open"), keys, known)
+        known = None  # it describes whole groups, not the ranges of the next round
         shrunk = narrowed.withColumn("_open", wide & (F.col("_inside") < F.col("_was"))).drop("_was")
         ranges = sized(shrunk.unionByName(ranges.filter("NOT _open").select(shrunk.columns)))
     merged = _within(rows, ranges, keys).groupBy(*keys, "_q", "_v").agg(F.count("*").alias("_n"))
@@ -77,19 +113,20 @@ def _within(rows: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFram
     return hits.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
 
 
-def _narrow(rows: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _narrow(rows: DataFrame, ranges: DataFrame, keys: Sequence[str], known: DataFrame | None) -> DataFrame:
     """One round: new bounds from a sketch of the range, accepted after an exact count."""
     steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
     ids = [*keys, "_q"]
-    sketch = _within(rows, ranges, keys).groupBy(*ids).agg(
-        F.percentile_approx("_v", steps, SKETCH_ACCURACY).alias("_grid")
-    )
-    # one grid cell of margin on both sides covers the error of the sketch
+    if known is None:
+        sketch = _within(rows, ranges, keys).groupBy(*ids).agg(_sketch("_v").alias("sketch"))
+    else:
+        sketch = ranges.select(*ids).join(known, keys)
+    sketch = sketch.select(*ids, F.kll_sketch_get_quantile_double("sketch", steps).alias("_grid"))
     cell = F.floor((F.col("_rank") - F.col("_below")) / F.col("_inside") * GRID).cast("int")
     proposed = sized(
         ranges.join(sketch, ids)
-        .withColumn("_new_lo", F.coalesce(F.get("_grid", F.greatest(cell - 1, F.lit(0))), "_lo"))
-        .withColumn("_new_hi", F.coalesce(F.get("_grid", F.least(cell + 2, F.lit(GRID))), "_hi"))
+        .withColumn("_new_lo", F.coalesce(F.get("_grid", F.greatest(cell - MARGIN, F.lit(0))), "_lo"))
+        .withColumn("_new_hi", F.coalesce(F.get("_grid", F.least(cell + MARGIN + 1, F.lit(GRID))), "_hi"))
         .drop("_grid")
     )
     inside = (F.col("_v") >= F.col("_new_lo")) & (F.col("_v") <= F.col("_new_hi"))

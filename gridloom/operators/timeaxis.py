@@ -136,7 +136,7 @@ def _validity(df: DataFrame, by: Series, columns: Sequence[str], step_seconds: i
     )
     closing = F.when(F.col("_first") == F.col(ts), F.lit(1)).otherwise(F.lit(0))
     steps = F.when(until.isNull(), closing).otherwise(open_steps)
-    return expand_steps(rows, "_first", steps, step_seconds, "label")
+    return expand_steps(rows, "_first", steps, step_seconds, "label", [*by.keys, ts])
 
 
 def upsample_ffill(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.core import quantiles as qt
-from gridloom.core.quantiles import exact_quantiles
+from gridloom.core.quantiles import exact_quantiles, value_sketches
 from tests.helpers import rows
 
 
@@ -45,3 +45,35 @@ def test_a_group_of_two_values_does_not_stop_the_others(spark, monkeypatch):
     assert all(inside <= 100 for (k, _), (inside, _, _) in last.items() if k == "wide")
     want = df.groupBy("k").agg(F.expr("percentile(v, 0.5D)").alias("p50"), F.expr("percentile(v, 0.9D)").alias("p90"))
     assert rows(got, "k", "p50", "p90") == rows(want)
+
+
+def test_daily_sketches_give_the_bounds(spark, monkeypatch):
+    rng = random.Random(9)
+    data = [(k, d, rng.gauss(d, 5.0) if k == "wide" else float(rng.randrange(3))) for k in ("wide", "few") for d in range(20) for _ in range(500)]
+    df = spark.createDataFrame([*data, ("gap", 3, None), ("one", 3, 1.5)], "k string, d int, v double")
+    early = value_sketches(df.filter("d < 15"), ["k", "d"], "v")
+    states = early.unionByName(value_sketches(df.filter("d >= 15"), ["k", "d"], "v"))
+    narrow, rounds = qt._narrow, []
+
+    def counted(rows_, ranges, keys, known):
+        out = narrow(rows_, ranges, keys, known)
+        rounds.append((known is not None, {r.k: r._inside for r in out.collect()}))
+        return out
+
+    monkeypatch.setattr(qt, "_narrow", counted)
+    got = exact_quantiles(df, ["k"], "v", {"p10": 0.1, "p90": 0.9}, 1000, states)
+    want = df.groupBy("k").agg(
+        F.expr("percentile(v, 0.1D)").alias("p10"), F.expr("percentile(v, 0.9D)").alias("p90"),
+        F.min("v").alias("lowest"), F.max("v").alias("highest"), F.count("v").alias("n_values"),
+    ).filter("n_values > 0")
+    assert rows(got, *want.columns) == rows(want)
+    assert rounds[0][0] and rounds[0][1]["wide"] < 200 and not any(known for known, _ in rounds[1:])
+
+
+def test_stale_sketches_only_cost_a_round(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([("a", rng.random()) for _ in range(3000)], "k string, v double")
+    false = value_sketches(df.withColumn("v", F.col("v") / 10), ["k"], "v")
+    own = value_sketches(df, ["k"], "v").drop("sketch").join(false.select("k", "sketch"), "k")
+    want = df.groupBy("k").agg(F.expr("percentile(v, 0.7D)").alias("p70"))
+    assert rows(exact_quantiles(df, ["k"], "v", {"p70": 0.7}, 100, own), "k", "p70") == rows(want)
