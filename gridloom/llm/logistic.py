@@ -1,4 +1,4 @@
-"""Ridge logistic regression on a few features of a bounded sample."""
+"""Ridge logistic regression on a few features, of rows or of weighted cells."""
 
 from __future__ import annotations
 
@@ -24,16 +24,23 @@ class Logistic:
         return sigmoid(self.logit(x))
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> Logistic:
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50, weight: np.ndarray | None = None) -> Logistic:
     """Newton steps, halved while they do not help; ``ridge`` keeps separable data finite.
 
-    With one class only (or no rows) the score is the smoothed share of ones everywhere.
+    With one class only (or no rows) the score is the smoothed share of ones everywhere.  A row
+    of ``weight`` w counts as w rows.
     """
     features = x.shape[1]
     if len(y) == 0 or y.min() == y.max():
-        share = (y.sum() + 0.5) / (len(y) + 1)
+        ones, rows = (y.sum(), len(y)) if weight is None else ((weight * y).sum(), weight.sum())
+        share = (ones + 0.5) / (rows + 1)
         return Logistic(np.zeros(features), np.ones(features), np.r_[np.log(share / (1 - share)), np.zeros(features)])
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+    if weight is None:
+        weight = np.ones(len(y))
+        mean, scale = x.mean(axis=0), x.std(axis=0)
+    else:
+        mean = np.average(x, axis=0, weights=weight)
+        scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=weight))
     scale[scale == 0] = 1
     a = np.c_[np.ones(len(x)), (x - mean) / scale]
     penalty = np.r_[1e-6, np.full(features, ridge)]
@@ -41,13 +48,13 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> Lo
 
     def loss(b: np.ndarray) -> float:
         z = a @ b
-        return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * (penalty * b * b).sum())
+        return float((weight * np.logaddexp(0, z)).sum() - (weight * y) @ z + 0.5 * (penalty * b * b).sum())
 
     now = loss(b)
     for _ in range(steps):
         p = sigmoid(a @ b)
-        gradient = a.T @ (p - y) + penalty * b
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), gradient)
+        gradient = a.T @ (weight * (p - y)) + penalty * b
+        step = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + np.diag(penalty), gradient)
         for _ in range(20):
             if (then := loss(b - step)) <= now:
                 break

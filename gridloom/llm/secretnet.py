@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from dataclasses import dataclass
 
 import numpy as np
@@ -113,8 +114,8 @@ class Network:
         x = self.features(flat, *self.pooled(flat, block))
         return (np.maximum(x @ self.hidden + self.hidden_bias, 0) @ self.out + self.out_bias)[:, 0].astype(float)
 
-    def gradients(self, flat: Flat, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Mean logistic loss of a batch and its gradient in each parameter."""
+    def gradients(self, flat: Flat, y: np.ndarray, weight: np.ndarray | float = 1.0) -> tuple[float, list[np.ndarray]]:
+        """Mean weighted logistic loss of a batch and its gradient in each parameter."""
         n, filters = flat.n, len(self.bias)
         h = self.convolved(flat.codes, 0, len(flat.codes))
         first = np.flatnonzero(np.r_[True, flat.segment[1:] != flat.segment[:-1]])
@@ -125,8 +126,8 @@ class Network:
         a = x @ self.hidden + self.hidden_bias
         r = np.maximum(a, 0)
         z = (r @ self.out + self.out_bias)[:, 0].astype(float)
-        loss = float((np.logaddexp(0, z) - y * z).mean())
-        dz = ((0.5 * (1 + np.tanh(z / 2)) - y) / n).astype(self.bias.dtype)[:, None]
+        loss = float((weight * (np.logaddexp(0, z) - y * z)).mean())
+        dz = (weight * (0.5 * (1 + np.tanh(z / 2)) - y) / n).astype(self.bias.dtype)[:, None]
         dr = (dz @ self.out.T) * (a > 0)
         dx = dr @ self.hidden.T
         # equal largest values share their gradient
@@ -149,31 +150,68 @@ class Network:
         return loss, [d_embed, d_filters, dh.sum(axis=0), x.T @ dr, dr.sum(axis=0), r.T @ dz, dz.sum(axis=0)]
 
 
-def train(examples: list[Example], y: np.ndarray, seed: int, epochs: int, batch: int = 128, rate: float = 0.004) -> Network:
-    """Adam over shuffled batches."""
-    net, rng = Network.start(seed), np.random.default_rng(seed + 1)
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(examples))
-        for a in range(0, len(order), batch):
-            own = order[a : a + batch]
-            _, grads = net.gradients(Flat([examples[k] for k in own]), y[own])
-            step += 1
-            now = rate * (1 - epoch / epochs)
-            for p, g, (m, v) in zip(net.parameters(), grads, moments, strict=True):
+@dataclass
+class Learner:
+    """A network with Adam's running moments, so that learning can go on elsewhere."""
+
+    network: Network
+    moments: list[tuple[np.ndarray, np.ndarray]]
+    steps: int = 0
+
+    @classmethod
+    def start(cls, seed: int) -> Learner:
+        net = Network.start(seed)
+        return cls(net, [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()])
+
+    def arrays(self) -> list[np.ndarray]:
+        return [*self.network.parameters(), *(x for two in self.moments for x in two)]
+
+    def learn(self, examples: list[Example], y: np.ndarray, weight: np.ndarray, rate: float, batch: int = 128) -> None:
+        """Adam over batches of the examples in their order."""
+        for a in range(0, len(examples), batch):
+            own = slice(a, a + batch)
+            _, grads = self.network.gradients(Flat(examples[own]), y[own], weight[own])
+            self.steps += 1
+            for p, g, (m, v) in zip(self.network.parameters(), grads, self.moments, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
-                p -= now * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
-    return net
+                p -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.999**self.steps)) + 1e-7)
+
+
+#: Step size of the first epoch; later ones take smaller steps.
+RATE = 0.004
+
 
+def rate_of(epoch: int, epochs: int) -> float:
+    return RATE * (1 - epoch / epochs)
 
-def recall_threshold(score: np.ndarray, recall: float) -> float:
-    """The largest threshold that at least a share ``recall`` of these findings reaches."""
+
+def averaged(learners: list[Learner], rows: list[int]) -> Learner:
+    """The mean of learners that went on from one, each weighted by the rows it has seen."""
+    share = np.array(rows) / sum(rows)
+    out = copy.deepcopy(learners[0])
+    for k, x in enumerate(out.arrays()):
+        x[...] = sum(w * own.arrays()[k].astype(float) for w, own in zip(share, learners, strict=True))
+    out.steps = max(own.steps for own in learners)
+    return out
+
+
+def train(examples: list[Example], y: np.ndarray, seed: int, epochs: int) -> Network:
+    """Epochs over shuffled examples in one place."""
+    learner, rng = Learner.start(seed), np.random.default_rng(seed + 1)
+    for epoch in range(epochs):
+        order = rng.permutation(len(examples))
+        learner.learn([examples[k] for k in order], y[order], np.ones(len(y)), rate_of(epoch, epochs))
+    return learner.network
+
+
+def recall_threshold(score: np.ndarray, recall: float, weight: np.ndarray | None = None) -> float:
+    """The largest threshold that at least a share ``recall`` of these findings reaches, by weight."""
     if not len(score):
         return float("inf")
-    ordered = np.sort(score)[::-1]
-    return float(ordered[int(np.ceil(recall * len(ordered))) - 1])
+    order = np.argsort(-score, kind="stable")
+    reached = np.cumsum(np.ones(len(score)) if weight is None else weight[order])
+    return float(score[order][np.searchsorted(reached, recall * reached[-1] * (1 - 1e-12))])
 
 
 @dataclass
@@ -190,9 +228,16 @@ class Detector:
 
 def calibrated(network: Network, examples: list[Example], y: np.ndarray, kinds: list[str], recall: float, least: float) -> Detector:
     """``examples`` are findings the network has not learned from."""
-    logits = network.logits(Flat(examples))[:, None]
-    detector = Detector(network, fit(logits, y), {})
-    score, kind = detector.curve.score(logits), np.array(kinds)
+    return with_thresholds(network, network.logits(Flat(examples)), y, kinds, np.ones(len(examples)), recall, least)
+
+
+def with_thresholds(
+    network: Network, logits: np.ndarray, y: np.ndarray, kinds: list[str], weight: np.ndarray, recall: float, least: float
+) -> Detector:
+    """The curve and the thresholds from weighted findings, or cells of them, given by the network's output."""
+    detector = Detector(network, fit(logits[:, None], y, weight=weight), {})
+    score, kind = detector.curve.score(logits[:, None]), np.array(kinds)
     for k in sorted(set(kinds)):
-        detector.thresholds[k] = max(least, recall_threshold(score[(kind == k) & (y == 1)], recall))
+        own = (kind == k) & (y == 1)
+        detector.thresholds[k] = max(least, recall_threshold(score[own], recall, weight[own]))
     return detector
